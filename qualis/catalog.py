@@ -10,8 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from qualis.plans import metrics
-from qualis.sources.fixtures import raw_table
+from qualis.plans import metrics, warehouse
+from qualis.plans.staging import stage
+from qualis.sources.fixtures import raw_table, raw_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,8 +33,24 @@ def q_avg_score_per_reviewee(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.avg_score_per_reviewee(_raw(spark, sf_dir, "manual_reviews"))
 
 
+def _mart(name: str) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return warehouse.build(raw_tables(spark, sf_dir))[name]
+    q.__name__ = f"q_{name}"
+    return q
+
+
+def q_stg_autoqa_root_cause(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage(raw_tables(spark, sf_dir), "stg_autoqa_root_cause")
+
+
 QUERIES: dict[str, Query] = {
     "weighted_score": q_weighted_score,
     "avg_score_per_ticket": q_avg_score_per_ticket,
     "avg_score_per_reviewee": q_avg_score_per_reviewee,
 }
+QUERIES["stg_autoqa_root_cause"] = q_stg_autoqa_root_cause
+for _name in warehouse.DIMENSIONS + warehouse.FACTS:
+    QUERIES[_name] = _mart(_name)
+QUERIES["mart_customer"] = _mart("customer")
+QUERIES["mart_subscriptions"] = _mart("subscriptions")
