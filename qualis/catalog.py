@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from qualis.plans import metrics, warehouse
 from qualis.plans.staging import stage
-from qualis.sources.fixtures import raw_table, raw_tables
+from qualis.session import materialize
+from qualis.sources.fixtures import first_batch, raw_table, raw_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +41,18 @@ def _mart(name: str) -> Query:
     return q
 
 
+def _incremental(name: str) -> Query:
+    """Model after a first load of batch 1 and an incremental load of batch 2."""
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw = raw_tables(spark, sf_dir)
+        first = warehouse.build(first_batch(raw))
+        needed = warehouse.DIMENSIONS + ((name,) if name in warehouse.FACTS else ())
+        targets = {n: materialize(first[n]) for n in needed}
+        return warehouse.build(raw, targets=targets, full_refresh=False)[name]
+    q.__name__ = f"q_incr_{name}"
+    return q
+
+
 def q_stg_autoqa_root_cause(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage(raw_tables(spark, sf_dir), "stg_autoqa_root_cause")
 
@@ -54,3 +67,5 @@ for _name in warehouse.DIMENSIONS + warehouse.FACTS:
     QUERIES[_name] = _mart(_name)
 QUERIES["mart_customer"] = _mart("customer")
 QUERIES["mart_subscriptions"] = _mart("subscriptions")
+for _name in warehouse.DIMENSIONS + warehouse.FACTS:
+    QUERIES[f"incr_{_name}"] = _incremental(_name)

@@ -59,19 +59,23 @@ def upsert(target: DataFrame, new_rows: DataFrame, key: str, check_duplicates: b
 
     The target first takes the new rows' columns (``sync_columns``).
     NULL keys never match, so they are inserted every time (as in MERGE).
-    Two new rows matching one target row are an error; with
-    ``check_duplicates`` this is tested before the plan is returned (one
-    aggregate over the new rows' keys, semi-joined to the target).
+    Two new rows matching one target row are an error.  With
+    ``check_duplicates`` the plan carries that check lazily: a scalar
+    subquery counts such keys (an aggregate over the new rows semi-joined
+    to the target) and any row of the result raises if it is non-zero.
     """
     target = sync_columns(target, new_rows.schema)
+    guard = None
     if check_duplicates:
         dup = (new_rows.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1")
                .join(target.select(key), key, "left_semi"))
-        if not dup.isEmpty():
-            raise ValueError(f"upsert: several new rows match one target row on {key!r}")
+        n_dup = dup.agg(F.count(F.lit(1))).scalar()
+        guard = F.when(n_dup > 0, F.raise_error(
+            F.lit(f"upsert: several new rows match one target row on {key}"))).otherwise(F.lit(True))
     keys = new_rows.select(key).filter(F.col(key).isNotNull())
     kept = target.join(keys, key, "left_anti")
-    return kept.unionByName(new_rows)
+    out = kept.unionByName(new_rows)
+    return out if guard is None else out.filter(guard)
 
 
 def sync_columns(target: DataFrame, source_schema) -> DataFrame:

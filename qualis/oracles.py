@@ -234,3 +234,55 @@ def _register_flat() -> None:
 
 
 _register_flat()
+
+
+# ---------------------------------------------------------------------------
+# Incremental (two-batch) oracles: build every mart from batch 1, then
+# load batch 2 (the whole tables) incrementally and merge by unique key.
+
+def _upsert_sql(target: str, new: str, key: str) -> str:
+    return (f"SELECT * FROM {target} t WHERE NOT EXISTS (SELECT 1 FROM {new} n WHERE n.{key} = t.{key})\n"
+            f"UNION ALL SELECT * FROM {new}")
+
+
+def _incremental_with() -> str:
+    from qualis.plans.warehouse import UNIQUE_KEYS
+    from qualis.sources.fixtures import BATCH1_PREDICATES
+    parts = [duckdb_with(*FULL_TABLES)]
+    for t, pred in BATCH1_PREDICATES.items():
+        parts.append(f"q_{t}_b1 AS (SELECT * FROM q_{t} WHERE {pred})")
+    r1 = {t: f"q_{t}_b1" for t in BATCH1_PREDICATES}
+    # batch 1: full build
+    parts += [f"dim_team_1 AS ({dim_team_sql(r1)})", f"dim_payment_1 AS ({dim_payment_sql(r1)})",
+              f"dim_user_1 AS ({dim_user_sql(r1)})", f"dim_rating_category_1 AS ({dim_rating_category_sql(r1)})"]
+    d1 = {n: f"{n}_1" for n in ("dim_team", "dim_payment", "dim_user", "dim_rating_category")}
+    parts += [f"fact_autoqa_reviews_1 AS ({fact_autoqa_reviews_sql(r1, d1)})",
+              f"fact_autoqa_ratings_1 AS ({fact_autoqa_ratings_sql(r1, d1)})",
+              f"fact_autoqa_root_cause_1 AS ({fact_autoqa_root_cause_sql(r1)})",
+              f"fact_conversations_1 AS ({fact_conversations_sql(r1, d1)})",
+              f"fact_manual_ratings_1 AS ({fact_manual_ratings_sql(r1, d1)})",
+              f"fact_manual_reviews_1 AS ({fact_manual_reviews_sql(r1, d1)})"]
+    # batch 2: new rows per model, then merge
+    for n, sql in (("dim_team", dim_team_sql()), ("dim_payment", dim_payment_sql()), ("dim_user", dim_user_sql())):
+        parts.append(f"{n}_n AS (SELECT * FROM ({sql}) s {_since(n + '_1')})")
+    parts.append(f"dim_rating_category_n AS ({dim_rating_category_sql(None, 'dim_rating_category_1')})")
+    for n in d1:
+        parts.append(f"{n}_2 AS ({_upsert_sql(n + '_1', n + '_n', UNIQUE_KEYS[n])})")
+    d2 = {n: f"{n}_2" for n in d1}
+    parts += [f"fact_autoqa_reviews_n AS ({fact_autoqa_reviews_sql(None, d2, 'fact_autoqa_reviews_1')})",
+              f"fact_autoqa_ratings_n AS ({fact_autoqa_ratings_sql(None, d2, 'fact_autoqa_ratings_1')})",
+              f"fact_autoqa_root_cause_n AS ({fact_autoqa_root_cause_sql(None, 'fact_autoqa_root_cause_1')})",
+              f"fact_conversations_n AS ({fact_conversations_sql(None, d2, 'fact_conversations_1')})",
+              f"fact_manual_ratings_n AS ({fact_manual_ratings_sql(None, d2, 'fact_manual_ratings_1')})",
+              f"fact_manual_reviews_n AS ({fact_manual_reviews_sql(None, d2, 'fact_manual_reviews_1')})"]
+    for n in ("fact_autoqa_reviews", "fact_autoqa_ratings", "fact_autoqa_root_cause", "fact_conversations",
+              "fact_manual_ratings", "fact_manual_reviews"):
+        parts.append(f"{n}_2 AS ({_upsert_sql(n + '_1', n + '_n', UNIQUE_KEYS[n])})")
+    return ",\n".join(parts)
+
+
+INCREMENTAL_MODELS = ("dim_team", "dim_payment", "dim_user", "dim_rating_category",
+                      "fact_autoqa_reviews", "fact_autoqa_ratings", "fact_autoqa_root_cause",
+                      "fact_conversations", "fact_manual_ratings", "fact_manual_reviews")
+for _n in INCREMENTAL_MODELS:
+    ORACLES[f"incr_{_n}"] = _incremental_with() + f"\nSELECT * FROM {_n}_2"

@@ -55,3 +55,19 @@ def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def materialize(df, spark: SparkSession | None = None):
+    """Cut lineage: reliable checkpoint into the cluster's shared checkpoint folder.
+
+    Uses ``spark.checkpoint.dir`` as the session names it; when no folder is
+    configured the DataFrame stays lazy (same result, longer lineage).
+    Never a local checkpoint: the files must survive a lost executor.
+    """
+    spark = spark or df.sparkSession
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not d:
+        return df
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(d)
+    return df.checkpoint(eager=True)

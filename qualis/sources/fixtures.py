@@ -164,3 +164,21 @@ def raw_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {t: raw_table(spark, sf_dir, t) for t in SOURCES}
+
+
+# Two-batch splits for incremental loads: batch 1 = rows meeting the
+# predicate (loaded as the first run), batch 2 = the whole table.  The
+# same predicate text runs on Spark and DuckDB.
+BATCH1_PREDICATES: dict[str, str] = {
+    "autoqa_reviews": "updated_at < '1999-01-01' AND external_ticket_id % 10 <> 3",
+    "conversations": "updated_at < '1999-01-01'",
+    "autoqa_ratings": "external_ticket_id % 4 <> 0",
+    "autoqa_root_cause": "category < 6",
+    "manual_reviews": "updated_at < '2024-01-15'",
+    "manual_rating": "review_id % 500 <> 499 AND category_id <> 12",
+}
+
+
+def first_batch(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Batch-1 view of the raw tables (tables without a split pass whole)."""
+    return {t: (df.filter(BATCH1_PREDICATES[t]) if t in BATCH1_PREDICATES else df) for t, df in raw.items()}
