@@ -10,10 +10,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from qualis.plans import metrics, warehouse
+from qualis.plans import checks, metrics, warehouse
 from qualis.plans.staging import stage
 from qualis.session import materialize
-from qualis.sources.fixtures import first_batch, raw_table, raw_tables
+from qualis.operators.merge import merge_subscriptions
+from qualis.sources.fixtures import first_batch, merge_source, merge_target, raw_table, raw_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +54,11 @@ def _incremental(name: str) -> Query:
     return q
 
 
+def q_subs_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    subs = _raw(spark, sf_dir, "customer_subscriptions")
+    return merge_subscriptions(materialize(merge_target(subs)), merge_source(subs))
+
+
 def q_stg_autoqa_root_cause(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage(raw_tables(spark, sf_dir), "stg_autoqa_root_cause")
 
@@ -69,3 +75,17 @@ QUERIES["mart_customer"] = _mart("customer")
 QUERIES["mart_subscriptions"] = _mart("subscriptions")
 for _name in warehouse.DIMENSIONS + warehouse.FACTS:
     QUERIES[f"incr_{_name}"] = _incremental(_name)
+QUERIES["subs_merge"] = q_subs_merge
+
+
+def _checks(fn) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(warehouse.build(raw_tables(spark, sf_dir)))
+    q.__name__ = f"q_{fn.__name__}"
+    return q
+
+
+QUERIES["check_not_null"] = _checks(checks.not_null_checks)
+QUERIES["check_unique"] = _checks(checks.unique_checks)
+QUERIES["check_relationships"] = _checks(checks.relationship_checks)
+QUERIES["check_suite"] = _checks(checks.check_suite)

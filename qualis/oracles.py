@@ -286,3 +286,56 @@ INCREMENTAL_MODELS = ("dim_team", "dim_payment", "dim_user", "dim_rating_categor
                       "fact_conversations", "fact_manual_ratings", "fact_manual_reviews")
 for _n in INCREMENTAL_MODELS:
     ORACLES[f"incr_{_n}"] = _incremental_with() + f"\nSELECT * FROM {_n}_2"
+
+
+def _merge_sql() -> str:
+    from qualis import schemas
+    from qualis.sources.fixtures import merge_batch_duckdb
+    cols = schemas.columns("customer_subscriptions")
+    sel = ", ".join(
+        f"t.{c}" if c in ("subscription_id", "dt_customer_signup_date")
+        else f"CASE WHEN c.subscription_id IS NOT NULL THEN c.{c} ELSE t.{c} END AS {c}" for c in cols)
+    return duckdb_with("customer_subscriptions") + ",\n" + merge_batch_duckdb() + f""",
+chg AS (SELECT s.* FROM merge_s s JOIN merge_t t ON t.subscription_id = s.subscription_id
+        WHERE COALESCE(t.subscription_updated_at <> s.subscription_updated_at
+                       OR t.customer_updated_at <> s.customer_updated_at, false))
+SELECT {sel} FROM merge_t t LEFT JOIN chg c ON c.subscription_id = t.subscription_id
+UNION ALL
+SELECT * FROM merge_s s WHERE NOT EXISTS (SELECT 1 FROM merge_t t WHERE t.subscription_id = s.subscription_id)"""
+
+
+ORACLES["subs_merge"] = _merge_sql()
+
+
+def _marts_with() -> str:
+    return (_with_dims() + f""",
+fact_autoqa_reviews AS ({fact_autoqa_reviews_sql()}),
+fact_autoqa_ratings AS ({fact_autoqa_ratings_sql()}),
+fact_autoqa_root_cause AS ({fact_autoqa_root_cause_sql()}),
+fact_conversations AS ({fact_conversations_sql()}),
+fact_manual_ratings AS ({fact_manual_ratings_sql()}),
+fact_manual_reviews AS ({fact_manual_reviews_sql()})""")
+
+
+def _checks_sql(kind: str) -> str:
+    from qualis.plans.checks import NOT_NULL, RELATIONSHIPS, UNIQUE
+    rows = []
+    if kind in ("not_null", "all"):
+        rows += [f"SELECT '{t}' AS table_name, 'not_null' AS check_name, '{c}' AS column_name, "
+                 f"CAST(COUNT(*) AS BIGINT) AS failures FROM {t} WHERE {c} IS NULL" for t, c in NOT_NULL]
+    if kind in ("unique", "all"):
+        rows += [f"SELECT '{t}' AS table_name, 'unique' AS check_name, '{c}' AS column_name, "
+                 f"CAST(COUNT(*) AS BIGINT) AS failures FROM "
+                 f"(SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY {c} HAVING COUNT(*) > 1) x" for t, c in UNIQUE]
+    if kind in ("relationships", "all"):
+        rows += [f"SELECT '{ch}' AS table_name, 'relationships' AS check_name, '{c}' AS column_name, "
+                 f"CAST(COUNT(*) AS BIGINT) AS failures FROM {ch} ch "
+                 f"LEFT JOIN {p} p ON ch.{c} = p.{f} WHERE ch.{c} IS NOT NULL AND p.{f} IS NULL"
+                 for ch, c, p, f in RELATIONSHIPS]
+    return _marts_with() + "\n" + "\nUNION ALL ".join(rows)
+
+
+ORACLES["check_not_null"] = _checks_sql("not_null")
+ORACLES["check_unique"] = _checks_sql("unique")
+ORACLES["check_relationships"] = _checks_sql("relationships")
+ORACLES["check_suite"] = _checks_sql("all")

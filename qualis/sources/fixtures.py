@@ -182,3 +182,53 @@ BATCH1_PREDICATES: dict[str, str] = {
 def first_batch(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Batch-1 view of the raw tables (tables without a split pass whole)."""
     return {t: (df.filter(BATCH1_PREDICATES[t]) if t in BATCH1_PREDICATES else df) for t, df in raw.items()}
+
+
+# Subscription merge batch: the target lacks customers with key % 10 = 1;
+# the source changes rows by key % 10 (0: times, mrr and signup date move;
+# 2: both times NULL, mrr moves; 3: customer time and name move; 4: mrr
+# moves with equal times; 5: absent; 1 and others: unchanged rows).
+def _cust_key(df: DataFrame):
+    from pyspark.sql import functions as F
+    return F.substring(df["subscription_id"], 5, 100).cast("bigint") % 10
+
+
+def merge_target(subs: DataFrame) -> DataFrame:
+    return subs.filter(_cust_key(subs) != 1)
+
+
+def merge_source(subs: DataFrame) -> DataFrame:
+    from pyspark.sql import functions as F
+    k = _cust_key(subs)
+    src = subs.filter(k != 5)
+    k = _cust_key(src)
+
+    def when_k(col, cases):
+        expr = None
+        for kv, v in cases:
+            expr = F.when(k == kv, v) if expr is None else expr.when(k == kv, v)
+        return expr.otherwise(src[col]).alias(col)
+
+    changes = {
+        "subscription_updated_at": [(0, src["subscription_updated_at"] + 1),
+                                    (2, F.lit(None).cast("bigint"))],
+        "customer_updated_at": [(2, F.lit(None).cast("bigint")), (3, src["customer_updated_at"] + 1)],
+        "subscription_mrr": [(0, src["subscription_mrr"] + 1), (2, src["subscription_mrr"] + 5),
+                             (4, src["subscription_mrr"] + 9)],
+        "customer_first_name": [(3, F.concat(src["customer_first_name"], F.lit(" (renamed)")))],
+        "dt_customer_signup_date": [(0, F.date_add(src["dt_customer_signup_date"], 1))],
+    }
+    return src.select(*[when_k(c, changes[c]) if c in changes else src[c] for c in src.columns])
+
+
+def merge_batch_duckdb() -> str:
+    """CTEs ``merge_t`` and ``merge_s`` (needs ``q_customer_subscriptions``)."""
+    k = "(CAST(substr(subscription_id, 5) AS BIGINT) % 10)"
+    return f"""merge_t AS (SELECT * FROM q_customer_subscriptions WHERE {k} <> 1),
+merge_s AS (SELECT * REPLACE (
+    CASE WHEN {k} = 0 THEN subscription_updated_at + 1 WHEN {k} = 2 THEN NULL ELSE subscription_updated_at END AS subscription_updated_at,
+    CASE WHEN {k} = 2 THEN NULL WHEN {k} = 3 THEN customer_updated_at + 1 ELSE customer_updated_at END AS customer_updated_at,
+    CASE WHEN {k} = 0 THEN subscription_mrr + 1 WHEN {k} = 2 THEN subscription_mrr + 5 WHEN {k} = 4 THEN subscription_mrr + 9 ELSE subscription_mrr END AS subscription_mrr,
+    CASE WHEN {k} = 3 THEN customer_first_name || ' (renamed)' ELSE customer_first_name END AS customer_first_name,
+    CASE WHEN {k} = 0 THEN dt_customer_signup_date + 1 ELSE dt_customer_signup_date END AS dt_customer_signup_date)
+  FROM q_customer_subscriptions WHERE {k} <> 5)"""
