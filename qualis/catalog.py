@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from qualis.plans import checks, metrics, warehouse
+from qualis.plans import checks, dims, metrics, relations, warehouse
 from qualis.plans.staging import stage
 from qualis.session import materialize
 from qualis.operators.merge import merge_subscriptions
@@ -89,3 +89,54 @@ QUERIES["check_not_null"] = _checks(checks.not_null_checks)
 QUERIES["check_unique"] = _checks(checks.unique_checks)
 QUERIES["check_relationships"] = _checks(checks.relationship_checks)
 QUERIES["check_suite"] = _checks(checks.check_suite)
+
+
+# Root causes of the fixture data (cause-<supplier key mod 10>), the
+# heat map's column list.
+HEATMAP_CAUSES = [f"cause-{i}" for i in range(10)]
+
+
+def _raw_join(fn, *tables: str) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(*[_raw(spark, sf_dir, t) for t in tables])
+    q.__name__ = f"q_{fn.__name__}"
+    return q
+
+
+def _on_marts(fn, *names: str, **kw) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        m = warehouse.build(raw_tables(spark, sf_dir))
+        return fn(*[m[n] for n in names], **kw)
+    q.__name__ = f"q_{fn.__name__}"
+    return q
+
+
+def q_star_reviews_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = warehouse.build(raw_tables(spark, sf_dir))
+    return relations.reviews_by_date(m["fact_manual_reviews"], dims.dim_date(spark))
+
+
+QUERIES.update({
+    "raw_reviews_ratings": _raw_join(relations.reviews_ratings, "autoqa_reviews", "autoqa_ratings"),
+    "raw_ratings_causes": _raw_join(relations.ratings_root_causes, "autoqa_ratings", "autoqa_root_cause"),
+    "raw_reviews_conversations": _raw_join(relations.reviews_conversations, "autoqa_reviews", "conversations"),
+    "raw_manual_ratings": _raw_join(relations.manual_reviews_ratings, "manual_reviews", "manual_rating"),
+    "raw_manual_conversations": _raw_join(relations.manual_reviews_conversations, "manual_reviews", "conversations"),
+    "star_root_cause_drill": _on_marts(relations.root_cause_drill, "fact_autoqa_root_cause",
+                                       "fact_autoqa_ratings", "fact_autoqa_reviews"),
+    "star_manual_rating_drill": _on_marts(relations.manual_rating_drill, "fact_manual_ratings",
+                                          "fact_manual_reviews"),
+    "star_reviews_by_date": q_star_reviews_by_date,
+    "ticket_scores_auto_vs_manual": _raw_join(metrics.ticket_scores_auto_vs_manual, "autoqa_ratings",
+                                              "manual_reviews"),
+    "reviewer_performance": _on_marts(metrics.reviewer_performance, "fact_manual_reviews"),
+    "root_cause_breakdown": _on_marts(metrics.root_cause_breakdown, "fact_autoqa_root_cause",
+                                      "fact_autoqa_ratings"),
+    "score_by_week": _on_marts(metrics.score_series, "fact_manual_reviews", "fact_autoqa_ratings",
+                               "fact_autoqa_reviews", unit="week"),
+    "score_by_month": _on_marts(metrics.score_series, "fact_manual_reviews", "fact_autoqa_ratings",
+                                "fact_autoqa_reviews", unit="month"),
+    "top_agents": _on_marts(metrics.top_agents, "fact_manual_reviews", k=10),
+    "top_root_causes": _on_marts(metrics.top_root_causes, "fact_autoqa_root_cause", k=5),
+    "root_cause_heatmap": _on_marts(metrics.root_cause_heatmap, "fact_autoqa_root_cause", causes=HEATMAP_CAUSES),
+})
