@@ -140,3 +140,83 @@ QUERIES.update({
     "top_root_causes": _on_marts(metrics.top_root_causes, "fact_autoqa_root_cause", k=5),
     "root_cause_heatmap": _on_marts(metrics.root_cause_heatmap, "fact_autoqa_root_cause", causes=HEATMAP_CAUSES),
 })
+
+
+# ---------------------------------------------------------------------------
+# Sources and sinks: data derived from the driver tables is landed in the
+# shared scratch folder in the export formats, then read back through the
+# library's readers and loaders.
+
+def _typed(df: DataFrame, table: str) -> DataFrame:
+    from qualis import schemas
+    return df.select(*[df[c].cast(t).alias(c) for c, t in schemas.RAW_COLUMNS[table]])
+
+
+def q_scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from qualis.sources.csv_source import read_csv
+    from qualis.session import scratch_dir
+    path = scratch_dir(spark, "csv")
+    (_raw(spark, sf_dir, "conversations").write.mode("overwrite")
+     .option("header", True).option("escape", '"').csv(path))
+    return read_csv(spark, path, "conversations")
+
+
+def q_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+
+    from qualis.plans.ingest import ingest_csv_tables
+    from qualis.session import scratch_dir
+    from qualis.sources.csv_source import LANDED_FILES
+    from qualis.sources.layers import Warehouse
+    landing = scratch_dir(spark, "landing")
+    for table, name in LANDED_FILES.items():
+        (_raw(spark, sf_dir, table).write.mode("overwrite").option("header", True).option("escape", '"')
+         .csv(f"{landing}/{name}"))
+    raw = Warehouse(spark, scratch_dir(spark, "warehouse"), "raw")
+    ingest_csv_tables(spark, landing, raw)
+    return reduce(DataFrame.unionByName, [
+        raw.read(t).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("table_name"), "row_count")
+        for t in LANDED_FILES])
+
+
+def _subscription_docs(spark: SparkSession, subs: DataFrame) -> DataFrame:
+    from qualis.session import scratch_dir
+    from qualis.sources.json_source import read_json_documents, write_documents
+    path = scratch_dir(spark, "json")
+    write_documents(subs, path, n_docs=4, legacy=True)
+    return read_json_documents(spark, path, legacy=True)
+
+
+def q_json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _subscription_docs(spark, _raw(spark, sf_dir, "customer_subscriptions"))
+
+
+def q_subs_initial_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from qualis.plans.ingest import SUBSCRIPTIONS, load_subscriptions
+    from qualis.session import scratch_dir
+    from qualis.sources.layers import Warehouse
+    raw = Warehouse(spark, scratch_dir(spark, "warehouse"), "raw")
+    load_subscriptions(_subscription_docs(spark, _raw(spark, sf_dir, "customer_subscriptions")), raw)
+    return _typed(raw.read(SUBSCRIPTIONS), SUBSCRIPTIONS)
+
+
+def q_subs_merge_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from qualis.plans.ingest import SUBSCRIPTIONS, load_subscriptions
+    from qualis.session import scratch_dir
+    from qualis.sources.layers import Warehouse
+    subs = _raw(spark, sf_dir, "customer_subscriptions")
+    raw = Warehouse(spark, scratch_dir(spark, "warehouse"), "raw")
+    load_subscriptions(_subscription_docs(spark, merge_target(subs)), raw)
+    load_subscriptions(_subscription_docs(spark, merge_source(subs)), raw)
+    return _typed(raw.read(SUBSCRIPTIONS), SUBSCRIPTIONS)
+
+
+QUERIES.update({
+    "scan_csv": q_scan_csv,
+    "load_counts": q_load_counts,
+    "json_flatten": q_json_flatten,
+    "subs_initial_load": q_subs_initial_load,
+    "subs_merge_load": q_subs_merge_load,
+})

@@ -439,3 +439,18 @@ def _heatmap_sql() -> str:
 
 
 ORACLES["root_cause_heatmap"] = _heatmap_sql()
+
+
+ORACLES["scan_csv"] = duckdb_with("conversations") + "\nSELECT * FROM q_conversations"
+ORACLES["json_flatten"] = duckdb_with("customer_subscriptions") + "\nSELECT * FROM q_customer_subscriptions"
+ORACLES["subs_initial_load"] = ORACLES["json_flatten"]
+ORACLES["subs_merge_load"] = ORACLES["subs_merge"]
+
+
+def _load_counts_sql() -> str:
+    from qualis.sources.csv_source import LANDED_FILES
+    return duckdb_with(*LANDED_FILES) + "\n" + "\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM q_{t}" for t in LANDED_FILES)
+
+
+ORACLES["load_counts"] = _load_counts_sql()

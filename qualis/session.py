@@ -71,3 +71,20 @@ def materialize(df, spark: SparkSession | None = None):
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return df.checkpoint(eager=True)
+
+
+def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
+    """A fresh folder under the cluster's shared checkpoint folder.
+
+    Only when the session names no shared folder and runs in local mode
+    (tests) is a local temporary folder used.
+    """
+    import tempfile
+    import uuid
+
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; the cluster must name a shared folder")
+        base = tempfile.mkdtemp(prefix="qualis-")
+    return f"{base.rstrip('/')}/qualis-{name}-{uuid.uuid4().hex}"
