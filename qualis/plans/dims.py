@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from qualis.functions.keys import id_key, rounded_id
 from qualis.functions.times import SENTINEL_TS, date_key, strict_ts, ts_literal
+from qualis.lazy import lazy
 from qualis.operators.incremental import only_new_keys, since_watermark
 
 # Calendar range of the date dimension and day names by
@@ -117,9 +118,6 @@ def dim_date(spark: SparkSession, start: str = DATE_RANGE[0], end: str = DATE_RA
 def dimensions(stg: dict[str, DataFrame], targets: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """The four id dimensions; with ``targets`` only their new rows."""
     t = targets or {}
-    return {
-        "dim_team": dim_team(stg, t.get("dim_team")),
-        "dim_payment": dim_payment(stg, t.get("dim_payment")),
-        "dim_user": dim_user(stg, t.get("dim_user")),
-        "dim_rating_category": dim_rating_category(stg, t.get("dim_rating_category")),
-    }
+    builders = {"dim_team": dim_team, "dim_payment": dim_payment, "dim_user": dim_user,
+                "dim_rating_category": dim_rating_category}
+    return lazy(builders, lambda n: builders[n](stg, t.get(n)))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from qualis.functions.keys import id_string, joined_key, surrogate_key
 from qualis.functions.times import date_key, safe_date, safe_ts, strict_ts
+from qualis.lazy import LazyTables
 from qualis.operators.incremental import only_new_keys, since_watermark
 from qualis.operators.lookup import lookup
 
@@ -170,11 +171,12 @@ def facts(stg: dict[str, DataFrame], dims: dict[str, DataFrame],
           targets: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """All six facts; with ``targets`` only their new rows."""
     t = targets or {}
-    return {
-        "fact_autoqa_reviews": fact_autoqa_reviews(stg, dims, t.get("fact_autoqa_reviews")),
-        "fact_autoqa_ratings": fact_autoqa_ratings(stg, dims, t.get("fact_autoqa_ratings")),
-        "fact_autoqa_root_cause": fact_autoqa_root_cause(stg, t.get("fact_autoqa_root_cause")),
-        "fact_conversations": fact_conversations(stg, dims, t.get("fact_conversations")),
-        "fact_manual_ratings": fact_manual_ratings(stg, dims, t.get("fact_manual_ratings")),
-        "fact_manual_reviews": fact_manual_reviews(stg, dims, t.get("fact_manual_reviews")),
+    builders = {
+        "fact_autoqa_reviews": lambda: fact_autoqa_reviews(stg, dims, t.get("fact_autoqa_reviews")),
+        "fact_autoqa_ratings": lambda: fact_autoqa_ratings(stg, dims, t.get("fact_autoqa_ratings")),
+        "fact_autoqa_root_cause": lambda: fact_autoqa_root_cause(stg, t.get("fact_autoqa_root_cause")),
+        "fact_conversations": lambda: fact_conversations(stg, dims, t.get("fact_conversations")),
+        "fact_manual_ratings": lambda: fact_manual_ratings(stg, dims, t.get("fact_manual_ratings")),
+        "fact_manual_reviews": lambda: fact_manual_reviews(stg, dims, t.get("fact_manual_reviews")),
     }
+    return LazyTables(builders)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qualis import schemas
+from qualis.lazy import lazy
 
 STAGING_MODELS = {
     "stg_autoqa_ratings": "autoqa_ratings",
@@ -31,6 +32,7 @@ def stage(raw: dict[str, DataFrame], model: str) -> DataFrame:
     return df
 
 
-def staging(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All staging models keyed by raw table name."""
-    return {table: stage(raw, model) for model, table in STAGING_MODELS.items()}
+def staging(raw):
+    """All staging models keyed by raw table name (built on first access)."""
+    by_table = {table: model for model, table in STAGING_MODELS.items()}
+    return lazy(by_table, lambda t: stage(raw, by_table[t]))

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from qualis.lazy import LazyTables, lazy
 from qualis.operators.incremental import upsert
 from qualis.plans import dims as dim_models
 from qualis.plans import facts as fact_models
@@ -43,11 +44,10 @@ FLAT = ("customer", "subscriptions")
 
 def merge_new(targets: dict[str, DataFrame], new: dict[str, DataFrame],
               check_duplicates: bool = True) -> dict[str, DataFrame]:
-    out = {}
-    for name, rows in new.items():
+    def merged(name):
         t = targets.get(name)
-        out[name] = rows if t is None else upsert(t, rows, UNIQUE_KEYS[name], check_duplicates)
-    return out
+        return new[name] if t is None else upsert(t, new[name], UNIQUE_KEYS[name], check_duplicates)
+    return lazy(list(new), merged)
 
 
 def build_dimensions(stg: dict[str, DataFrame], targets: dict[str, DataFrame] | None = None,
@@ -65,8 +65,8 @@ def build_facts(stg: dict[str, DataFrame], dims: dict[str, DataFrame],
 
 
 def build_flat(stg: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    subs = stg["customer_subscriptions"]
-    return {"customer": flat_marts.customer(subs), "subscriptions": flat_marts.subscriptions(subs)}
+    return LazyTables({"customer": lambda: flat_marts.customer(stg["customer_subscriptions"]),
+                       "subscriptions": lambda: flat_marts.subscriptions(stg["customer_subscriptions"])})
 
 
 def build(raw: dict[str, DataFrame], targets: dict[str, DataFrame] | None = None,
@@ -75,10 +75,10 @@ def build(raw: dict[str, DataFrame], targets: dict[str, DataFrame] | None = None
     stg = staging(raw)
     t = None if full_refresh else targets
     dims = build_dimensions(stg, t, check_duplicates)
-    out = dict(dims)
-    out.update(build_facts(stg, dims, t, check_duplicates))
-    out.update(build_flat(stg))
-    return out
+    facts = build_facts(stg, dims, t, check_duplicates)
+    flat = build_flat(stg)
+    parts = {**{n: dims for n in DIMENSIONS}, **{n: facts for n in FACTS}, **{n: flat for n in FLAT}}
+    return lazy(parts, lambda n: parts[n][n])
 
 
 def run(raw: dict[str, DataFrame], warehouse, full_refresh: bool = True) -> dict[str, int]:

@@ -162,8 +162,10 @@ def raw_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return df.select([df[c].cast(t).alias(c) for c, t in schemas.RAW_COLUMNS[table]])
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: raw_table(spark, sf_dir, t) for t in SOURCES}
+def raw_tables(spark: SparkSession, sf_dir: str):
+    """All raw tables, each built on first access."""
+    from qualis.lazy import lazy
+    return lazy(SOURCES, lambda t: raw_table(spark, sf_dir, t))
 
 
 # Two-batch splits for incremental loads: batch 1 = rows meeting the
@@ -179,9 +181,10 @@ BATCH1_PREDICATES: dict[str, str] = {
 }
 
 
-def first_batch(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def first_batch(raw):
     """Batch-1 view of the raw tables (tables without a split pass whole)."""
-    return {t: (df.filter(BATCH1_PREDICATES[t]) if t in BATCH1_PREDICATES else df) for t, df in raw.items()}
+    from qualis.lazy import lazy
+    return lazy(list(raw), lambda t: raw[t].filter(BATCH1_PREDICATES[t]) if t in BATCH1_PREDICATES else raw[t])
 
 
 # Subscription merge batch: the target lacks customers with key % 10 = 1;
