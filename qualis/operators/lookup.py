@@ -6,12 +6,14 @@ the two text forms are equal, so the lookup joins on the natural id
 the dimension's key column.  No hash is computed per fact row, the join
 key is a fixed-width long, and the predicate is visible to Catalyst.
 
-No broadcast hint is given: dimensions are aggregates, so under AQE
-their exact materialised size is known before the join runs, and Spark
-broadcasts them only when they are below
-``spark.sql.adaptive.autoBroadcastJoinThreshold``; a dimension that
-grows past it (users at large scale) stays a shuffle join, with skewed
-fact partitions split by AQE.
+Broadcast is decided from a *measured* size: a dimension whose exact
+row count is known (it was written or checkpointed, and counted) and is
+at most ``DIM_BROADCAST_MAX_ROWS`` is broadcast, so the fact is never
+shuffled for it.  A dimension of unknown or larger size is joined
+without a hint: a shuffle join (AQE may still demote it to a broadcast
+at runtime, and splits skewed fact partitions).  A static plan cannot
+size an aggregated dimension (its estimate is the size of its inputs),
+which is why the count is taken explicitly.
 """
 
 from __future__ import annotations
@@ -21,9 +23,18 @@ from pyspark.sql import functions as F
 
 from qualis.functions.keys import whole_id
 
+# Largest dimension (rows) that is broadcast to every executor.  A row is
+# an id plus a 32-character key, about 100 bytes in the hashed relation,
+# so the bound keeps a broadcast near 100 MB.
+DIM_BROADCAST_MAX_ROWS = 1_000_000
+
+
+def broadcastable(rows: int | None) -> bool:
+    return rows is not None and rows <= DIM_BROADCAST_MAX_ROWS
+
 
 def lookup(fact: DataFrame, fact_id: str, dim: DataFrame, dim_id: str, dim_key: str,
-           out: str | None = None) -> DataFrame:
+           out: str | None = None, dim_rows: int | None = None) -> DataFrame:
     """Add ``out`` (default ``dim_key``) = the dimension key of ``fact[fact_id]``, NULL if absent.
 
     The dimension must be unique on ``dim_id`` (every dimension here is
@@ -33,5 +44,7 @@ def lookup(fact: DataFrame, fact_id: str, dim: DataFrame, dim_id: str, dim_key:
     tmp = f"__lk_{out}"
     dtype = fact.schema[fact_id].dataType
     d = dim.select(F.col(dim_id).cast("bigint").alias(tmp), F.col(dim_key).alias(out))
+    if broadcastable(dim_rows):
+        d = F.broadcast(d)
     f = fact.withColumn(tmp, whole_id(fact_id, dtype))
     return f.join(d, tmp, "left").drop(tmp)

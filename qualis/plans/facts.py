@@ -19,20 +19,36 @@ from qualis.operators.incremental import only_new_keys, since_watermark
 from qualis.operators.lookup import lookup
 
 
+class Dims:
+    """Dimension DataFrames plus their exact row counts where measured."""
+
+    def __init__(self, frames, rows: dict[str, int] | None = None):
+        self.frames, self.rows = frames, dict(rows or {})
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.frames[name]
+
+
+def _lookup(df, dims, name, col, dim_id, dim_key, out=None):
+    dim = dims[name]  # sized dimensions measure themselves on access
+    rows = getattr(dims, "rows", None) or {}
+    return lookup(df, col, dim, dim_id, dim_key, out, rows.get(name))
+
+
 def _pay(df, dims, col="payment_id"):
-    return lookup(df, col, dims["dim_payment"], "payment_id", "payment_key")
+    return _lookup(df, dims, "dim_payment", col, "payment_id", "payment_key")
 
 
 def _team(df, dims, col="team_id"):
-    return lookup(df, col, dims["dim_team"], "team_id", "team_key")
+    return _lookup(df, dims, "dim_team", col, "team_id", "team_key")
 
 
 def _user(df, dims, col, out):
-    return lookup(df, col, dims["dim_user"], "user_id", "user_key", out)
+    return _lookup(df, dims, "dim_user", col, "user_id", "user_key", out)
 
 
 def _category(df, dims, col):
-    return lookup(df, col, dims["dim_rating_category"], "category_id", "rating_category_key")
+    return _lookup(df, dims, "dim_rating_category", col, "category_id", "rating_category_key")
 
 
 def fact_autoqa_reviews(stg: dict[str, DataFrame], dims: dict[str, DataFrame],

@@ -21,7 +21,9 @@ from qualis.operators.incremental import upsert
 from qualis.plans import dims as dim_models
 from qualis.plans import facts as fact_models
 from qualis.plans import marts as flat_marts
+from qualis.plans.facts import Dims
 from qualis.plans.staging import staging
+from qualis.session import materialize
 
 # Unique key of each incremental model.
 UNIQUE_KEYS = {
@@ -69,13 +71,41 @@ def build_flat(stg: dict[str, DataFrame]) -> dict[str, DataFrame]:
                        "subscriptions": lambda: flat_marts.subscriptions(stg["customer_subscriptions"])})
 
 
+class SizedDims:
+    """Dimensions for fact lookups, each materialised and counted on first use.
+
+    A reliable checkpoint (shared folder) cuts the dimension's lineage and
+    its exact row count decides whether lookups broadcast it.  Without a
+    shared checkpoint folder the dimension stays lazy and is counted (and
+    later recomputed) instead.
+    """
+
+    def __init__(self, dims):
+        self._dims = dims
+        self._frames: dict[str, DataFrame] = {}
+        self.rows: dict[str, int] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._frames:
+            df = materialize(self._dims[name])
+            self._frames[name] = df
+            self.rows[name] = df.count()
+        return self._frames[name]
+
+
 def build(raw: dict[str, DataFrame], targets: dict[str, DataFrame] | None = None,
-          full_refresh: bool = True, check_duplicates: bool = True) -> dict[str, DataFrame]:
-    """All marts, lazily.  ``targets`` are used only when ``full_refresh`` is False."""
+          full_refresh: bool = True, check_duplicates: bool = True,
+          size_dims: bool = True) -> dict[str, DataFrame]:
+    """All marts, lazily.  ``targets`` are used only when ``full_refresh`` is False.
+
+    With ``size_dims`` the first access to a fact materialises and counts
+    the dimensions (one small job each) so lookups can broadcast them.
+    """
     stg = staging(raw)
     t = None if full_refresh else targets
     dims = build_dimensions(stg, t, check_duplicates)
-    facts = build_facts(stg, dims, t, check_duplicates)
+    fact_dims = SizedDims(dims) if size_dims else dims
+    facts = build_facts(stg, fact_dims, t, check_duplicates)
     flat = build_flat(stg)
     parts = {**{n: dims for n in DIMENSIONS}, **{n: facts for n in FACTS}, **{n: flat for n in FLAT}}
     return lazy(parts, lambda n: parts[n][n])
@@ -99,7 +129,9 @@ def run(raw: dict[str, DataFrame], warehouse, full_refresh: bool = True) -> dict
     dims = build_dimensions(stg, targets(DIMENSIONS))
     for name in DIMENSIONS:
         counts[name] = warehouse.write(name, dims[name])
-    written_dims = {n: warehouse.read(n) for n in DIMENSIONS}
+    # written dimensions: exact sizes known, lineage cut
+    written_dims = Dims({n: warehouse.read(n) for n in DIMENSIONS},
+                        {n: warehouse.read(n).count() for n in DIMENSIONS})
     new = build_facts(stg, written_dims, targets(FACTS))
     for name in FACTS:
         counts[name] = warehouse.write(name, new[name])
