@@ -15,6 +15,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from qualis.operators.lookup import broadcastable
+
 # The declared checks of the marts.
 NOT_NULL = (
     ("dim_team", "team_key"), ("dim_payment", "payment_key"), ("dim_user", "user_key"),
@@ -69,15 +71,24 @@ def unique_checks(marts: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def relationship_checks(marts: dict[str, DataFrame]) -> DataFrame:
+def relationship_checks(marts: dict[str, DataFrame], parent_rows: dict[str, int] | None = None) -> DataFrame:
+    """Orphan child keys per declared relationship.
+
+    ``parent_rows`` (exact row counts of parent tables, when known) lets a
+    small parent be broadcast; otherwise the anti join shuffles both sides.
+    """
     parts = []
+    rows = parent_rows or {}
     for child, column, parent, field in RELATIONSHIPS:
         keys = marts[child].select(F.col(column).alias("__k")).filter(F.col("__k").isNotNull())
         parent_keys = marts[parent].select(F.col(field).alias("__k"))
+        if broadcastable(rows.get(parent)):
+            parent_keys = F.broadcast(parent_keys)
         orphans = keys.join(parent_keys, "__k", "left_anti")
         parts.append(_row(orphans, child, "relationships", column, F.count(F.lit(1))))
     return reduce(DataFrame.unionByName, parts)
 
 
-def check_suite(marts: dict[str, DataFrame]) -> DataFrame:
-    return not_null_checks(marts).unionByName(unique_checks(marts)).unionByName(relationship_checks(marts))
+def check_suite(marts: dict[str, DataFrame], parent_rows: dict[str, int] | None = None) -> DataFrame:
+    return (not_null_checks(marts).unionByName(unique_checks(marts))
+            .unionByName(relationship_checks(marts, parent_rows)))

@@ -129,9 +129,16 @@ def run(raw: dict[str, DataFrame], warehouse, full_refresh: bool = True) -> dict
     dims = build_dimensions(stg, targets(DIMENSIONS))
     for name in DIMENSIONS:
         counts[name] = warehouse.write(name, dims[name])
-    # written dimensions: exact sizes known, lineage cut
-    written_dims = Dims({n: warehouse.read(n) for n in DIMENSIONS},
-                        {n: warehouse.read(n).count() for n in DIMENSIONS})
+    # written dimensions: lineage cut, exact sizes known from the writes (an
+    # empty result writes nothing: the live version, if any, is counted)
+    frames, rows = {}, {}
+    for n in DIMENSIONS:
+        if counts[n] or not warehouse.exists(n):
+            frames[n], rows[n] = (warehouse.read(n), counts[n]) if counts[n] else (dims[n], 0)
+        else:
+            frames[n] = warehouse.read(n)
+            rows[n] = frames[n].count()
+    written_dims = Dims(frames, rows)
     new = build_facts(stg, written_dims, targets(FACTS))
     for name in FACTS:
         counts[name] = warehouse.write(name, new[name])

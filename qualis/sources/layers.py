@@ -31,6 +31,15 @@ class Warehouse:
         self.spark, self.root, self.layer = spark, root.rstrip("/"), layer
         # an empty append creates the log folder, so reading it never fails
         spark.createDataFrame([], "value string").write.mode("append").text(self._log())
+        self.refresh()
+
+    def refresh(self) -> None:
+        """Reload the live versions from the log (one small job)."""
+        parts = F.split(F.col("value"), ",")
+        rows = (self.spark.read.text(self._log())
+                .select(parts.getItem(0).alias("t"), parts.getItem(1).cast("int").alias("v"))
+                .groupBy("t").agg(F.max("v").alias("v")).collect())
+        self._versions = {r["t"]: r["v"] for r in rows}
 
     def at(self, layer: str) -> "Warehouse":
         return Warehouse(self.spark, self.root, layer)
@@ -42,11 +51,12 @@ class Warehouse:
         return f"{self.root}/{self.layer}/{table}"
 
     def version(self, table: str) -> int | None:
-        parts = F.split(F.col("value"), ",")
-        row = (self.spark.read.text(self._log())
-               .filter(parts.getItem(0) == table)
-               .agg(F.max(parts.getItem(1).cast("int")).alias("v")).first())
-        return None if row is None or row["v"] is None else int(row["v"])
+        """Live version as of the last ``refresh``/write by this object.
+
+        The pipeline is the only writer of its warehouse; call ``refresh``
+        to pick up versions written by another job.
+        """
+        return self._versions.get(table)
 
     def exists(self, table: str) -> bool:
         return self.version(table) is not None
@@ -89,4 +99,5 @@ class Warehouse:
             raise RuntimeError(f"{self.layer}.{table}: wrote {written} rows but read back {back}")
         self.spark.createDataFrame([(f"{table},{v}",)], "value string").coalesce(1).write.mode(
             "append").text(self._log())
+        self._versions[table] = v
         return written
