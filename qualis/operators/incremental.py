@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qualis.functions.times import EMPTY_WATERMARK_TS, ts_literal
+from qualis.operators.lookup import broadcastable
 
 
 def _c(c: Column | str) -> Column:
@@ -54,7 +55,8 @@ def only_new_keys(source: DataFrame, target: DataFrame, source_key: Column | str
     return kept.filter((mode == 0) | ((mode == 2) & F.col("__nk").isNotNull())).select(*cols)
 
 
-def upsert(target: DataFrame, new_rows: DataFrame, key: str, check_duplicates: bool = True) -> DataFrame:
+def upsert(target: DataFrame, new_rows: DataFrame, key: str, check_duplicates: bool = True,
+           new_rows_count: int | None = None) -> DataFrame:
     """Keyed merge: a matched target row is replaced, other new rows are inserted.
 
     The target first takes the new rows' columns (``sync_columns``).
@@ -63,16 +65,27 @@ def upsert(target: DataFrame, new_rows: DataFrame, key: str, check_duplicates: b
     ``check_duplicates`` the plan carries that check lazily: a scalar
     subquery counts such keys (an aggregate over the new rows semi-joined
     to the target) and any row of the result raises if it is non-zero.
+
+    ``new_rows_count`` (measured) lets a small batch's keys be broadcast:
+    the target, usually far larger, is then read once map-side and never
+    shuffled to replace a few rows.
     """
     target = sync_columns(target, new_rows.schema)
+    small = broadcastable(new_rows_count)
     guard = None
     if check_duplicates:
-        dup = (new_rows.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1")
-               .join(target.select(key), key, "left_semi"))
+        dup_keys = (new_rows.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1")
+                    .select(key))
+        if small:
+            dup = target.select(key).join(F.broadcast(dup_keys), key).select(key).distinct()
+        else:
+            dup = dup_keys.join(target.select(key), key, "left_semi")
         n_dup = dup.agg(F.count(F.lit(1))).scalar()
         guard = F.when(n_dup > 0, F.raise_error(
             F.lit(f"upsert: several new rows match one target row on {key}"))).otherwise(F.lit(True))
     keys = new_rows.select(key).filter(F.col(key).isNotNull())
+    if small:
+        keys = F.broadcast(keys)
     kept = target.join(keys, key, "left_anti")
     out = kept.unionByName(new_rows)
     return out if guard is None else out.filter(guard)

@@ -45,10 +45,21 @@ FLAT = ("customer", "subscriptions")
 
 
 def merge_new(targets: dict[str, DataFrame], new: dict[str, DataFrame],
-              check_duplicates: bool = True) -> dict[str, DataFrame]:
+              check_duplicates: bool = True, size_new: bool = True) -> dict[str, DataFrame]:
+    """Upsert each model's new rows into its target.
+
+    With ``size_new`` the new rows are materialised (reliable checkpoint)
+    and counted first, so a small batch is merged with broadcast keys.
+    """
     def merged(name):
         t = targets.get(name)
-        return new[name] if t is None else upsert(t, new[name], UNIQUE_KEYS[name], check_duplicates)
+        if t is None:
+            return new[name]
+        rows, n = new[name], None
+        if size_new:
+            rows = materialize(rows)
+            n = rows.count()
+        return upsert(t, rows, UNIQUE_KEYS[name], check_duplicates, n)
     return lazy(list(new), merged)
 
 

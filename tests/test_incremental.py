@@ -103,3 +103,16 @@ def test_merge_two_changed_source_rows_is_an_error(spark):
 def test_merge_duplicate_new_keys_both_inserted_and_null_keys_insert(spark):
     got = _merge(spark, [("a", 1, 1, 1, "t")], [("z", 1, 1, 1, "s"), ("z", 1, 1, 2, "s"), (None, 1, 1, 3, "s")])
     assert len(got) == 4 and got[-1][0] is None
+
+
+def test_upsert_with_measured_small_batch_broadcasts_keys(spark):
+    tgt = spark.createDataFrame([(i, "t") for i in range(100)], "k bigint, v string")
+    new = spark.createDataFrame([(5, "n"), (500, "n")], "k bigint, v string")
+    out = upsert(tgt, new, "k", new_rows_count=2)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" in plan
+    got = dict((r.k, r.v) for r in out.collect())
+    assert len(got) == 101 and got[5] == "n" and got[500] == "n" and got[6] == "t"
+    dup = spark.createDataFrame([(5, "x"), (5, "y")], "k bigint, v string")
+    with pytest.raises(Exception):
+        upsert(tgt, dup, "k", new_rows_count=2).collect()
