@@ -97,6 +97,16 @@ FROM {events} JOIN {orders} ON event_id = o_orderkey
 CROSS JOIN (SELECT CAST(n AS BIGINT) AS c FROM (SELECT 6 AS n UNION ALL SELECT 7 UNION ALL SELECT 11 UNION ALL SELECT 12) v) k""",
 }
 
+# On Spark the four categories per review come from a generator (one
+# input row -> four output rows in the same task), not from a join.
+_SPARK_TEXT = {
+    "manual_rating": _TEXT["manual_rating"].replace(
+        "CROSS JOIN (SELECT CAST(n AS BIGINT) AS c FROM (SELECT 6 AS n UNION ALL SELECT 7 "
+        "UNION ALL SELECT 11 UNION ALL SELECT 12) v) k",
+        "LATERAL VIEW explode(array(CAST(6 AS BIGINT), CAST(7 AS BIGINT), CAST(11 AS BIGINT), "
+        "CAST(12 AS BIGINT))) k AS c"),
+}
+
 # Subscription columns the projection fills; all others are typed NULLs.
 _SUBSCRIPTION_EXPRS = {
     "subscription_id": "concat('sub-', CAST(c_custkey AS STRING))",
@@ -137,6 +147,8 @@ def text(table: str, dialect: str = "spark") -> str:
     """Projection text of one raw table; ``{orders}``-style placeholders."""
     if table == "customer_subscriptions":
         return _subscriptions_text(dialect)
+    if dialect == "spark" and table in _SPARK_TEXT:
+        return _SPARK_TEXT[table]
     return _TEXT[table]
 
 
