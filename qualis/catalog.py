@@ -185,7 +185,7 @@ def _subscription_docs(spark: SparkSession, subs: DataFrame) -> DataFrame:
     from qualis.session import scratch_dir
     from qualis.sources.json_source import read_json_documents, write_documents
     path = scratch_dir(spark, "json")
-    write_documents(subs, path, n_docs=4, legacy=True)
+    write_documents(subs, path, max_elements=500, legacy=True)
     return read_json_documents(spark, path, legacy=True)
 
 

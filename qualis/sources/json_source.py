@@ -14,9 +14,9 @@ Steps, all column expressions: whole-file text -> repair -> strict
 ``from_json`` (FAILFAST) -> ``explode(list)`` -> recursive flatten of
 nested objects with ``_`` (arrays stay arrays) -> declared raw columns
 -> signup date from ``customer_created_at``.  Files are read in
-parallel, one task per document; rows are redistributed by
-``subscription_id`` right after the explode, which is the key the
-subsequent merge joins on.
+parallel, one task per document; right after the explode the rows are
+rebalanced by ``subscription_id`` (the merge key) with AQE splitting any
+hot key, so one large document does not become one large downstream task.
 """
 
 from __future__ import annotations
@@ -110,7 +110,7 @@ def parse_documents(docs: DataFrame, legacy: bool = True) -> DataFrame:
     text = repair_legacy_text(F.col("value")) if legacy else F.col("value")
     parsed = docs.select(F.from_json(text, document_schema(), {"mode": "FAILFAST"}).alias("doc"))
     elements = parsed.select(F.explode("doc.list").alias("e")).select("e.*")
-    return conform(flatten(elements)).repartition("subscription_id")
+    return conform(flatten(elements)).hint("rebalance", "subscription_id")
 
 
 def read_json_documents(spark: SparkSession, paths: str | list[str], legacy: bool = True) -> DataFrame:
@@ -122,7 +122,7 @@ def read_json_documents(spark: SparkSession, paths: str | list[str], legacy: boo
 def read_json_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Valid JSON, one list element per line (splittable; the scalable export form)."""
     elements = spark.read.schema(element_schema()).option("mode", "FAILFAST").json(paths)
-    return conform(flatten(elements)).repartition("subscription_id")
+    return conform(flatten(elements)).hint("rebalance", "subscription_id")
 
 
 def to_elements(raw_subscriptions: DataFrame) -> DataFrame:
@@ -142,14 +142,20 @@ def to_elements(raw_subscriptions: DataFrame) -> DataFrame:
     return raw_subscriptions.select(*[build(v).alias(k) for k, v in tree.items()])
 
 
-def write_documents(raw_subscriptions: DataFrame, path: str, n_docs: int = 4, legacy: bool = True) -> None:
-    """Write the export as ``n_docs`` whole-document files (one per sub-folder).
+def write_documents(raw_subscriptions: DataFrame, path: str, max_elements: int = 50_000,
+                    legacy: bool = True) -> int:
+    """Write the export as whole-document files of at most ~``max_elements`` elements.
 
-    Rows are assigned to documents by a hash of the subscription id (stable
-    under task retries); a document holds about ``rows / n_docs`` elements.
+    A document is one JSON value, so it is built in one task; the number
+    of documents therefore grows with the data (``ceil(rows / max_elements)``,
+    from one count) instead of being fixed.  Rows go to documents by a hash
+    of the whole element (stable under task retries; rows sharing an id
+    still spread).  Returns the number
+    of documents.
     """
+    n_docs = max(1, -(-raw_subscriptions.count() // max_elements))
     el = to_elements(raw_subscriptions).withColumn(
-        "doc", F.pmod(F.xxhash64(F.col("subscription.id")), F.lit(n_docs)))
+        "doc", F.pmod(F.xxhash64(F.col("subscription"), F.col("customer")), F.lit(n_docs)))
     docs = el.groupBy("doc").agg(F.collect_list(F.struct("subscription", "customer")).alias("list"))
     text = F.to_json(F.struct("list"))
     if legacy:
@@ -157,3 +163,4 @@ def write_documents(raw_subscriptions: DataFrame, path: str, n_docs: int = 4, le
                          F.lit("false"), F.lit("False"))
     (docs.select("doc", text.alias("value")).repartition("doc")
      .write.mode("overwrite").partitionBy("doc").text(path))
+    return n_docs
