@@ -78,17 +78,24 @@ for _name in warehouse.DIMENSIONS + warehouse.FACTS:
 QUERIES["subs_merge"] = q_subs_merge
 
 
-def _checks(fn) -> Query:
+def _checks(fn, sized_parents: bool = False) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(warehouse.build(raw_tables(spark, sf_dir)))
+        m = warehouse.build(raw_tables(spark, sf_dir))
+        if not sized_parents:
+            return fn(m)
+        # parents (dimensions) are materialised and counted, so small ones broadcast
+        dims = warehouse.SizedDims(m)
+        marts = {n: (dims[n] if n in warehouse.DIMENSIONS else m[n])
+                 for n in warehouse.DIMENSIONS + warehouse.FACTS}
+        return fn(marts, dims.rows)
     q.__name__ = f"q_{fn.__name__}"
     return q
 
 
 QUERIES["check_not_null"] = _checks(checks.not_null_checks)
 QUERIES["check_unique"] = _checks(checks.unique_checks)
-QUERIES["check_relationships"] = _checks(checks.relationship_checks)
-QUERIES["check_suite"] = _checks(checks.check_suite)
+QUERIES["check_relationships"] = _checks(checks.relationship_checks, sized_parents=True)
+QUERIES["check_suite"] = _checks(checks.check_suite, sized_parents=True)
 
 
 # Root causes of the fixture data (cause-<supplier key mod 10>), the

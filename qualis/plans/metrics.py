@@ -92,9 +92,15 @@ def score_series(fact_manual_reviews: DataFrame, fact_ratings: DataFrame, fact_r
 
     manual = fact_manual_reviews.groupBy(period("created_ts")).agg(
         _avg("score").alias("avg_score"), F.count(F.lit(1)).alias("n")).withColumn("source", F.lit("manual"))
+    # ratings are pre-aggregated per review before the join: the join input
+    # shrinks to one row per review and a review with many ratings is one row
+    per_review = fact_ratings.groupBy("autoqa_review_key").agg(
+        F.sum("score").alias("s"), F.count("score").alias("c"), F.count(F.lit(1)).alias("rows"))
     rv = fact_reviews.select("autoqa_review_key", "created_ts")
-    auto = (fact_ratings.select("autoqa_review_key", "score").join(rv, "autoqa_review_key")
-            .groupBy(period("created_ts")).agg(_avg("score").alias("avg_score"), F.count(F.lit(1)).alias("n"))
+    auto = (per_review.join(rv, "autoqa_review_key")
+            .groupBy(period("created_ts"))
+            .agg(F.round(F.sum("s") / F.sum("c"), METRIC_DECIMALS).alias("avg_score"),
+                 F.sum("rows").alias("n"))
             .withColumn("source", F.lit("auto")))
     return manual.unionByName(auto).select("source", "period", "avg_score", "n")
 
