@@ -64,7 +64,7 @@ def main() -> None:
 
     root = scratch_dir(spark, "bench")
     raw_wh, dw = Warehouse(spark, root, "raw"), Warehouse(spark, root, "dw")
-    stage("ingest_raw", lambda: {t: raw_wh.write(t, raw_table(spark, sf_dir, t)) for t in SOURCES})
+    stage("ingest_raw", lambda: raw_wh.write_many(lazy(SOURCES, lambda t: raw_table(spark, sf_dir, t)), SOURCES, 7))
     raw = lazy(SOURCES, raw_wh.read)
     stage("warehouse_build_full", lambda: warehouse.run(raw, dw, full_refresh=True))
     stage("warehouse_build_incremental", lambda: warehouse.run(lazy(SOURCES, raw_wh.read), dw, full_refresh=False))

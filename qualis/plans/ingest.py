@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from qualis.lazy import lazy
 from qualis.operators.merge import merge_subscriptions
 from qualis.sources.csv_source import LANDED_FILES, read_csv
 from qualis.sources.layers import Warehouse
@@ -18,12 +19,14 @@ SUBSCRIPTIONS = "customer_subscriptions"
 
 
 def ingest_csv_tables(spark: SparkSession, landing_dir: str, raw: Warehouse,
-                      files: dict[str, str] | None = None) -> dict[str, int]:
-    """Read each landed CSV with its declared schema and overwrite its raw table."""
-    counts = {}
-    for table, name in (files or LANDED_FILES).items():
-        counts[table] = raw.write(table, read_csv(spark, f"{landing_dir.rstrip('/')}/{name}", table))
-    return counts
+                      files: dict[str, str] | None = None, parallel: int = 6) -> dict[str, int]:
+    """Read each landed CSV with its declared schema and overwrite its raw table.
+
+    The tables are independent, so their load jobs run concurrently.
+    """
+    files = files or LANDED_FILES
+    frames = lazy(files, lambda t: read_csv(spark, f"{landing_dir.rstrip('/')}/{files[t]}", t))
+    return raw.write_many(frames, files, parallel)
 
 
 def load_subscriptions(batch: DataFrame, raw: Warehouse) -> int:

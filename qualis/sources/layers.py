@@ -1,8 +1,10 @@
 """Layered parquet warehouse: raw / refined / dw tables with versioned writes.
 
 A table lives at ``<root>/<layer>/<table>/v<N>/``; an append-only log
-``<root>/<layer>/_versions/`` holds one ``table,N`` line per completed
-write, and the live version of a table is its largest logged ``N``.  A
+``<root>/<layer>/_versions/`` holds one entry folder per completed write
+(one ``table,N`` line), and the live version of a table is its largest
+logged ``N``.  Entries never share a folder, so writes of different
+tables may run as concurrent jobs.  A
 write goes to a new version folder and then logs it, so a job never
 overwrites the files it is reading (an upsert reads the live version and
 writes the next) and readers never see a half-written table.  Folders
@@ -29,14 +31,14 @@ class Warehouse:
         if layer not in LAYERS:
             raise ValueError(f"unknown layer {layer!r}")
         self.spark, self.root, self.layer = spark, root.rstrip("/"), layer
-        # an empty append creates the log folder, so reading it never fails
-        spark.createDataFrame([], "value string").write.mode("append").text(self._log())
+        # an empty entry creates the log folder, so reading it never fails
+        spark.createDataFrame([], "value string").write.mode("overwrite").text(f"{self._log()}/_init")
         self.refresh()
 
     def refresh(self) -> None:
         """Reload the live versions from the log (one small job)."""
         parts = F.split(F.col("value"), ",")
-        rows = (self.spark.read.text(self._log())
+        rows = (self.spark.read.option("recursiveFileLookup", True).text(self._log())
                 .select(parts.getItem(0).alias("t"), parts.getItem(1).cast("int").alias("v"))
                 .groupBy("t").agg(F.max("v").alias("v")).collect())
         self._versions = {r["t"]: r["v"] for r in rows}
@@ -98,6 +100,20 @@ class Warehouse:
         if back != written:
             raise RuntimeError(f"{self.layer}.{table}: wrote {written} rows but read back {back}")
         self.spark.createDataFrame([(f"{table},{v}",)], "value string").coalesce(1).write.mode(
-            "append").text(self._log())
+            "overwrite").text(f"{self._log()}/{table}.v{v}")
         self._versions[table] = v
         return written
+
+    def write_many(self, frames, names, parallel: int = 4) -> dict[str, int]:
+        """Write independent tables as concurrent Spark jobs (one thread each).
+
+        ``frames`` may be a lazy mapping: each thread builds its own table's
+        plan.  Tables never share folders (data or version-log entries).
+        """
+        names = list(names)
+        if parallel <= 1:
+            return {n: self.write(n, frames[n]) for n in names}
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=parallel) as pool:
+            futures = {n: pool.submit(lambda n=n: self.write(n, frames[n])) for n in names}
+            return {n: f.result() for n, f in futures.items()}
