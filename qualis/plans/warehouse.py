@@ -25,6 +25,16 @@ from qualis.plans.facts import Dims
 from qualis.plans.staging import staging
 from qualis.session import materialize
 
+# Dimensions each fact looks up.
+FACT_DIMENSIONS = {
+    "fact_autoqa_reviews": ("dim_payment", "dim_team", "dim_user"),
+    "fact_autoqa_ratings": ("dim_payment", "dim_team", "dim_user", "dim_rating_category"),
+    "fact_autoqa_root_cause": (),
+    "fact_conversations": ("dim_payment", "dim_user"),
+    "fact_manual_ratings": ("dim_payment", "dim_team", "dim_rating_category"),
+    "fact_manual_reviews": ("dim_payment", "dim_team", "dim_user"),
+}
+
 # Unique key of each incremental model.
 UNIQUE_KEYS = {
     "dim_team": "team_id",
@@ -103,6 +113,18 @@ class SizedDims:
             self.rows[name] = df.count()
         return self._frames[name]
 
+    def prefetch(self, names) -> None:
+        """Materialise and count several dimensions as concurrent jobs."""
+        todo = [n for n in names if n not in self._frames]
+        if len(todo) < 2:
+            return
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=len(todo)) as pool:
+            done = list(pool.map(lambda n: (n, materialize(self._dims[n])), todo))
+            counts = list(pool.map(lambda item: item[1].count(), done))
+        for (n, df), c in zip(done, counts):
+            self._frames[n], self.rows[n] = df, c
+
 
 def build(raw: dict[str, DataFrame], targets: dict[str, DataFrame] | None = None,
           full_refresh: bool = True, check_duplicates: bool = True,
@@ -117,6 +139,13 @@ def build(raw: dict[str, DataFrame], targets: dict[str, DataFrame] | None = None
     dims = build_dimensions(stg, t, check_duplicates)
     fact_dims = SizedDims(dims) if size_dims else dims
     facts = build_facts(stg, fact_dims, t, check_duplicates)
+    if size_dims:
+        unsized = facts
+
+        def fact(n):
+            fact_dims.prefetch(FACT_DIMENSIONS[n])
+            return unsized[n]
+        facts = lazy(FACTS, fact)
     flat = build_flat(stg)
     parts = {**{n: dims for n in DIMENSIONS}, **{n: facts for n in FACTS}, **{n: flat for n in FLAT}}
     return lazy(parts, lambda n: parts[n][n])
