@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from qualis.plans import checks, dims, metrics, relations, warehouse
 from qualis.plans.staging import stage
-from qualis.session import materialize
+from qualis.session import materialize, materialize_all
 from qualis.operators.merge import merge_subscriptions
 from qualis.sources.fixtures import first_batch, merge_source, merge_target, raw_table, raw_tables
 
@@ -48,7 +48,7 @@ def _incremental(name: str) -> Query:
         raw = raw_tables(spark, sf_dir)
         first = warehouse.build(first_batch(raw))
         needed = warehouse.DIMENSIONS + ((name,) if name in warehouse.FACTS else ())
-        targets = {n: materialize(first[n]) for n in needed}
+        targets = materialize_all(first, needed)
         return warehouse.build(raw, targets=targets, full_refresh=False)[name]
     q.__name__ = f"q_incr_{name}"
     return q

@@ -19,6 +19,8 @@ BASE_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    # checkpoint files of DataFrames that are no longer referenced are removed
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -88,3 +90,13 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
             raise RuntimeError("spark.checkpoint.dir is not set; the cluster must name a shared folder")
         base = tempfile.mkdtemp(prefix="qualis-")
     return f"{base.rstrip('/')}/qualis-{name}-{uuid.uuid4().hex}"
+
+
+def materialize_all(frames: dict, names) -> dict:
+    """``materialize`` several DataFrames as concurrent jobs."""
+    names = list(names)
+    if len(names) < 2:
+        return {n: materialize(frames[n]) for n in names}
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=len(names)) as pool:
+        return dict(zip(names, pool.map(lambda n: materialize(frames[n]), names)))
