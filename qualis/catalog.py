@@ -7,14 +7,21 @@ Raw tables are derived lazily from the driver tables of ``sf_dir``
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from qualis import schemas
+from qualis.operators.merge import merge_subscriptions
 from qualis.plans import checks, dims, metrics, relations, warehouse
+from qualis.plans.ingest import SUBSCRIPTIONS, ingest_csv_tables, load_subscriptions
 from qualis.plans.staging import stage
-from qualis.session import materialize, materialize_all
-from qualis.operators.merge import merge_subscriptions
+from qualis.session import materialize, materialize_all, scratch_dir
+from qualis.sources.csv_source import LANDED_FILES, read_csv
 from qualis.sources.fixtures import first_batch, merge_source, merge_target, raw_table, raw_tables
+from qualis.sources.json_source import read_json_documents, write_documents
+from qualis.sources.layers import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -155,13 +162,10 @@ QUERIES.update({
 # library's readers and loaders.
 
 def _typed(df: DataFrame, table: str) -> DataFrame:
-    from qualis import schemas
     return df.select(*[df[c].cast(t).alias(c) for c, t in schemas.RAW_COLUMNS[table]])
 
 
 def q_scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from qualis.sources.csv_source import read_csv
-    from qualis.session import scratch_dir
     path = scratch_dir(spark, "csv")
     (_raw(spark, sf_dir, "conversations").write.mode("overwrite")
      .option("header", True).option("escape", '"').csv(path))
@@ -169,14 +173,6 @@ def q_scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from functools import reduce
-
-    from pyspark.sql import functions as F
-
-    from qualis.plans.ingest import ingest_csv_tables
-    from qualis.session import scratch_dir
-    from qualis.sources.csv_source import LANDED_FILES
-    from qualis.sources.layers import Warehouse
     landing = scratch_dir(spark, "landing")
     for table, name in LANDED_FILES.items():
         (_raw(spark, sf_dir, table).write.mode("overwrite").option("header", True).option("escape", '"')
@@ -189,8 +185,6 @@ def q_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _subscription_docs(spark: SparkSession, subs: DataFrame) -> DataFrame:
-    from qualis.session import scratch_dir
-    from qualis.sources.json_source import read_json_documents, write_documents
     path = scratch_dir(spark, "json")
     write_documents(subs, path, max_elements=500, legacy=True)
     return read_json_documents(spark, path, legacy=True)
@@ -201,18 +195,12 @@ def q_json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_subs_initial_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from qualis.plans.ingest import SUBSCRIPTIONS, load_subscriptions
-    from qualis.session import scratch_dir
-    from qualis.sources.layers import Warehouse
     raw = Warehouse(spark, scratch_dir(spark, "warehouse"), "raw")
     load_subscriptions(_subscription_docs(spark, _raw(spark, sf_dir, "customer_subscriptions")), raw)
     return _typed(raw.read(SUBSCRIPTIONS), SUBSCRIPTIONS)
 
 
 def q_subs_merge_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from qualis.plans.ingest import SUBSCRIPTIONS, load_subscriptions
-    from qualis.session import scratch_dir
-    from qualis.sources.layers import Warehouse
     subs = _raw(spark, sf_dir, "customer_subscriptions")
     raw = Warehouse(spark, scratch_dir(spark, "warehouse"), "raw")
     load_subscriptions(_subscription_docs(spark, merge_target(subs)), raw)
