@@ -1,0 +1 @@
+"""Column expressions: id text forms, surrogate keys, safe parsing, date keys."""

@@ -1,0 +1 @@
+"""Reusable DataFrame operators: dimension lookup, incremental loads, keyed merge."""

@@ -1,0 +1 @@
+"""Models and queries: staging, dimensions, facts, marts, metrics, relations, checks."""

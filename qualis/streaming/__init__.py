@@ -1,0 +1,7 @@
+"""Intentionally empty.
+
+The pipeline this package rebuilds is a daily batch: its "watermark" is a
+batch high-water mark (``operators.incremental.since_watermark``), and it
+has no stream sources, event-time windows or streaming state.  No
+streaming operator is added beyond what the pipeline does.
+"""
