@@ -104,3 +104,24 @@ def test_end_to_end_from_landed_files(spark, tmp_dir):
         got = dw.read(name)
         assert counts[name] == got.count() == direct[name].count(), name
         assert got.exceptAll(lazy_marts[name].select(*got.columns)).isEmpty(), name
+
+
+def test_daily_run(spark, tmp_dir):
+    from qualis.plans.daily import CHECKS_TABLE, run_daily
+    from qualis.plans import ingest
+    from qualis.sources.json_source import write_documents
+
+    fixtures = raw_tables(spark, SF_SMALL)
+    landing = f"{tmp_dir}/landing"
+    for table, name in ingest.LANDED_FILES.items():
+        (fixtures[table].write.mode("overwrite").option("header", True).option("escape", '"')
+         .csv(f"{landing}/{name}"))
+    write_documents(fixtures["customer_subscriptions"], f"{landing}/etl", max_elements=50)
+    out = run_daily(spark, landing, f"{tmp_dir}/qa", f"{landing}/etl")
+    assert out["loaded"]["customer_subscriptions"] == 150
+    assert out["built"]["fact_manual_reviews"] == 1000
+    failing = {(t, c, col) for t, c, col, _ in out["failing_checks"]}
+    assert ("fact_conversations", "not_null", "conversation_key") in failing
+    again = run_daily(spark, landing, f"{tmp_dir}/qa", f"{landing}/etl", full_refresh=False)
+    assert again["built"]["fact_manual_reviews"] == 1000  # nothing newer: same table
+    assert Warehouse(spark, f"{tmp_dir}/qa", "dw").read(CHECKS_TABLE).count() == 30
