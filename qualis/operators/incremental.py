@@ -25,13 +25,17 @@ def watermark(target: DataFrame, ts_col: str = "updated_at") -> Column:
 
 
 def since_watermark(source: DataFrame, target: DataFrame, ts_col: str = "updated_at",
-                    source_ts: Column | str | None = None) -> DataFrame:
+                    source_ts: Column | str | None = None, mark: str | None = None) -> DataFrame:
     """Rows of ``source`` strictly newer than the target's high-water mark.
 
     Rows equal to the mark are skipped, rows older are lost and a NULL
-    time never passes (three-valued ``>``).
+    time never passes (three-valued ``>``).  ``mark`` is the target's
+    maximum as recorded when it was written (``""``: no time at all); it
+    replaces the scan of the target's time column.
     """
     ts = _c(source_ts) if source_ts is not None else F.col(ts_col)
+    if mark is not None:
+        return source.filter(ts > ts_literal(mark or EMPTY_WATERMARK_TS))
     return source.filter(ts > watermark(target, ts_col))
 
 

@@ -47,20 +47,20 @@ def _latest(branches: list[DataFrame], id_name: str, key_name: str) -> DataFrame
     return grouped.select(id_key("id").alias(key_name), F.col("id").alias(id_name), "updated_at")
 
 
-def _since(df: DataFrame, target: DataFrame | None) -> DataFrame:
-    return df if target is None else since_watermark(df, target)
+def _since(df: DataFrame, target: DataFrame | None, mark: str | None = None) -> DataFrame:
+    return df if target is None else since_watermark(df, target, mark=mark)
 
 
-def dim_team(stg: dict[str, DataFrame], target: DataFrame | None = None) -> DataFrame:
+def dim_team(stg: dict[str, DataFrame], target: DataFrame | None = None, mark: str | None = None) -> DataFrame:
     branches = [
         _branch(stg["autoqa_reviews"], F.col("team_id")),
         _branch(stg["manual_reviews"], F.col("team_id")),
         _branch(stg["manual_rating"], F.col("team_id"), _sentinel()),
     ]
-    return _since(_latest(branches, "team_id", "team_key"), target)
+    return _since(_latest(branches, "team_id", "team_key"), target, mark)
 
 
-def dim_payment(stg: dict[str, DataFrame], target: DataFrame | None = None) -> DataFrame:
+def dim_payment(stg: dict[str, DataFrame], target: DataFrame | None = None, mark: str | None = None) -> DataFrame:
     branches = [
         _branch(stg["autoqa_reviews"], F.col("payment_id")),
         _branch(stg["manual_reviews"], F.col("payment_id")),
@@ -68,10 +68,10 @@ def dim_payment(stg: dict[str, DataFrame], target: DataFrame | None = None) -> D
         _branch(stg["manual_rating"], F.col("payment_id"), _sentinel()),
         _branch(stg["autoqa_ratings"], F.col("payment_id"), _sentinel()),
     ]
-    return _since(_latest(branches, "payment_id", "payment_key"), target)
+    return _since(_latest(branches, "payment_id", "payment_key"), target, mark)
 
 
-def dim_user(stg: dict[str, DataFrame], target: DataFrame | None = None) -> DataFrame:
+def dim_user(stg: dict[str, DataFrame], target: DataFrame | None = None, mark: str | None = None) -> DataFrame:
     """Users in five roles; float ids round half away from zero."""
     people = stg["manual_reviews"].select(
         F.explode(F.array(rounded_id("reviewee_id"), F.col("reviewer_id").cast("bigint"))).alias("id"),
@@ -82,10 +82,10 @@ def dim_user(stg: dict[str, DataFrame], target: DataFrame | None = None) -> Data
         _branch(stg["autoqa_reviews"], rounded_id("reviewee_internal_id")),
         _branch(stg["autoqa_ratings"], F.col("reviewee_internal_id").cast("bigint"), _sentinel()),
     ]
-    return _since(_latest(branches, "user_id", "user_key"), target)
+    return _since(_latest(branches, "user_id", "user_key"), target, mark)
 
 
-def dim_rating_category(stg: dict[str, DataFrame], target: DataFrame | None = None) -> DataFrame:
+def dim_rating_category(stg: dict[str, DataFrame], target: DataFrame | None = None, mark=None) -> DataFrame:
     """One row per category id; the name is the least one seen (deterministic ANY_VALUE)."""
     union = stg["autoqa_ratings"].select(
         F.col("rating_category_id").alias("category_id"), F.col("rating_category_name").alias("category_name")
@@ -115,9 +115,13 @@ def dim_date(spark: SparkSession, start: str = DATE_RANGE[0], end: str = DATE_RA
         F.quarter("calendar_date").cast("bigint").alias("quarter"))
 
 
-def dimensions(stg: dict[str, DataFrame], targets: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
-    """The four id dimensions; with ``targets`` only their new rows."""
-    t = targets or {}
+def dimensions(stg: dict[str, DataFrame], targets: dict[str, DataFrame] | None = None,
+               marks: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """The four id dimensions; with ``targets`` only their new rows.
+
+    ``marks`` are the targets' recorded high-water marks, where known.
+    """
+    t, m = targets or {}, marks or {}
     builders = {"dim_team": dim_team, "dim_payment": dim_payment, "dim_user": dim_user,
                 "dim_rating_category": dim_rating_category}
-    return lazy(builders, lambda n: builders[n](stg, t.get(n)))
+    return lazy(builders, lambda n: builders[n](stg, t.get(n), m.get(n)))

@@ -52,10 +52,10 @@ def _category(df, dims, col):
 
 
 def fact_autoqa_reviews(stg: dict[str, DataFrame], dims: dict[str, DataFrame],
-                        target: DataFrame | None = None) -> DataFrame:
+                        target: DataFrame | None = None, mark: str | None = None) -> DataFrame:
     base = stg["autoqa_reviews"].withColumn("updated_at", strict_ts("updated_at"))
     if target is not None:
-        base = since_watermark(base, target)
+        base = since_watermark(base, target, mark=mark)
     f = _pay(base, dims)
     f = _team(f, dims)
     f = _user(f, dims, "reviewee_internal_id", "reviewee_key")
@@ -114,10 +114,10 @@ def _conversation_key() -> F.Column:
 
 
 def fact_conversations(stg: dict[str, DataFrame], dims: dict[str, DataFrame],
-                       target: DataFrame | None = None) -> DataFrame:
+                       target: DataFrame | None = None, mark: str | None = None) -> DataFrame:
     base = stg["conversations"].withColumn("updated_at", strict_ts("updated_at"))
     if target is not None:
-        base = since_watermark(base, target)
+        base = since_watermark(base, target, mark=mark)
     f = base.withColumn("conversation_key", _conversation_key())
     f = _pay(f, dims)
     f = _user(f, dims, "assignee_id", "assignee_key")
@@ -158,11 +158,11 @@ def fact_manual_ratings(stg: dict[str, DataFrame], dims: dict[str, DataFrame],
 
 
 def fact_manual_reviews(stg: dict[str, DataFrame], dims: dict[str, DataFrame],
-                        target: DataFrame | None = None) -> DataFrame:
+                        target: DataFrame | None = None, mark: str | None = None) -> DataFrame:
     """Manual reviews; the user dimension plays two roles (reviewer, reviewee)."""
     base = stg["manual_reviews"].withColumn("updated_at", strict_ts("updated_at"))
     if target is not None:
-        base = since_watermark(base, target)
+        base = since_watermark(base, target, mark=mark)
     f = _pay(base, dims)
     f = _team(f, dims)
     f = _user(f, dims, "reviewer_id", "reviewer_key")
@@ -184,15 +184,18 @@ def fact_manual_reviews(stg: dict[str, DataFrame], dims: dict[str, DataFrame],
 
 
 def facts(stg: dict[str, DataFrame], dims: dict[str, DataFrame],
-          targets: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
-    """All six facts; with ``targets`` only their new rows."""
-    t = targets or {}
+          targets: dict[str, DataFrame] | None = None, marks: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """All six facts; with ``targets`` only their new rows (``marks``: recorded high-water marks)."""
+    t, m = targets or {}, marks or {}
     builders = {
-        "fact_autoqa_reviews": lambda: fact_autoqa_reviews(stg, dims, t.get("fact_autoqa_reviews")),
+        "fact_autoqa_reviews": lambda: fact_autoqa_reviews(stg, dims, t.get("fact_autoqa_reviews"),
+                                                            m.get("fact_autoqa_reviews")),
         "fact_autoqa_ratings": lambda: fact_autoqa_ratings(stg, dims, t.get("fact_autoqa_ratings")),
         "fact_autoqa_root_cause": lambda: fact_autoqa_root_cause(stg, t.get("fact_autoqa_root_cause")),
-        "fact_conversations": lambda: fact_conversations(stg, dims, t.get("fact_conversations")),
+        "fact_conversations": lambda: fact_conversations(stg, dims, t.get("fact_conversations"),
+                                                          m.get("fact_conversations")),
         "fact_manual_ratings": lambda: fact_manual_ratings(stg, dims, t.get("fact_manual_ratings")),
-        "fact_manual_reviews": lambda: fact_manual_reviews(stg, dims, t.get("fact_manual_reviews")),
+        "fact_manual_reviews": lambda: fact_manual_reviews(stg, dims, t.get("fact_manual_reviews"),
+                                                            m.get("fact_manual_reviews")),
     }
     return LazyTables(builders)

@@ -74,17 +74,18 @@ def merge_new(targets: dict[str, DataFrame], new: dict[str, DataFrame],
 
 
 def build_dimensions(stg: dict[str, DataFrame], targets: dict[str, DataFrame] | None = None,
-                     check_duplicates: bool = True) -> dict[str, DataFrame]:
+                     check_duplicates: bool = True, marks: dict[str, str] | None = None) -> dict[str, DataFrame]:
     if not targets:
         return dim_models.dimensions(stg)
-    return merge_new(targets, dim_models.dimensions(stg, targets), check_duplicates)
+    return merge_new(targets, dim_models.dimensions(stg, targets, marks), check_duplicates)
 
 
 def build_facts(stg: dict[str, DataFrame], dims: dict[str, DataFrame],
-                targets: dict[str, DataFrame] | None = None, check_duplicates: bool = True) -> dict[str, DataFrame]:
+                targets: dict[str, DataFrame] | None = None, check_duplicates: bool = True,
+                marks: dict[str, str] | None = None) -> dict[str, DataFrame]:
     if not targets:
         return fact_models.facts(stg, dims)
-    return merge_new(targets, fact_models.facts(stg, dims, targets), check_duplicates)
+    return merge_new(targets, fact_models.facts(stg, dims, targets, marks), check_duplicates)
 
 
 def build_flat(stg: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -167,7 +168,11 @@ def run(raw: dict[str, DataFrame], warehouse, full_refresh: bool = True, paralle
         have = {n: warehouse.read(n) for n in names if warehouse.exists(n)}
         return have or None
 
-    dims = build_dimensions(stg, targets(DIMENSIONS))
+    def marks(names):
+        # high-water marks recorded by the writes: no scan of the targets
+        return {n: m for n in names if (m := warehouse.watermark(n)) is not None}
+
+    dims = build_dimensions(stg, targets(DIMENSIONS), marks=marks(DIMENSIONS))
     counts = warehouse.write_many(dims, DIMENSIONS, parallel)
     # written dimensions: lineage cut, exact sizes known from the writes (an
     # empty result writes nothing: the live version, if any, is counted)
@@ -179,7 +184,7 @@ def run(raw: dict[str, DataFrame], warehouse, full_refresh: bool = True, paralle
             frames[n] = warehouse.read(n)
             rows[n] = frames[n].count()
     # each writer thread builds its fact (and sizes its incremental batch)
-    new = build_facts(stg, Dims(frames, rows), targets(FACTS))
+    new = build_facts(stg, Dims(frames, rows), targets(FACTS), marks=marks(FACTS))
     counts.update(warehouse.write_many(new, FACTS, parallel))
     counts.update(warehouse.write_many(build_flat(stg), FLAT, parallel))
     return counts

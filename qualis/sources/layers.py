@@ -39,9 +39,11 @@ class Warehouse:
         """Reload the live versions from the log (one small job)."""
         parts = F.split(F.col("value"), ",")
         rows = (self.spark.read.option("recursiveFileLookup", True).text(self._log())
-                .select(parts.getItem(0).alias("t"), parts.getItem(1).cast("int").alias("v"))
-                .groupBy("t").agg(F.max("v").alias("v")).collect())
-        self._versions = {r["t"]: r["v"] for r in rows}
+                .select(parts.getItem(0).alias("t"), parts.getItem(1).cast("int").alias("v"),
+                        F.when(F.size(parts) > 2, parts.getItem(2)).alias("m"))
+                .groupBy("t").agg(F.max_by(F.struct("v", "m"), "v").alias("e")).collect())
+        self._versions = {r["t"]: r["e"]["v"] for r in rows}
+        self._marks = {r["t"]: r["e"]["m"] for r in rows if r["e"]["m"] is not None}
 
     def at(self, layer: str) -> "Warehouse":
         return Warehouse(self.spark, self.root, layer)
@@ -60,6 +62,15 @@ class Warehouse:
         """
         return self._versions.get(table)
 
+    def watermark(self, table: str, ts_col: str = "updated_at") -> str | None:
+        """``MAX(ts_col)`` of the live version as observed by its write.
+
+        ``None``: not recorded (the caller computes it); ``""``: the table
+        held no non-NULL time.
+        """
+        mark = self._marks.get(table)
+        return None if mark is None or not mark.startswith(f"{ts_col}=") else mark[len(ts_col) + 1:]
+
     def exists(self, table: str) -> bool:
         return self.version(table) is not None
 
@@ -84,7 +95,11 @@ class Warehouse:
         v = (self.version(table) or 0) + 1
         target = f"{self._dir(table)}/v{v}"
         obs = Observation(f"rows_{self.layer}_{table}_v{v}")
-        observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        metrics = [F.count(F.lit(1)).alias("rows")]
+        if "updated_at" in df.columns:
+            # the high-water mark of this version, recorded for incremental loads
+            metrics.append(F.max("updated_at").cast("string").alias("mark"))
+        observed = df.observe(obs, *metrics)
         writer_df = observed
         if partition_by:
             salt = F.pmod(F.xxhash64(F.col(salt_column or partition_by)), F.lit(files_per_partition))
@@ -93,15 +108,21 @@ class Warehouse:
         if partition_by:
             w = w.partitionBy(partition_by)
         w.parquet(target)
-        written = obs.get["rows"]
+        observed_metrics = obs.get
+        written = observed_metrics["rows"]
         if written == 0:
             return 0  # pointer not moved: the live version stays as it was
         back = self.spark.read.parquet(target).count()
         if back != written:
             raise RuntimeError(f"{self.layer}.{table}: wrote {written} rows but read back {back}")
-        self.spark.createDataFrame([(f"{table},{v}",)], "value string").coalesce(1).write.mode(
+        entry = f"{table},{v}"
+        if "mark" in observed_metrics:
+            entry += f",updated_at={observed_metrics['mark'] or ''}"
+        self.spark.createDataFrame([(entry,)], "value string").coalesce(1).write.mode(
             "overwrite").text(f"{self._log()}/{table}.v{v}")
         self._versions[table] = v
+        if "mark" in observed_metrics:
+            self._marks[table] = f"updated_at={observed_metrics['mark'] or ''}"
         return written
 
     def write_many(self, frames, names, parallel: int = 4) -> dict[str, int]:
