@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 
 # Settings every job of the pipeline relies on.  AQE re-plans joins at
@@ -40,25 +38,6 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
-def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Cluster-shared folder for checkpoints and scratch tables.
-
-    Taken from ``spark.checkpoint.dir`` as the cluster configures it; only
-    when that is unset (local tests) is ``fallback`` installed.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not d:
-        if fallback is None:
-            raise RuntimeError("spark.checkpoint.dir is not set; pass a shared fallback folder")
-        os.makedirs(fallback, exist_ok=True)
-        spark.sparkContext.setCheckpointDir(fallback)
-        d = fallback
-    else:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(d)
-    return d
-
-
 def materialize(df, spark: SparkSession | None = None):
     """Cut lineage: reliable checkpoint into the cluster's shared checkpoint folder.
 
@@ -90,13 +69,3 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
             raise RuntimeError("spark.checkpoint.dir is not set; the cluster must name a shared folder")
         base = tempfile.mkdtemp(prefix="qualis-")
     return f"{base.rstrip('/')}/qualis-{name}-{uuid.uuid4().hex}"
-
-
-def materialize_all(frames: dict, names) -> dict:
-    """``materialize`` several DataFrames as concurrent jobs."""
-    names = list(names)
-    if len(names) < 2:
-        return {n: materialize(frames[n]) for n in names}
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=len(names)) as pool:
-        return dict(zip(names, pool.map(lambda n: materialize(frames[n]), names)))
