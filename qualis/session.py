@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Settings every job of the pipeline relies on.  AQE re-plans joins at
-# runtime: a dimension whose materialised size is under the adaptive
-# broadcast threshold is broadcast, a larger one stays a shuffle join,
-# and skewed join partitions are split.
+# Settings every job of the pipeline relies on.  Lookups broadcast only
+# dimensions of measured size (operators.lookup); for every other join AQE
+# re-plans at runtime: a side that materialises under the adaptive
+# threshold is broadcast, small shuffle partitions are coalesced and
+# skewed join partitions are split.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
