@@ -138,3 +138,18 @@ class Warehouse:
         with ThreadPoolExecutor(max_workers=parallel) as pool:
             futures = {n: pool.submit(lambda n=n: self.write(n, frames[n])) for n in names}
             return {n: f.result() for n, f in futures.items()}
+
+    def register(self) -> list[str]:
+        """Expose the live version of every table as ``<layer>.<table>`` in the catalog.
+
+        SQL written against the warehouse (ad-hoc metric scripts) then runs
+        with ``spark.sql``; re-register after writes to follow new versions.
+        """
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.layer}")
+        names = []
+        for table in sorted(self._versions):
+            name = f"{self.layer}.{table}"
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            self.spark.catalog.createTable(name, path=self.path(table), source="parquet")
+            names.append(name)
+        return names
