@@ -111,3 +111,12 @@ def test_registered_tables_run_warehouse_sql(spark, tmp_dir):
     got = {r.review_id: (None if r.final_score_percentage is None else round(r.final_score_percentage, 9))
            for r in sql.collect()}
     assert got == want
+
+
+def test_python_none_in_legacy_document_fails(spark, tmp_dir):
+    """The legacy repair does not translate None, so such a document does not parse."""
+    d = os.path.join(tmp_dir, "none")
+    os.makedirs(d)
+    _write(os.path.join(d, "a.json"), LEGACY.replace("'Ann'", "None"))
+    with pytest.raises(Exception):
+        read_json_documents(spark, d).collect()
