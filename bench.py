@@ -24,7 +24,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from qualis.catalog import HEATMAP_CAUSES, QUERIES  # noqa: E402
 from qualis.lazy import lazy  # noqa: E402
 from qualis.operators.merge import merge_subscriptions  # noqa: E402
-from qualis.plans import checks, metrics, warehouse  # noqa: E402
+from qualis.plans import checks, metrics, relations, warehouse  # noqa: E402
 from qualis.session import build_session, scratch_dir  # noqa: E402
 from qualis.sources.fixtures import SOURCES, merge_source, merge_target, raw_table  # noqa: E402
 from qualis.sources.layers import Warehouse  # noqa: E402
@@ -82,7 +82,13 @@ def main() -> None:
         marts["fact_autoqa_root_cause"], marts["fact_autoqa_ratings"]))
     query("score_by_month", lambda: metrics.score_series(
         marts["fact_manual_reviews"], marts["fact_autoqa_ratings"], marts["fact_autoqa_reviews"], "month"))
+    query("score_by_week", lambda: metrics.score_series(
+        marts["fact_manual_reviews"], marts["fact_autoqa_ratings"], marts["fact_autoqa_reviews"], "week"))
     query("top_agents", lambda: metrics.top_agents(marts["fact_manual_reviews"]))
+    query("top_root_causes", lambda: metrics.top_root_causes(marts["fact_autoqa_root_cause"]))
+    query("star_root_cause_drill", lambda: relations.root_cause_drill(
+        marts["fact_autoqa_root_cause"], marts["fact_autoqa_ratings"], marts["fact_autoqa_reviews"]))
+    query("avg_score_per_reviewee", lambda: metrics.avg_score_per_reviewee(raw_wh.read("manual_reviews")))
     query("root_cause_heatmap", lambda: metrics.root_cause_heatmap(marts["fact_autoqa_root_cause"], HEATMAP_CAUSES))
     query("check_suite", lambda: checks.check_suite(marts, dim_rows))
     subs = raw_wh.read("customer_subscriptions")
