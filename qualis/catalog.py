@@ -169,10 +169,6 @@ QUERIES.update({
 # shared scratch folder in the export formats, then read back through the
 # library's readers and loaders.
 
-def _typed(df: DataFrame, table: str) -> DataFrame:
-    return df.select(*[df[c].cast(t).alias(c) for c, t in schemas.RAW_COLUMNS[table]])
-
-
 def q_scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "csv")
     (_raw(spark, sf_dir, "conversations").write.mode("overwrite")
@@ -205,7 +201,7 @@ def q_json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_subs_initial_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = Warehouse(spark, scratch_dir(spark, "warehouse"), "raw")
     load_subscriptions(_subscription_docs(spark, _raw(spark, sf_dir, "customer_subscriptions")), raw)
-    return _typed(raw.read(SUBSCRIPTIONS), SUBSCRIPTIONS)
+    return raw.read(SUBSCRIPTIONS, schemas.struct_type(SUBSCRIPTIONS))
 
 
 def q_subs_merge_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,7 +209,7 @@ def q_subs_merge_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = Warehouse(spark, scratch_dir(spark, "warehouse"), "raw")
     load_subscriptions(_subscription_docs(spark, merge_target(subs)), raw)
     load_subscriptions(_subscription_docs(spark, merge_source(subs)), raw)
-    return _typed(raw.read(SUBSCRIPTIONS), SUBSCRIPTIONS)
+    return raw.read(SUBSCRIPTIONS, schemas.struct_type(SUBSCRIPTIONS))
 
 
 QUERIES.update({

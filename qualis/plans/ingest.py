@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from qualis.lazy import lazy
+from qualis.schemas import struct_type
 from qualis.operators.merge import merge_subscriptions
 from qualis.sources.csv_source import LANDED_FILES, read_csv
 from qualis.sources.layers import Warehouse
@@ -32,6 +33,7 @@ def ingest_csv_tables(spark: SparkSession, landing_dir: str, raw: Warehouse,
 def load_subscriptions(batch: DataFrame, raw: Warehouse) -> int:
     """First load: partitioned create.  Later loads: MERGE into the live version."""
     if raw.exists(SUBSCRIPTIONS):
-        batch = merge_subscriptions(raw.read(SUBSCRIPTIONS), batch)
+        # declared schema: the partition column's type is not left to inference
+        batch = merge_subscriptions(raw.read(SUBSCRIPTIONS, struct_type(SUBSCRIPTIONS)), batch)
     return raw.write(SUBSCRIPTIONS, batch, partition_by="dt_customer_signup_date",
                      salt_column="subscription_id")

@@ -80,8 +80,10 @@ class Warehouse:
             raise FileNotFoundError(f"{self.layer}.{table} does not exist")
         return f"{self._dir(table)}/v{v}"
 
-    def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(table))
+    def read(self, table: str, schema=None) -> DataFrame:
+        """Live version of ``table``; ``schema`` fixes column types (also of partition columns)."""
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(self.path(table))
 
     def write(self, table: str, df: DataFrame, partition_by: str | None = None,
               salt_column: str | None = None, files_per_partition: int = 4) -> int:
