@@ -26,15 +26,22 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from qualis.operators.lookup import broadcastable
+
 
 def merge_when_changed(target: DataFrame, source: DataFrame, key: str,
-                       change_cols: tuple[str, ...], keep_cols: tuple[str, ...] = ()) -> DataFrame:
+                       change_cols: tuple[str, ...], keep_cols: tuple[str, ...] = (),
+                       source_rows: int | None = None) -> DataFrame:
+    """See the module docstring.  ``source_rows`` (measured) lets a small
+    batch be broadcast into every join, so the target is read map-side and
+    never shuffled."""
     cols = target.columns
     source = source.select(*cols)
+    small = broadcastable(source_rows)
     t_null, t_keyed = target.filter(F.col(key).isNull()), target.filter(F.col(key).isNotNull())
     s_null, s_keyed = source.filter(F.col(key).isNull()), source.filter(F.col(key).isNotNull())
 
-    t, s = t_keyed.alias("t"), s_keyed.alias("s")
+    t, s = t_keyed.alias("t"), (F.broadcast(s_keyed) if small else s_keyed).alias("s")
     diff = reduce(lambda a, b: a | b, [F.col(f"t.{c}") != F.col(f"s.{c}") for c in change_cols])
     changed = (t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"))
                .filter(F.coalesce(diff, F.lit(False)))
@@ -45,12 +52,19 @@ def merge_when_changed(target: DataFrame, source: DataFrame, key: str,
         F.lit(f"merge: several source rows update one target row on {key}"))).otherwise(F.lit(True))
 
     c = changed.select(*[F.col(x).alias(f"__s_{x}") for x in cols], F.lit(True).alias("__upd"))
+    if small:
+        c = F.broadcast(c)  # at most the batch's rows
     joined = t_keyed.join(c, t_keyed[key] == c[f"__s_{key}"], "left")
     upd = F.col("__upd").isNotNull()
     updated = joined.select(*[
         F.col(x) if x == key or x in keep_cols else F.when(upd, F.col(f"__s_{x}")).otherwise(F.col(x)).alias(x)
         for x in cols])
-    inserted = s_keyed.join(t_keyed.select(key), key, "left_anti").select(*cols)
+    if small:
+        # keys of the batch already in the target: a map-side pass over the target
+        existing = t_keyed.select(key).join(F.broadcast(s_keyed.select(key).distinct()), key).distinct()
+        inserted = s_keyed.join(F.broadcast(existing), key, "left_anti").select(*cols)
+    else:
+        inserted = s_keyed.join(t_keyed.select(key), key, "left_anti").select(*cols)
     out = updated.unionByName(t_null).unionByName(inserted).unionByName(s_null)
     return out.filter(guard)
 
@@ -62,6 +76,6 @@ SUBSCRIPTION_CHANGE_COLUMNS = ("subscription_updated_at", "customer_updated_at")
 SUBSCRIPTION_KEEP_COLUMNS = ("dt_customer_signup_date",)
 
 
-def merge_subscriptions(target: DataFrame, source: DataFrame) -> DataFrame:
+def merge_subscriptions(target: DataFrame, source: DataFrame, source_rows: int | None = None) -> DataFrame:
     return merge_when_changed(target, source, SUBSCRIPTION_KEY, SUBSCRIPTION_CHANGE_COLUMNS,
-                              SUBSCRIPTION_KEEP_COLUMNS)
+                              SUBSCRIPTION_KEEP_COLUMNS, source_rows)

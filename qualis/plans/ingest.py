@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from qualis.lazy import lazy
 from qualis.schemas import struct_type
+from qualis.session import materialize
 from qualis.operators.merge import merge_subscriptions
 from qualis.sources.csv_source import LANDED_FILES, read_csv
 from qualis.sources.layers import Warehouse
@@ -33,7 +34,11 @@ def ingest_csv_tables(spark: SparkSession, landing_dir: str, raw: Warehouse,
 def load_subscriptions(batch: DataFrame, raw: Warehouse) -> int:
     """First load: partitioned create.  Later loads: MERGE into the live version."""
     if raw.exists(SUBSCRIPTIONS):
+        # the batch is materialised and counted: a small daily batch is
+        # broadcast into the merge, so the target is never shuffled
+        batch = materialize(batch)
+        n = batch.count()
         # declared schema: the partition column's type is not left to inference
-        batch = merge_subscriptions(raw.read(SUBSCRIPTIONS, struct_type(SUBSCRIPTIONS)), batch)
+        batch = merge_subscriptions(raw.read(SUBSCRIPTIONS, struct_type(SUBSCRIPTIONS)), batch, n)
     return raw.write(SUBSCRIPTIONS, batch, partition_by="dt_customer_signup_date",
                      salt_column="subscription_id")

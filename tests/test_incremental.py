@@ -116,3 +116,13 @@ def test_upsert_with_measured_small_batch_broadcasts_keys(spark):
     dup = spark.createDataFrame([(5, "x"), (5, "y")], "k bigint, v string")
     with pytest.raises(Exception):
         upsert(tgt, dup, "k", new_rows_count=2).collect()
+
+
+def test_merge_with_measured_small_batch_is_map_side(spark):
+    t = spark.createDataFrame([(f"k{i}", 1, 1, i, "t") for i in range(50)], MERGE_SCHEMA)
+    s = spark.createDataFrame([("k3", 2, 1, 99, "s"), ("new", 1, 1, 7, "s")], MERGE_SCHEMA)
+    out = merge_when_changed(t, s, "id", ("t1", "t2"), ("keep",), source_rows=2)
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    got = {r.id: (r.t1, r.v, r.keep) for r in out.collect()}
+    assert len(got) == 51 and got["k3"] == (2, 99, "t") and got["new"] == (1, 7, "s") and got["k4"] == (1, 4, "t")

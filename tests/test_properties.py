@@ -69,7 +69,7 @@ def test_merge_when_changed_model(spark, tgt, src):
     for r in src:
         if r[0] in by_key and _changed(by_key[r[0]], r):
             updates.setdefault(r[0], []).append(r)
-    out = merge_when_changed(t, s, "id", ("t1", "t2"), ("keep",))
+    out = merge_when_changed(t, s, "id", ("t1", "t2"), ("keep",), source_rows=len(src) if len(src) % 2 else None)
     if any(len(v) > 1 for v in updates.values()):
         with pytest.raises(Exception):
             out.collect()
