@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from qualis.llm import packing
+from qualis.llm import exact, mixing, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.query,
+    "op3_exact_dedup": exact.query,
+    "op8_mixing": mixing.query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_exact_dedup": exact.ORACLE,
+}
