@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from qualis.llm import exact, mixing, packing
+from qualis.llm import exact, mixing, packing, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.query,
+    "op2_secrets": secrets.query,
     "op3_exact_dedup": exact.query,
+    "op5_quality": quality.query,
     "op8_mixing": mixing.query,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_secrets": secrets.ORACLE,
     "op3_exact_dedup": exact.ORACLE,
 }
