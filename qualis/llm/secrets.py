@@ -212,11 +212,15 @@ def joined(found: Column, rules: tuple[Rule, ...] = RULES) -> Column:
         ":", F.element_at(kinds, s["rank"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _of_rank(rank: int):
+    return lambda span: span["rank"] == rank
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     """op2: the whole texts of all documents."""
     found = scan(table(spark, sf_dir, "documents"))
     base = [i for i, r in enumerate(RULES) if r.base]
-    counts = [F.size(F.filter("found", lambda s, i=i: s["rank"] == i)).cast("long").alias(f"n_{RULES[i].kind}") for i in base]
+    counts = [F.size(F.filter("found", _of_rank(i))).cast("long").alias(f"n_{RULES[i].kind}") for i in base]
     base_spans = F.filter("found", lambda s: s["rank"] < len(base))
     return found.select("doc_id", *counts, F.sha2(joined(base_spans), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"))
 
