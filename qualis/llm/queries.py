@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from qualis.llm import exact, mixing, packing, quality, secrets
+from qualis.llm import exact, linededup, mixing, packing, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.query,
     "op2_secrets": secrets.query,
     "op3_exact_dedup": exact.query,
+    "op4_line_dedup": linededup.query,
     "op5_quality": quality.query,
     "op8_mixing": mixing.query,
 }
@@ -19,4 +20,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op2_secrets": secrets.ORACLE,
     "op3_exact_dedup": exact.ORACLE,
+    "op4_line_dedup": linededup.ORACLE,
 }
