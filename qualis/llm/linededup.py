@@ -38,8 +38,8 @@ PARTS = 4
 #: Shorter lines are compared exactly only: one edit changes too much of them.
 MIN_CHARS = 20
 BASE = 0x9E3779B97F4A7C15
-#: The order of occurrences; null ids come last.
-PLACE = "struct<no_id:boolean,doc_id:bigint,row:bigint,line_no:int>"
+#: The table of lines that may have a partner (8 bytes a row) is broadcast up to so many rows, else shuffled.
+BROADCAST_LINES = 2_000_000
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -49,18 +49,29 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """base ** 0, 1, ... n modulo 2**64; the longest table so far is kept per process."""
+    if len(_POWERS.get(base, ())) <= n:
+        steps = np.full(max(n, 1 << 16) + 1, base, np.uint64)
+        steps[0] = 1
+        _POWERS[base] = np.cumprod(steps, dtype=np.uint64)
+    return _POWERS[base][:n + 1]
+
+
 class SliceHashes:
     """Hashes of any slice of any of a list of lines: polynomials modulo 2**64 from prefix sums."""
 
     def __init__(self, lines: list[str]):
-        data = "".join(lines).encode("utf-32-le", "surrogatepass")
-        codes = _mixed(np.frombuffer(data, "<u4").astype(np.uint64) + np.uint64(1))
+        codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+        codes += np.uint64(1)
         self.length = np.array([len(x) for x in lines], np.int64)
         self.start = np.cumsum(self.length) - self.length
-        one, inverse = np.ones(1, np.uint64), pow(BASE, -1, 1 << 64)
-        self.up = np.cumprod(np.concatenate([one, np.full(len(codes) + 1, BASE, np.uint64)]), dtype=np.uint64)
-        down = np.cumprod(np.concatenate([one, np.full(len(codes), inverse, np.uint64)]), dtype=np.uint64)
-        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * down[:-1], dtype=np.uint64)])
+        self.up = _powers(BASE, len(codes) + 1)
+        codes *= _powers(pow(BASE, -1, 1 << 64), len(codes))[:-1]
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes, dtype=np.uint64)])
 
     def of(self, start: np.ndarray, end: np.ndarray, origin: np.ndarray) -> np.ndarray:
         """Hash of characters start..end (places in the joined lines), the one at ``origin`` having power 0."""
@@ -97,91 +108,98 @@ def variants(line: str) -> np.ndarray:
 
 
 def _emit_coarse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts to (key, line_hash), each distinct line of a block once."""
+    """Texts to (key, h1), each distinct line of a block once."""
     for block in blocks(batches):
         lines = list({line for text in block["text"] for line in text.split("\n") if len(line) >= MIN_CHARS})
         if lines:
             hashes = np.array([xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass"), 42) for x in lines], np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array(coarse_variants(lines).ravel().view(np.int64)), pa.array(np.repeat(hashes, 2 * PARTS).view(np.int64))],
-                                             names=["key", "line_hash"])
+                                             names=["key", "h1"])
 
 
 def _emit_variants(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(digest, first, line) to (variant, place, digest, first); place -1: the line itself."""
+    """(h1, line) to (variant, cut, h1); cut is the character left out, -1 for the line itself."""
     for batch in batches:
-        for k, line in enumerate(batch.column("line").to_pylist()):
+        for h1, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             keys = variants(line)
-            same = pa.array(np.full(len(keys), k))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), pa.array(np.arange(-1, len(keys) - 1, dtype=np.int32)), batch.column("digest").take(same), batch.column("first").take(same)],
-                names=["variant", "place", "digest", "first"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.arange(-1, len(keys) - 1, dtype=np.int32)), pa.array(np.full(len(keys), h1))],
+                                             names=["variant", "cut", "h1"])
 
 
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every line with a word in it: at (its place), line, digest, line_hash."""
-    rows = id_and_text(docs, id_col, text_col).withColumn("row", F.xxhash64("doc_id", "text"))
-    lines = rows.select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).where(F.col("line").rlike(WORD))
-    at = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "line_no")
-    return lines.select(at.alias("at"), "line", F.unhex(F.md5("line")).alias("digest"), F.xxhash64("line").alias("line_hash"))
+    """Every line with a word in it: h1, h2 (together its 128-bit digest), at (its place), line."""
+    lines = id_and_text(docs, id_col, text_col).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return (lines.where(F.btrim("line", F.lit(" \t\x0b\x0c\r")) != "")
+            .select(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), F.struct("doc_id", "line_no").alias("at"), "line"))
+
+
+def _shared(rows: DataFrame, key: str) -> DataFrame:
+    """Rows whose key occurs with different lines.  ``rows`` is partitioned by key; both uses read one exchange."""
+    more = rows.groupBy(key).agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low < high").select(key)
+    return rows.join(more, key, "left_semi")
+
+
+def _only(lines: DataFrame, able: DataFrame) -> DataFrame:
+    """Lines whose h1 is in the checkpointed table ``able``: broadcast if it is small, else a shuffled join."""
+    return lines.join(F.broadcast(able) if able.count() <= BROADCAST_LINES else able, "h1", "left_semi")
 
 
-def near_links(docs: DataFrame, distinct: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """digest, near: for each distinct line the place of the earliest earlier line that is one edit away.
+def near_links(docs: DataFrame, occurrences: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """h1, h2, near: for each distinct line the place of the earliest earlier line that is one edit away.
 
-    ``distinct`` has the digest and first place of every distinct line.
+    ``occurrences`` has h1, h2 and place of every line.
     """
     texts = id_and_text(docs, id_col, text_col).select("text")
-    # both uses of the keys read one exchange
-    keys = texts.mapInArrow(_emit_coarse, "key long, line_hash long").repartition("key")
-    shared = keys.groupBy("key").agg(F.min("line_hash").alias("low"), F.max("line_hash").alias("high")).where("low < high").select("key")
-    able = keys.join(shared, "key", "left_semi").select("line_hash").distinct()
-    lines = lines_of(docs, id_col, text_col).where(F.length("line") >= MIN_CHARS).select("line_hash", "digest", "line")
-    partners = (lines.join(able, "line_hash", "left_semi").groupBy("digest").agg(F.min("line").alias("line"))
-                .join(distinct.select("digest", "first"), "digest"))
-    partners = checkpointed(partners)
-
-    found = partners.select("digest", "first", "line").mapInArrow(_emit_variants, f"variant long, place int, digest binary, first {PLACE}")
-    hub, rest = F.col("place") == -1, F.col("place") >= 0
-    replaced = found.where(rest).groupBy("variant", "place").agg(F.min("first").alias("near"), F.max("first").alias("last")).where("near < last").drop("last")
-    shorter = (found.groupBy("variant").agg(F.min(F.when(hub, F.col("first"))).alias("whole"), F.min(F.when(rest, F.col("first"))).alias("longer"))
+    keys = texts.mapInArrow(_emit_coarse, "key long, h1 long").repartition("key")
+    able = checkpointed(_shared(keys, "key").select("h1").distinct())
+    lines = lines_of(docs, id_col, text_col).where(F.length("line") >= MIN_CHARS)
+    partners = checkpointed(
+        _only(lines.select("h1", "h2", "line"), able).groupBy("h1", "h2").agg(F.min("line").alias("line"))
+        .join(_only(occurrences, able).groupBy("h1", "h2").agg(F.min("at").alias("first")), ["h1", "h2"]))
+
+    found = _shared(partners.select("h1", "line").mapInArrow(_emit_variants, "variant long, cut int, h1 long").repartition("variant"), "variant")
+    found = checkpointed(found.join(partners.select("h1", "h2", "first"), "h1"))
+    whole, rest = F.col("cut") == -1, F.col("cut") >= 0
+    replaced = found.where(rest).groupBy("variant", "cut").agg(F.min("first").alias("near"))
+    shorter = (found.groupBy("variant").agg(F.min(F.when(whole, F.col("first"))).alias("whole"), F.min(F.when(rest, F.col("first"))).alias("longer"))
                .where("whole is not null and longer is not null"))
     links = (
-        found.where(rest).join(replaced, ["variant", "place"]).select("digest", "first", "near")
-        .unionByName(found.join(shorter, "variant").select("digest", "first", F.when(hub, F.col("longer")).otherwise(F.col("whole")).alias("near")))
-        .where("near < first").groupBy("digest").agg(F.min("near").alias("near")))
-    own, other = partners.alias("own"), partners.alias("other")
-    return (links.join(own, "digest").join(other, F.col("near") == F.col("other.first"))
-            .where(F.levenshtein(F.col("own.line"), F.col("other.line"), 1) >= 0).select(links["digest"], "near"))
+        found.where(rest).join(replaced, ["variant", "cut"]).select("h1", "h2", "first", "near")
+        .unionByName(found.join(shorter, "variant").select("h1", "h2", "first", F.when(whole, F.col("longer")).otherwise(F.col("whole")).alias("near")))
+        .where("near < first").groupBy("h1", "h2").agg(F.min("near").alias("near")))
+    other = partners.select(F.col("first").alias("near"), F.col("line").alias("other"))
+    return (links.join(partners.select("h1", "h2", "line"), ["h1", "h2"]).join(other, "near")
+            .where(F.levenshtein("line", "other", 1) >= 0).select("h1", "h2", "near"))
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Lines that go, one row each: at (their place), of (the place of the line that they repeat), edits.
+    """Lines that go, one row each: at (their place), h1, of (the place of the line that they repeat), edits.
 
     Lines are what "\\n" separates; those without a word always stay.  Places
-    are ordered by id (null last), then by text (its hash), then line number.
-    A line goes if an equal line occurs earlier (edits 0), or, from MIN_CHARS
-    characters on, a line one edit away first occurs before the line itself
-    first does (edits 1; then all its occurrences go).  ``of`` is the earliest
-    such line; it may itself go, in favour of a line one edit from it.
-
-    Null and empty texts have no lines.  Rows with the same id and text are
-    one document listed several times; their lines do not repeat each other.
-    An empty table gives no rows.
+    are ordered by id (null first), then line number.  A line goes if an equal
+    line occurs earlier (edits 0), or, from MIN_CHARS characters on, a line one
+    edit away first occurs before the line itself first does (edits 1; then
+    all its occurrences go).  ``of`` is the earliest such line; it may itself
+    go, in favour of a line one edit from it.
+
+    Null and empty texts have no lines.  Rows that share an id are one
+    document listed several times: equal lines at the same place of them do
+    not repeat each other.  An empty table gives no rows.
     """
-    lines = lines_of(docs, id_col, text_col).select("digest", "at")
-    distinct = checkpointed(lines.groupBy("digest").agg(F.min("at").alias("first"), F.max("at").alias("last")))
-    repeats = distinct.join(near_links(docs, distinct, id_col, text_col), "digest", "left").where("near is not null or first < last")
+    lines = checkpointed(lines_of(docs, id_col, text_col).select("h1", "h2", "at"))
+    distinct = lines.groupBy("h1", "h2").agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    repeats = distinct.join(near_links(docs, lines, id_col, text_col), ["h1", "h2"], "left").where("near is not null or first < last")
     edits = F.when(F.col("near").isNull(), 0).otherwise(1)
-    return (lines.join(repeats, "digest").where("near is not null or first < at")
-            .select("at", F.coalesce("near", "first").alias("of"), edits.alias("edits")).distinct())
+    return (lines.join(repeats, ["h1", "h2"]).where("near is not null or first < at")
+            .select("at", "h1", F.coalesce("near", "first").alias("of"), edits.alias("edits")))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the text of each row reduced to the lines that stay (null stays null)."""
-    gone = dropped_lines(docs, id_col, text_col).groupBy(F.col("at.row").alias("_row")).agg(F.collect_set("at.line_no").alias("_gone"))
-    key = F.xxhash64(docs[id_col].cast("long"), F.coalesce(docs[text_col].cast("string"), F.lit("")))
-    joined = docs.withColumn("_row", key).join(gone, "_row", "left")
-    stays: Column = F.filter(F.split(text_col, "\n"), lambda line, i: ~F.array_contains(F.col("_gone"), i))
+    gone = dropped_lines(docs, id_col, text_col)
+    gone = gone.groupBy(F.col("at.doc_id").alias("_id")).agg(F.collect_set(F.struct("at.line_no", "h1")).alias("_gone"))
+    joined = docs.join(gone, docs[id_col].cast("long").eqNullSafe(F.col("_id")), "left")
+    stays: Column = F.filter(F.split(text_col, "\n"), lambda line, i: ~F.array_contains(F.col("_gone"), F.struct(i.alias("line_no"), F.xxhash64(line).alias("h1"))))
     text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(stays, "\n"))
     return joined.withColumn(text_col, text).select(docs.columns)
 

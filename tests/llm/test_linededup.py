@@ -35,7 +35,7 @@ def test_shared_variants_mean_one_edit(a, b):
 
 def _brute(rows):
     """rows of (doc_id, text), ids distinct: {(doc_id, line_no): (of, edits)}."""
-    order = lambda at: (at[0] is None, at[0] or 0, at[1])
+    order = lambda at: (at[0] is not None, at[0] or 0, at[1])
     places = {}
     for d, t in rows:
         for k, line in enumerate((t or "").split("\n")):
@@ -86,6 +86,8 @@ def test_repeated_rows_are_one_document(spark):
     docs = spark.createDataFrame([(1, "same line here, long enough"), (1, "same line here, long enough"), (2, "same line here, long enough")], "doc_id long, text string")
     assert [(r.at.doc_id, r.of.doc_id) for r in dropped_lines(docs).collect()] == [(2, 1)]
     assert sorted(r.text for r in dedup_lines(docs).collect()) == ["", *["same line here, long enough"] * 2]
+    docs = spark.createDataFrame([(1, "a line\nanother"), (1, "another\nother"), (1, None)], "doc_id long, text string")
+    assert sorted(str(r.text) for r in dedup_lines(docs).collect()) == ["None", "a line", "another\nother"]
 
 
 def test_a_line_shared_by_many_lines_makes_no_pairs(spark):
