@@ -38,8 +38,8 @@ PARTS = 4
 #: Shorter lines are compared exactly only: one edit changes too much of them.
 MIN_CHARS = 20
 BASE = 0x9E3779B97F4A7C15
-#: The table of lines that may have a partner (8 bytes a row) is broadcast up to so many rows, else shuffled.
-BROADCAST_LINES = 2_000_000
+#: Tables of keys that different lines share (8 bytes a row) are broadcast up to so many rows, else shuffled.
+BROADCAST_KEYS = 2_000_000
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -109,7 +109,7 @@ def variants(line: str) -> np.ndarray:
 
 def _emit_coarse(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts to (key, h1), each distinct line of a block once."""
-    for block in blocks(batches):
+    for block in blocks(batches, max_chars=1_000_000):
         lines = list({line for text in block["text"] for line in text.split("\n") if len(line) >= MIN_CHARS})
         if lines:
             hashes = np.array([xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass"), 42) for x in lines], np.uint64)
@@ -133,15 +133,15 @@ def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             .select(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), F.struct("doc_id", "line_no").alias("at"), "line"))
 
 
-def _shared(rows: DataFrame, key: str) -> DataFrame:
-    """Rows whose key occurs with different lines.  ``rows`` is partitioned by key; both uses read one exchange."""
-    more = rows.groupBy(key).agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low < high").select(key)
-    return rows.join(more, key, "left_semi")
+def _only(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is in the checkpointed table of keys: broadcast if it is small, else a shuffled join."""
+    return rows.join(F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys, key, "left_semi")
 
 
-def _only(lines: DataFrame, able: DataFrame) -> DataFrame:
-    """Lines whose h1 is in the checkpointed table ``able``: broadcast if it is small, else a shuffled join."""
-    return lines.join(F.broadcast(able) if able.count() <= BROADCAST_LINES else able, "h1", "left_semi")
+def _shared(rows: DataFrame, key: str) -> DataFrame:
+    """Rows whose key occurs with different lines."""
+    different = rows.groupBy(key).agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low < high").select(key)
+    return _only(rows, checkpointed(different), key)
 
 
 def near_links(docs: DataFrame, occurrences: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -150,14 +150,14 @@ def near_links(docs: DataFrame, occurrences: DataFrame, id_col: str = "doc_id",
     ``occurrences`` has h1, h2 and place of every line.
     """
     texts = id_and_text(docs, id_col, text_col).select("text")
-    keys = texts.mapInArrow(_emit_coarse, "key long, h1 long").repartition("key")
+    keys = texts.mapInArrow(_emit_coarse, "key long, h1 long")
     able = checkpointed(_shared(keys, "key").select("h1").distinct())
     lines = lines_of(docs, id_col, text_col).where(F.length("line") >= MIN_CHARS)
     partners = checkpointed(
-        _only(lines.select("h1", "h2", "line"), able).groupBy("h1", "h2").agg(F.min("line").alias("line"))
-        .join(_only(occurrences, able).groupBy("h1", "h2").agg(F.min("at").alias("first")), ["h1", "h2"]))
+        _only(lines.select("h1", "h2", "line"), able, "h1").groupBy("h1", "h2").agg(F.min("line").alias("line"))
+        .join(_only(occurrences, able, "h1").groupBy("h1", "h2").agg(F.min("at").alias("first")), ["h1", "h2"]))
 
-    found = _shared(partners.select("h1", "line").mapInArrow(_emit_variants, "variant long, cut int, h1 long").repartition("variant"), "variant")
+    found = _shared(partners.select("h1", "line").mapInArrow(_emit_variants, "variant long, cut int, h1 long"), "variant")
     found = checkpointed(found.join(partners.select("h1", "h2", "first"), "h1"))
     whole, rest = F.col("cut") == -1, F.col("cut") >= 0
     replaced = found.where(rest).groupBy("variant", "cut").agg(F.min("first").alias("near"))
@@ -188,7 +188,8 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     lines = checkpointed(lines_of(docs, id_col, text_col).select("h1", "h2", "at"))
     distinct = lines.groupBy("h1", "h2").agg(F.min("at").alias("first"), F.max("at").alias("last"))
-    repeats = distinct.join(near_links(docs, lines, id_col, text_col), ["h1", "h2"], "left").where("near is not null or first < last")
+    # a table of its own, so that AQE can split the rows of a very common line in the join
+    repeats = checkpointed(distinct.join(near_links(docs, lines, id_col, text_col), ["h1", "h2"], "left").where("near is not null or first < last"))
     edits = F.when(F.col("near").isNull(), 0).otherwise(1)
     return (lines.join(repeats, ["h1", "h2"]).where("near is not null or first < at")
             .select("at", "h1", F.coalesce("near", "first").alias("of"), edits.alias("edits")))
