@@ -45,18 +45,16 @@ def signatures(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray, n_docs:
     # registers are filled by about registers * ln(registers) points; the horizon doubles for those that are not
     horizon = np.where(total > 0, registers * (np.log(registers) + 2.0) / np.maximum(total, 1), 0.0)
     todo = total > 0
-    began = np.zeros(n_docs)
     while todo.any():
         rows = np.flatnonzero(todo[doc])
-        _points(doc[rows], shingle[rows], weight[rows], began, horizon, registers, seed, best, out)
+        _points(doc[rows], shingle[rows], weight[rows], horizon, registers, seed, best, out)
         todo &= np.isinf(best).any(axis=1)
         horizon[todo] *= 2
     return out
 
 
-def _points(doc, shingle, weight, began, horizon, registers, seed, best, out) -> None:
+def _points(doc, shingle, weight, horizon, registers, seed, best, out) -> None:
     """Enter all points up to each document's horizon (earlier ones again, which changes nothing)."""
-    del began
     levels = np.ceil(np.log2(np.maximum(weight, 1))).astype(np.int64)  # last stretch of each weight
     for level in range(int(levels.max(initial=0)) + 1):
         own = np.flatnonzero(levels >= level)
@@ -82,12 +80,11 @@ def _points(doc, shingle, weight, began, horizon, registers, seed, best, out) ->
 
 def _first(doc, register, time, mark, best, out) -> None:
     """Keep in each register the point that is first in time."""
-    order = np.argsort(-time, kind="stable")  # the earliest is written last
-    d, r, t, m = doc[order], register[order], time[order], mark[order]
-    earlier = t < best[d, r]
-    d, r, t, m = d[earlier], r[earlier], t[earlier], m[earlier]
-    best[d, r] = t
-    out[d, r] = m
+    at = doc * best.shape[1] + register
+    times, marks = best.reshape(-1), out.reshape(-1)
+    np.minimum.at(times, at, time)
+    first = time == times[at]
+    marks[at[first]] = mark[first]
 
 
 def weighted_jaccard(a: dict, b: dict) -> float:
