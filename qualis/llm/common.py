@@ -12,6 +12,8 @@ from qualis.session import scratch_dir
 
 #: A word is a maximal run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Rows of a few longs that a partition of a small table holds.
+ROWS_A_PARTITION = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,12 +33,15 @@ def text_of(docs: DataFrame, text_col: str = "text") -> Column:
     return F.coalesce(docs[text_col].cast("string"), F.lit(""))
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the folder that ``spark.checkpoint.dir`` names (shared, survives executors)."""
+def checkpointed(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Cut the lineage in the folder that ``spark.checkpoint.dir`` names (shared, survives executors).
+
+    ``rows``: about how many short rows there are at most; few rows get few partitions.
+    """
     spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or scratch_dir(spark, "checkpoints"))
-    return df.checkpoint(eager=True)
+    return (df if rows is None else df.coalesce(rows // ROWS_A_PARTITION + 1)).checkpoint(eager=True)
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:

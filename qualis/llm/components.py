@@ -16,7 +16,8 @@ def components(links: DataFrame) -> DataFrame:
     only ever move towards the root, so the table never grows, and each step
     is an aggregate and a join on nodes.
     """
-    edges = checkpointed(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    n = links.count()
+    edges = checkpointed(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), n)
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -28,7 +29,7 @@ def components(links: DataFrame) -> DataFrame:
         down = large.join(lowest, "a")
         small = (down.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(lowest.select("a", F.col("m").alias("b")))).distinct()
-        new = checkpointed(small)
+        new = checkpointed(small, n)
         # done when every node has one link, to a node that links nowhere itself
         tangled = new.groupBy("a").count().where("count > 1").limit(1).count() or new.join(new.select(F.col("a").alias("b")).distinct(), "b", "left_semi").limit(1).count()
         edges = new

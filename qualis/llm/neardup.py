@@ -10,9 +10,15 @@ band's bucket are not paired with each other: in each round the first one
 leads, the others are compared with it, links merge classes, and the leader
 leaves the bucket.  A bucket whose nodes are all in one class is settled.
 So copies and near copies of one text cost a comparison each, however many
-there are.  Buckets of unlike nodes take more leaders each round, until all
-of their nodes that lie in different classes have been compared: no link is
-lost.
+there are.
+
+Nodes of buckets that are still mixed after some leaders (texts that share a
+long passage but are no near duplicates) get new, finer buckets that lose
+nothing: with shingles in one common order, rare ones first, two multisets
+of similarity t must share one of the first n - t*n + 1 of each.  What stands
+before a shared shingle bounds the overlap, and rules most pairs out.  These
+buckets take more leaders each round until all of their nodes in different
+classes have been compared or ruled out: no link is lost.
 """
 
 from __future__ import annotations
@@ -36,6 +42,10 @@ THRESHOLD = 0.8
 BANDS, ROWS = 20, 5
 #: Tables of a few longs a row are broadcast up to so many rows, else shuffled.
 BROADCAST_ROWS = 1_000_000
+#: Leaders per band in the rounds before finer buckets are made.
+BAND_LEADERS = (1,)
+#: One text in SAMPLE is read for frequent shingles, of which at most COMMON are kept.
+SAMPLE, COMMON = 8, 500_000
 
 
 def shingles(text: str) -> list[tuple[bytes, ...]]:
@@ -155,37 +165,123 @@ def _roots(rows: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
     """(node, root) of the nodes that share a bucket: the smallest node of the class."""
     nodes = checkpointed(members.select("node").distinct())
     texts = saved(rows.select("node", "text").join(_small(nodes), "node", "left_semi").groupBy("node").agg(F.min("text").alias("text")), "texts")
-    roots = nodes.select("node", F.col("node").alias("root"))
-    links = compared = None
-    leaders = 1
-    while True:
-        placed = members.join(roots, "node")
-        mixed_bands = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band")
-        placed = checkpointed(placed.join(mixed_bands, "band", "left_semi"))
-        if placed.limit(1).count() == 0:
-            return roots
-        lead = _leaders(placed, leaders)
-        # a leader meets the nodes of other classes that do not lead before it, unless sizes alone rule a link out
-        met = placed.alias("m").join(lead.alias("l"), "band").where("m.root <> l.root and m.node > l.node").where(
-            F.least("m.n", "l.n") >= F.lit(threshold) * F.greatest("m.n", "l.n"))
-        pairs = met.select(F.col("l.node").alias("a"), F.col("m.node").alias("b")).distinct()
-        pairs = checkpointed(pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti"))
-        if pairs.limit(1).count():
-            found = checkpointed(_links(pairs, texts, threshold))
-            compared = pairs if compared is None else compared.unionByName(pairs)
-            links = found if links is None else links.unionByName(found)
-            roots = checkpointed(nodes.join(components(links), "node", "left").select("node", F.coalesce("root", "node").alias("root")))
-        members = placed.drop("root").join(lead.select("band", "node"), ["band", "node"], "left_anti")
+    found = _Classes(nodes, texts, threshold)
+    members = members.withColumn("pos", F.lit(0).cast("long"))
+    for leaders in BAND_LEADERS:
+        members = found.settle(members, leaders)
+        if members is None:
+            return found.roots
+    # both uses of the unsettled nodes' texts read the same small table
+    unsettled = checkpointed(texts.join(found.mixed(members).select("node").distinct(), "node", "left_semi"))
+    common = frequent_shingles(unsettled)
+    keys = checkpointed(unsettled.mapInArrow(_emit_prefixes(common, threshold), "band long, node long, n long, pos long"))
+    shared = keys.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.min("n").alias("least")).where("low < high").select("band", "least")
+    # the shortest member that a node can be linked to bounds how far its shared shingle may stand
+    other = F.greatest(F.col("least"), F.ceil(F.lit(threshold - 1e-9) * F.col("n")))
+    members = checkpointed(keys.join(shared, "band").where(F.col("n") - F.col("pos") >= F.lit(threshold / (1 + threshold) - 1e-9) * (F.col("n") + other)).drop("least"))
+    found.n_members = members.count()
+    leaders = 4
+    while members is not None:
+        members = found.settle(members, leaders)
         leaders *= 4
-
-
-def _leaders(placed: DataFrame, n: int) -> DataFrame:
-    """The first n nodes of each band."""
+    return found.roots
+
+
+class _Classes:
+    """Links found so far, the pairs compared, and the classes they make."""
+
+    def __init__(self, nodes: DataFrame, texts: DataFrame, threshold: float):
+        self.nodes, self.texts, self.threshold = nodes, texts, threshold
+        self.roots = nodes.select("node", F.col("node").alias("root"))
+        self.links = self.compared = None
+        self.n_nodes = nodes.count()
+        self.n_members = self.n_nodes * BANDS
+
+    def mixed(self, members: DataFrame) -> DataFrame:
+        """(band, node, n, pos) of bands whose members lie in different classes, with their root."""
+        placed = members.join(self.roots, "node")
+        bands = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band")
+        return placed.join(bands, "band", "left_semi")
+
+    def settle(self, members: DataFrame, leaders: int) -> DataFrame | None:
+        """Compare the first nodes of each mixed band with the others; returns the members left, None if none are."""
+        placed = checkpointed(self.mixed(members), self.n_members)
+        self.n_members = placed.count()
+        if not self.n_members:
+            return None
+        lead = _leaders(placed, leaders, self.n_members)
+        # a leader meets the nodes of other classes that do not lead before it, unless a link is ruled out:
+        # what stands before the shared place is not shared, so the overlap is at most n - pos of either
+        reach = F.least(F.col("m.n") - F.col("m.pos"), F.col("l.n") - F.col("l.pos"))
+        need = F.lit(self.threshold / (1 + self.threshold) - 1e-9) * (F.col("m.n") + F.col("l.n"))
+        met = placed.alias("m").join(lead.alias("l"), "band").where("m.root <> l.root and m.node > l.node").where(reach >= need)
+        pairs = met.select(F.col("l.node").alias("a"), F.col("m.node").alias("b")).distinct()
+        pairs = checkpointed(pairs if self.compared is None else pairs.join(self.compared, ["a", "b"], "left_anti"), self.n_members * leaders)
+        n_pairs = pairs.count()
+        if n_pairs:
+            self.compared = pairs if self.compared is None else self.compared.unionByName(pairs)
+            found = checkpointed(_links(pairs, self.texts, self.threshold), n_pairs)
+            self.links = found if self.links is None else self.links.unionByName(found)
+            classed = components(self.links)
+            self.roots = checkpointed(self.nodes.join(classed, "node", "left").select("node", F.coalesce("root", "node").alias("root")), self.n_nodes)
+        return placed.drop("root").join(lead.select("band", "node"), ["band", "node"], "left_anti")
+
+
+def _leaders(placed: DataFrame, n: int, rows: int) -> DataFrame:
+    """The first n nodes of each band of a table of so many rows."""
     if n == 1:
         first = placed.groupBy("band").agg(F.min("node").alias("node"))
-        return checkpointed(placed.join(first, ["band", "node"], "left_semi"))
+        return checkpointed(placed.join(first, ["band", "node"], "left_semi"), rows)
     order = Window.partitionBy("band").orderBy("node")
-    return checkpointed(placed.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n).drop("rank"))
+    return checkpointed(placed.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n).drop("rank"), rows)
+
+
+def frequent_shingles(texts: DataFrame) -> dict[str, np.ndarray]:
+    """The most frequent shingles of a sample of texts, sorted by hash, with their counts.
+
+    They only set the order of shingles, so the sample and the bound on the
+    list (COMMON) decide how fast the finer buckets are, not what they find.
+    """
+    def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _Words()
+        for block in blocks(batches, max_chars=1_000_000):
+            yield pa.RecordBatch.from_arrays([pa.array(_shingle_hashes(block["text"], words)[1].view(np.int64))], names=["shingle"])
+
+    counts = texts.where(F.pmod("node", F.lit(SAMPLE)) == 0).mapInArrow(emit, "shingle long").groupBy("shingle").count().where("count > 1")
+    top = counts.orderBy(F.desc("count"), "shingle").limit(COMMON).toPandas()
+    hashes = top["shingle"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return {"shingle": hashes[order], "count": top["count"].to_numpy(np.int64)[order]}
+
+
+def prefix(shingle: np.ndarray, count: np.ndarray, common: dict[str, np.ndarray], threshold: float) -> np.ndarray:
+    """The first n - threshold * n + 1 elements of a multiset, frequent shingles last; the i-th copy of a shingle is an element of its own."""
+    rank = np.zeros(len(shingle), np.int64)
+    if len(common["shingle"]):
+        at = np.minimum(np.searchsorted(common["shingle"], shingle), len(common["shingle"]) - 1)
+        rank = np.where(common["shingle"][at] == shingle, common["count"][at], 0)
+    copy = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+    element = mixed(np.repeat(shingle, count) + copy.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    n = len(element)
+    order = np.lexsort((element, np.repeat(rank, count)))
+    return element[order[:n - int(np.ceil(threshold * n - 1e-9)) + 1]]
+
+
+def _emit_prefixes(common: dict[str, np.ndarray], threshold: float):
+    """(node, text) to (band, node, n, pos): an element of the text's prefix, its number of elements, the element's place."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _Words()
+        for block in blocks(batches, max_chars=1_000_000):
+            doc, shingle, count = _shingle_hashes(block["text"], words)
+            cuts = np.searchsorted(doc, np.arange(len(block["text"]) + 1))
+            parts = [prefix(shingle[i:j], count[i:j], common, threshold) for i, j in zip(cuts, cuts[1:])]
+            sizes, totals = [len(p) for p in parts], np.bincount(doc, weights=count, minlength=len(parts)).astype(np.int64)
+            columns = (np.concatenate(parts).view(np.int64), np.repeat(np.array(block["node"], np.int64), sizes), np.repeat(totals, sizes),
+                       np.concatenate([np.arange(k) for k in sizes]))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["band", "node", "n", "pos"])
+
+    return run
 
 
 def query(spark, sf_dir: str) -> DataFrame:

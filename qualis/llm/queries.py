@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from qualis.llm import exact, linededup, mixing, neardup, packing, quality, secrets
+from qualis.llm import chunks, exact, linededup, mixing, neardup, packing, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.query,
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality": quality.query,
     "op7_near_dedup": neardup.query,
     "op8_mixing": mixing.query,
+    "op10_substring_dedup": chunks.query,
 }
 
 ORACLES: dict[str, str] = {

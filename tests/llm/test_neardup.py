@@ -95,6 +95,37 @@ def test_unlike_members_of_a_bucket_are_all_compared(spark, monkeypatch):
     assert len(set(got.values())) == 5 and SHINGLE == 5
 
 
+def test_similar_multisets_share_a_prefix_element():
+    from qualis.llm.neardup import prefix
+
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        n = int(rng.integers(1, 30))
+        keys = rng.integers(0, 2**62, n).astype(np.uint64)
+        a = rng.integers(0, 4, n)
+        b = np.maximum(a + rng.integers(-1, 2, n) * (rng.random(n) < 0.2), 0)
+        if not a.sum() or not b.sum() or np.minimum(a, b).sum() < THRESHOLD * np.maximum(a, b).sum():
+            continue
+        known = np.sort(rng.choice(keys, n // 2, replace=False))
+        common = {"shingle": known, "count": rng.integers(2, 9, len(known))}
+        pa, pb = (prefix(keys[x > 0], x[x > 0], common, THRESHOLD) for x in (a, b))
+        assert set(pa.tolist()) & set(pb.tolist())
+
+
+def test_texts_that_share_a_long_passage_are_told_apart(spark):
+    """One bucket of many unlike texts: finer buckets decide, with few comparisons."""
+    from qualis.llm import neardup
+
+    passage = [f"p{i}" for i in range(100)]
+    rows = [(i, " ".join([*passage, *(f"own{i}x{k}" for k in range(20 if i % 4 else 6))])) for i in range(60)]
+    node_rows = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "text", "xxhash64(text) as node")
+    members = node_rows.selectExpr("1L as band", "node", "size(split(text, ' ')) - 4L as n")
+    got = {r.node: r.root for r in neardup._roots(node_rows, members, THRESHOLD).collect()}
+    nodes = {r.doc_id: r.node for r in node_rows.collect()}
+    want = _brute(rows)
+    assert all((got[nodes[i]] == got[nodes[j]]) == (want[i] == want[j]) for i in nodes for j in nodes)
+
+
 def test_a_large_group_costs_a_comparison_each(spark):
     base = [f"w{i}" for i in range(100)]
     rows = [(i, " ".join([*base, f"end{i}"])) for i in range(800)]
