@@ -1,19 +1,74 @@
 """From documents to packed training sequences: filter, dedup, mix and pack.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows its
-predecessor kept.
+predecessor kept.  ``run`` writes every stage's rows as a table in the
+shared folder, so a lost executor costs that stage's tasks at most.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
+from qualis.llm import linededup, mixing, neardup, packing, quality
+from qualis.llm.common import checkpointed, saved, table
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that neither the base rules nor the learned decision list reject."""
+    rules = quality.fit(docs, table(spark, sf_dir, "labels"))
+    judged = quality.judge(docs, rules, carry=tuple(docs.columns))
+    return judged.where("kept").select(docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that repeat an earlier line; n_chars follows the text, a document left without words goes."""
+    kept = linededup.dedup_lines(docs)
+    kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return kept.where(F.btrim("text", F.lit(" \t\n\x0b\x0c\r")) != "").select(docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each near-duplicate class."""
+    kept = neardup.classes(docs).where("kept").select("doc_id", F.col("text_key").alias("_key")).distinct()
+    keyed = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    ids = kept.withColumnRenamed("doc_id", "_id")
+    return keyed.join(ids, (keyed["doc_id"].eqNullSafe(ids["_id"])) & (keyed["_key"] == ids["_key"]), "left_semi").select(docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as many times as the mix takes it."""
+    copies = mixing.mix(docs, carry=True).groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("n"))
+    copies = checkpointed(copies.where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "copies", "n"))
+    sized = docs.withColumn("_words", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(mixing.WORD)).cast("long"))
+    on = sized["doc_id"].eqNullSafe(copies["_id"]) & sized["source"].eqNullSafe(copies["_source"]) & (sized["_words"] == copies["_size"])
+    # rows that agree in id, source and size share their copies evenly (one such row takes all of its own)
+    share = F.ceil(F.col("copies") / F.col("n")).cast("int")
+    return sized.join(copies, on).withColumn("_copy", F.explode(F.sequence(F.lit(1), share))).select(docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces in sequences of 2048."""
+    import public_tokenizers
+
+    pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "segment")
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
+    ("MinHash near-dedup", near_dedup),
+    ("mixing sources to target weights", mix_sources),
+    ("packing", pack_sequences),
+]
+
+#: The learned rules, the signatures, the pivotal choice and the packing are not SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = saved(stage(spark, docs, sf_dir), "stage")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -54,8 +54,8 @@ def text_counts(text: str) -> tuple[int, ...]:
 
 def with_counts(docs: DataFrame, text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """The COUNTS of every row's whole text (null: empty), after the columns to carry along."""
-    rows = docs.select(*[docs[c] for c in carry], text_of(docs, text_col).alias("text"))
-    kept = [f for f in rows.schema.fields if f.name != "text"]
+    rows = docs.select(*[docs[c] for c in carry], text_of(docs, text_col).alias("_counted"))
+    kept = rows.schema.fields[:-1]
     kind = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"{c} long" for c in COUNTS])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
