@@ -24,10 +24,11 @@ from qualis.llm.common import blocks, checkpointed, id_and_text, table
 MASK_BITS, LEAST, MOST = 5, 8, 256
 #: Bytes that the hash depends on: its low MASK_BITS + shift see the last WINDOW bytes.
 WINDOW = 16
-#: Repeated spans of fewer words are left alone.
-MIN_WORDS = 25
-#: Tables of digests (16 bytes a row) are broadcast up to so many rows, else shuffled.
-BROADCAST_ROWS = 1_000_000
+#: Repeated spans of fewer words are left alone.  Ends of a passage that fill no chunk are not part of
+#: its span (40 bytes on average at either end), so this is well below the passages that matter.
+MIN_WORDS = 15
+#: Tables of digests or spans are broadcast up to so many rows, else shuffled.
+BROADCAST_ROWS = 500_000
 
 _GEAR = np.random.Generator(np.random.PCG64(2024)).integers(0, 2**32, 256, dtype=np.uint32)
 
@@ -71,24 +72,24 @@ def chunk_ends(data: bytes) -> list[int]:
 
 
 def _emit_chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, row, text) to (d1, d2, doc_id, row, chunk, start, size): digest and byte range of every chunk."""
+    """(row, text) to (d1, d2, row, at): the digest of every chunk; at = 1024 * its number + its size."""
     for block in blocks(batches, max_chars=2_000_000):
-        ids, rows, numbers, starts, sizes, digests = [], [], [], [], [], []
-        for doc_id, row, text in zip(block["doc_id"], block["row"], block["text"]):
+        rows, places, digests = [], [np.zeros(0, np.int64)], []
+        for row, text in zip(block["row"], block["text"]):
             data = text.encode("utf-8", "surrogatepass")
             ends = chunk_ends(data)
             begins = [0, *ends[:-1]]
-            ids += [doc_id] * len(ends)
             rows += [row] * len(ends)
-            numbers.append(np.arange(len(ends), dtype=np.int32))
-            starts += begins
-            sizes += [e - b for b, e in zip(begins, ends)]
+            places.append(np.arange(len(ends)) * 1024 + np.array(ends, np.int64) - np.array(begins[:len(ends)], np.int64))
             digests += [xxhash.xxh3_128_digest(data[b:e]) for b, e in zip(begins, ends)]
         halves = np.frombuffer(b"".join(digests), ">i8").astype(np.int64).reshape(-1, 2)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(ids, pa.int64()), pa.array(rows, pa.int64()),
-             pa.array(np.concatenate(numbers)), pa.array(starts, pa.int32()), pa.array(sizes, pa.int32())],
-            names=["d1", "d2", "doc_id", "row", "chunk", "start", "size"])
+        yield pa.RecordBatch.from_arrays([pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(rows, pa.int64()), pa.array(np.concatenate(places))],
+                                         names=["d1", "d2", "row", "at"])
+
+
+def _known(df: DataFrame) -> DataFrame:
+    """A checkpointed table, marked for broadcast if it is short."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -105,36 +106,40 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     one document.  An empty table gives no rows.
     """
     rows = id_and_text(docs, id_col, text_col).withColumn("row", F.xxhash64("doc_id", "text"))
-    chunks = rows.select("doc_id", "row", "text").mapInArrow(
-        _emit_chunks, "d1 long, d2 long, doc_id long, row long, chunk int, start int, size int")
-    place = F.struct("doc_id", "row")
-    # one row per digest that occurs in several documents; a table of its own, so that AQE can split
-    # the rows of a very common chunk in the join
-    shared = checkpointed(chunks.groupBy("d1", "d2").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low < high").select("d1", "d2"))
-    found = chunks.join(F.broadcast(shared) if shared.count() <= BROADCAST_ROWS else shared, ["d1", "d2"])
-    found = checkpointed(found)
-    firsts = checkpointed(found.groupBy("d1", "d2").agg(F.min(place).alias("first")))
+    chunks = rows.select("row", "text").mapInArrow(_emit_chunks, "d1 long, d2 long, row long, at long")
+    # chunks of one document only go first; half of the digest does for that
+    shared = checkpointed(chunks.groupBy("d1").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low < high").select("d1"))
+    ids = checkpointed(rows.select("row", "doc_id").distinct())
+    found = checkpointed(chunks.join(_known(shared), "d1", "left_semi").join(_known(ids), "row"))
+    # a table of its own, so that AQE can split the rows of a very common chunk in the join
+    firsts = checkpointed(found.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "row")).alias("first"), F.max(F.struct("doc_id", "row")).alias("last"))
+                          .where("first < last").drop("last"))
     repeats = found.join(firsts, ["d1", "d2"]).where(F.struct("doc_id", "row") > F.col("first"))
+    chunk, size = F.shiftright("at", 10), F.col("at") % 1024
     per_row = Window.partitionBy("row").orderBy("chunk")
     spans = (
-        repeats.select("doc_id", "row", "chunk", "start", "size", F.col("first.doc_id").alias("of")).distinct()
+        repeats.select("row", "doc_id", chunk.alias("chunk"), size.alias("size"), F.col("first.doc_id").alias("of")).distinct()
         .withColumn("run", F.col("chunk") - F.row_number().over(per_row))
-        .groupBy("doc_id", "row", "run").agg(F.min("start").alias("from"), F.max(F.col("start") + F.col("size")).alias("to"), F.min("of").alias("of_doc_id")))
+        .groupBy("row", "run").agg(F.min("chunk").alias("from"), F.max("chunk").alias("to"), F.sum("size").alias("bytes"), F.min("of").alias("of_doc_id"))
+        .where(F.col("bytes") >= 2 * min_words - 1)  # so many words and what separates them
+        .groupBy("row").agg(F.collect_list(F.struct("from", "to", "of_doc_id")).alias("spans")))
     # back to the text, to give places in characters and to count words
-    texts = rows.join(checkpointed(spans).groupBy("row").agg(F.collect_list(F.struct("from", "to", "of_doc_id")).alias("spans")), "row").dropDuplicates(["row"])
+    texts = rows.join(_known(checkpointed(spans)), "row").select("doc_id", "row", "text", "spans")
     placed = texts.mapInArrow(_place_spans, "doc_id long, row long, start long, end long, n_words long, of_doc_id long")
-    return placed.where(F.col("n_words") >= min_words)
+    return placed.where(F.col("n_words") >= min_words).distinct()
 
 
 def _place_spans(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Byte spans of a text to spans of characters, with the words that lie within."""
+    """Runs of a text's chunks (first and last number) to spans of characters, with the words that lie within."""
     for block in blocks(batches, max_chars=2_000_000):
         out = []
         for doc_id, row, text, spans in zip(block["doc_id"], block["row"], block["text"], block["spans"]):
             data = text.encode("utf-8", "surrogatepass")
+            cuts = [0, *chunk_ends(data)]
             for s in spans:
-                inside = data[s["from"]:s["to"]]
-                start = len(data[:s["from"]].decode("utf-8", "replace"))
+                begin = cuts[s["from"]]
+                inside = data[begin:cuts[s["to"] + 1]]
+                start = len(data[:begin].decode("utf-8", "replace"))
                 out.append((doc_id, row, start, start + len(inside.decode("utf-8", "replace")), len(inside.split()), s["of_doc_id"]))
         columns = zip(*out) if out else [()] * 6
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "row", "start", "end", "n_words", "of_doc_id"])

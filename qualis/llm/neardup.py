@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from qualis.llm.bagminhash import mixed, signatures, weighted_jaccard
-from qualis.llm.common import blocks, checkpointed, id_and_text, saved, table
+from qualis.llm.common import ROWS_A_PARTITION, blocks, checkpointed, id_and_text, saved, table
 from qualis.llm.components import components
 
 SHINGLE = 5
@@ -220,7 +220,7 @@ class _Classes:
         n_pairs = pairs.count()
         if n_pairs:
             self.compared = pairs if self.compared is None else self.compared.unionByName(pairs)
-            found = checkpointed(_links(pairs, self.texts, self.threshold), n_pairs)
+            found = checkpointed(_links(pairs, self.texts, self.threshold)).coalesce(n_pairs // ROWS_A_PARTITION + 1)
             self.links = found if self.links is None else self.links.unionByName(found)
             classed = components(self.links)
             self.roots = checkpointed(self.nodes.join(classed, "node", "left").select("node", F.coalesce("root", "node").alias("root")), self.n_nodes)

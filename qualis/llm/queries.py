@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from qualis.llm import chunks, exact, linededup, mixing, neardup, packing, quality, secrets
+from qualis.llm import chunks, exact, linededup, mixing, neardup, packing, pseudonyms, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.query,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": exact.query,
     "op4_line_dedup": linededup.query,
     "op5_quality": quality.query,
+    "op6_pseudonyms": pseudonyms.query,
     "op7_near_dedup": neardup.query,
     "op8_mixing": mixing.query,
     "op10_substring_dedup": chunks.query,
