@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from qualis.llm import chunks, exact, linededup, mixing, neardup, packing, pseudonyms, quality, secrets
+from qualis.llm import chunks, exact, linededup, lmscore, mixing, neardup, packing, pseudonyms, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.query,
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_pseudonyms": pseudonyms.query,
     "op7_near_dedup": neardup.query,
     "op8_mixing": mixing.query,
+    "op9_lm_scores": lmscore.query,
     "op10_substring_dedup": chunks.query,
 }
 
