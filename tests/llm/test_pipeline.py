@@ -1,0 +1,40 @@
+import __spark_entry__ as entry
+import corpus_pipeline
+
+from qualis.llm.neardup import THRESHOLD, similarity
+
+PATH = "/root/testdata/sf0.001"
+
+
+def test_stages_keep_their_promises(spark):
+    docs = spark.read.parquet(f"{PATH}/documents.parquet")
+    columns = docs.columns
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, PATH).cache()
+        kept[name] = out.collect()
+        if name != "packing":
+            assert out.columns == columns and [f.dataType for f in out.schema] == [f.dataType for f in docs.schema]
+            docs = out
+    filtered, deduped, apart, mixed, packed = kept.values()
+    assert filtered and all(len(r.text.split()) >= 50 for r in filtered)
+    lines = [x for r in deduped for x in r.text.split("\n") if x.strip()]
+    assert len(lines) == len(set(lines)) and all(r.n_chars == len(r.text) for r in deduped)
+    texts = [r.text for r in apart]
+    assert not any(similarity(a, b) >= THRESHOLD for i, a in enumerate(texts) for b in texts[:i])
+    assert {r.doc_id for r in mixed} <= {r.doc_id for r in apart}
+    assert {r.doc_id for r in packed} == {r.doc_id for r in mixed}
+    assert sum(r.start == 0 for r in packed) == len(mixed)
+
+
+def test_registered_with_the_operators():
+    queries = entry.queries()
+    assert "pipeline" in queries and [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in queries)] == []
+    assert set(entry.oracle_sql()) <= set(queries)
+
+
+def test_empty_documents(spark):
+    docs = spark.read.parquet(f"{PATH}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, PATH)
+    assert docs.count() == 0
