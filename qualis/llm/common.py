@@ -51,15 +51,30 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def blocks(batches: Iterable[pa.RecordBatch], size_col: str = "text", max_chars: int = 4_000_000) -> Iterator[dict[str, list]]:
-    """Arrow batches as column lists of at most ``max_chars`` of text (one longer text stands alone)."""
+#: Rows of a batch that are Python objects at a time, besides the block being gathered.
+SLICE = 64
+
+
+def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut to SLICE rows; memory that Arrow no longer needs is given back in between."""
     for batch in batches:
-        columns = {n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names)}
-        texts, start, chars = columns[size_col], 0, 0
-        for i, text in enumerate(texts):
-            if chars and chars + len(text) > max_chars:
-                yield {n: v[start:i] for n, v in columns.items()}
-                start, chars = i, 0
-            chars += len(text)
-        if start < len(texts):
-            yield {n: v[start:] for n, v in columns.items()}
+        for start in range(0, batch.num_rows, SLICE):
+            yield batch.slice(start, SLICE)
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
+def blocks(batches: Iterable[pa.RecordBatch], size_col: str = "text", max_chars: int = 2_000_000) -> Iterator[dict[str, list]]:
+    """Arrow batches as column lists of about ``max_chars`` of text (by whole slices of rows)."""
+    columns: dict[str, list] = {}
+    chars = 0
+    for part in slices(batches):
+        own = {n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)}
+        size = sum(map(len, own[size_col]))
+        if columns and chars + size > max_chars:
+            yield columns
+            columns, chars = {}, 0
+        columns = {n: columns.get(n, []) + v for n, v in own.items()}
+        chars += size
+    if columns:
+        yield columns

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qualis.llm.common import blocks, table, text_of
+from qualis.llm.common import slices, table, text_of
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_distinct", "n_upper", "n_digits", "n_stops",
           "longest_word")
@@ -59,7 +59,7 @@ def with_counts(docs: DataFrame, text_col: str = "text", carry: tuple[str, ...]
     kind = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"{c} long" for c in COUNTS])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             counts = [text_counts(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
             columns = [pa.array(c, pa.int64()) for c in (zip(*counts) if counts else [()] * len(COUNTS))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=[*batch.schema.names[:-1], *COUNTS])

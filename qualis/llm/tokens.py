@@ -20,7 +20,7 @@ import numpy as np
 LATIN_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r 0-9a-zß-öø-ÿ]+")
 NOT_PLAIN = re.compile(r"[^\t-\r\x20-\x7eÀ-ÖØ-öø-ÿß–—‘’“”…]|<\|")
 #: Words whose ids a worker remembers; beyond that it starts anew (bounds memory, not results).
-CACHE_WORDS = 600_000
+CACHE_WORDS = 300_000
 
 
 def _byte_letters() -> list[str]:
