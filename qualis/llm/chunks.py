@@ -28,7 +28,7 @@ WINDOW = 16
 #: its span (40 bytes on average at either end), so this is well below the passages that matter.
 MIN_WORDS = 15
 #: Tables of digests or spans are broadcast up to so many rows, else shuffled.
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 100_000
 
 _GEAR = np.random.Generator(np.random.PCG64(2024)).integers(0, 2**32, 256, dtype=np.uint32)
 
