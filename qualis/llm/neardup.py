@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from qualis.llm.bagminhash import mixed, signatures, weighted_jaccard
-from qualis.llm.common import ROWS_A_PARTITION, blocks, checkpointed, id_and_text, saved, table
+from qualis.llm.common import blocks, checkpointed, id_and_text, saved, table
 from qualis.llm.components import components
 
 SHINGLE = 5
@@ -42,6 +42,8 @@ THRESHOLD = 0.8
 BANDS, ROWS = 20, 5
 #: Tables of a few longs a row are broadcast up to so many rows, else shuffled.
 BROADCAST_ROWS = 1_000_000
+#: Pairs of texts that a task compares.
+PAIRS_A_PARTITION = 5_000
 #: Leaders per band in the rounds before finer buckets are made.
 BAND_LEADERS = (1,)
 #: One text in SAMPLE is read for frequent shingles, of which at most COMMON are kept.
@@ -60,7 +62,7 @@ class _Words(dict):
     """word -> 64-bit hash, remembered."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h
@@ -220,7 +222,7 @@ class _Classes:
         n_pairs = pairs.count()
         if n_pairs:
             self.compared = pairs if self.compared is None else self.compared.unionByName(pairs)
-            found = checkpointed(_links(pairs, self.texts, self.threshold)).coalesce(n_pairs // ROWS_A_PARTITION + 1)
+            found = checkpointed(_links(pairs, self.texts, self.threshold).coalesce(n_pairs // PAIRS_A_PARTITION + 1))
             self.links = found if self.links is None else self.links.unionByName(found)
             classed = components(self.links)
             self.roots = checkpointed(self.nodes.join(classed, "node", "left").select("node", F.coalesce("root", "node").alias("root")), self.n_nodes)
