@@ -27,7 +27,7 @@ WINDOW = 16
 #: Repeated spans of fewer words are left alone.  Ends of a passage that fill no chunk are not part of
 #: its span (40 bytes on average at either end), so this is well below the passages that matter.
 MIN_WORDS = 15
-#: Tables of digests or spans are broadcast up to so many rows, else shuffled.
+#: Tables of a row a document are broadcast up to so many rows, else shuffled.
 BROADCAST_ROWS = 500_000
 
 _GEAR = np.random.Generator(np.random.PCG64(2024)).integers(0, 2**32, 256, dtype=np.uint32)
@@ -110,7 +110,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # chunks of one document only go first; half of the digest does for that
     shared = checkpointed(chunks.groupBy("d1").agg(F.min("row").alias("low"), F.max("row").alias("high")).where("low < high").select("d1"))
     ids = checkpointed(rows.select("row", "doc_id").distinct())
-    found = checkpointed(chunks.join(_known(shared), "d1", "left_semi").join(_known(ids), "row"))
+    # as many digests as text grows them: a sort-merge join at every size, whose skewed partitions AQE splits
+    found = checkpointed(chunks.join(shared.hint("merge"), "d1", "left_semi").join(_known(ids), "row"))
     # a table of its own, so that AQE can split the rows of a very common chunk in the join
     firsts = checkpointed(found.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "row")).alias("first"), F.max(F.struct("doc_id", "row")).alias("last"))
                           .where("first < last").drop("last"))
