@@ -33,6 +33,14 @@ def text_of(docs: DataFrame, text_col: str = "text") -> Column:
     return F.coalesce(docs[text_col].cast("string"), F.lit(""))
 
 
+def few(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of at most about ``rows`` short rows, in no more partitions than they need.
+
+    A step over a small table then neither starts a task nor leaves a shuffle file per shuffle partition.
+    """
+    return df.coalesce(rows // ROWS_A_PARTITION + 1)
+
+
 def checkpointed(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Cut the lineage in the folder that ``spark.checkpoint.dir`` names (shared, survives executors).
 
@@ -41,7 +49,7 @@ def checkpointed(df: DataFrame, rows: int | None = None) -> DataFrame:
     spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or scratch_dir(spark, "checkpoints"))
-    return (df if rows is None else df.coalesce(rows // ROWS_A_PARTITION + 1)).checkpoint(eager=True)
+    return (df if rows is None else few(df, rows)).checkpoint(eager=True)
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qualis.llm.common import checkpointed
+from qualis.llm.common import checkpointed, few
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -19,16 +19,16 @@ def components(links: DataFrame) -> DataFrame:
     n = links.count()
     edges = checkpointed(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), n)
     while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        both = few(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), n)
+        least = few(both.groupBy("a").agg(F.min("b").alias("m")), n).select("a", F.least("a", "m").alias("m"))
         # larger neighbours of a node get its least known node
         up = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = up.where("a <> b").distinct()
+        large = few(few(up.where("a <> b"), n).distinct(), n)
         # of each node's smaller neighbours, all point to the least
-        lowest = large.groupBy("a").agg(F.min("b").alias("m"))
-        down = large.join(lowest, "a")
-        small = (down.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .unionByName(lowest.select("a", F.col("m").alias("b")))).distinct()
+        lowest = few(large.groupBy("a").agg(F.min("b").alias("m")), n)
+        down = few(large.join(lowest, "a"), n)
+        small = few(down.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+                    .unionByName(lowest.select("a", F.col("m").alias("b"))), n).distinct()
         new = checkpointed(small, n)
         # done when every node has one link, to a node that links nowhere itself
         tangled = new.groupBy("a").count().where("count > 1").limit(1).count() or new.join(new.select(F.col("a").alias("b")).distinct(), "b", "left_semi").limit(1).count()

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from qualis.llm.bagminhash import mixed, signatures, weighted_jaccard
-from qualis.llm.common import blocks, checkpointed, id_and_text, saved, table
+from qualis.llm.common import blocks, checkpointed, few, id_and_text, saved, table
 from qualis.llm.components import components
 
 SHINGLE = 5
@@ -126,11 +126,17 @@ def _verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(block["a"], pa.int64()), pa.array(block["b"], pa.int64()), pa.array(out, pa.float64())], names=["a", "b", "similarity"])
 
 
-def _links(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) that reach the threshold.  ``texts`` (node, text) holds a row per node."""
-    one = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    two = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    full = pairs.join(two, "b").join(one, "a").select("a", "b", "text_a", "text_b")
+def _links(pairs: DataFrame, n_pairs: int, texts: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b), so many, that reach the threshold.  ``texts`` (node, text) holds a row per node.
+
+    Few pairs go to the texts, so that only texts in pairs are shuffled.
+    """
+    near, heads = pairs, few(pairs.select("a").distinct(), n_pairs)
+    if n_pairs <= BROADCAST_ROWS:
+        near, heads = F.broadcast(near), F.broadcast(heads)
+    one = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")).join(heads, "a", "left_semi")
+    two = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")).join(near, "b")
+    full = two.join(one, "a").select("a", "b", "text_a", "text_b")
     return full.mapInArrow(_verify, "a long, b long, similarity double").where(F.col("similarity") >= threshold).select("a", "b")
 
 
@@ -201,7 +207,7 @@ class _Classes:
 
     def mixed(self, members: DataFrame) -> DataFrame:
         """(band, node, n, pos) of bands whose members lie in different classes, with their root."""
-        placed = members.join(self.roots, "node")
+        placed = few(members.join(self.roots, "node"), self.n_members)
         bands = placed.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("band")
         return placed.join(bands, "band", "left_semi")
 
@@ -217,12 +223,12 @@ class _Classes:
         reach = F.least(F.col("m.n") - F.col("m.pos"), F.col("l.n") - F.col("l.pos"))
         need = F.lit(self.threshold / (1 + self.threshold) - 1e-9) * (F.col("m.n") + F.col("l.n"))
         met = placed.alias("m").join(lead.alias("l"), "band").where("m.root <> l.root and m.node > l.node").where(reach >= need)
-        pairs = met.select(F.col("l.node").alias("a"), F.col("m.node").alias("b")).distinct()
+        pairs = few(met.select(F.col("l.node").alias("a"), F.col("m.node").alias("b")), self.n_members * leaders).distinct()
         pairs = checkpointed(pairs if self.compared is None else pairs.join(self.compared, ["a", "b"], "left_anti"), self.n_members * leaders)
         n_pairs = pairs.count()
         if n_pairs:
             self.compared = pairs if self.compared is None else self.compared.unionByName(pairs)
-            found = checkpointed(_links(pairs, self.texts, self.threshold).coalesce(n_pairs // PAIRS_A_PARTITION + 1))
+            found = checkpointed(_links(pairs, n_pairs, self.texts, self.threshold).coalesce(n_pairs // PAIRS_A_PARTITION + 1))
             self.links = found if self.links is None else self.links.unionByName(found)
             classed = components(self.links)
             self.roots = checkpointed(self.nodes.join(classed, "node", "left").select("node", F.coalesce("root", "node").alias("root")), self.n_nodes)
