@@ -21,7 +21,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from qualis.catalog import HEATMAP_CAUSES, QUERIES  # noqa: E402
+from qualis.catalog import QUERIES  # noqa: E402
 from qualis.lazy import lazy  # noqa: E402
 from qualis.operators.merge import merge_subscriptions  # noqa: E402
 from qualis.plans import checks, metrics, relations, warehouse  # noqa: E402
@@ -89,7 +89,7 @@ def main() -> None:
     query("star_root_cause_drill", lambda: relations.root_cause_drill(
         marts["fact_autoqa_root_cause"], marts["fact_autoqa_ratings"], marts["fact_autoqa_reviews"]))
     query("avg_score_per_reviewee", lambda: metrics.avg_score_per_reviewee(raw_wh.read("manual_reviews")))
-    query("root_cause_heatmap", lambda: metrics.root_cause_heatmap(marts["fact_autoqa_root_cause"], HEATMAP_CAUSES))
+    query("root_cause_heatmap", lambda: metrics.root_cause_heatmap(marts["fact_autoqa_root_cause"]))
     query("check_suite", lambda: checks.check_suite(marts, dim_rows))
     subs = raw_wh.read("customer_subscriptions")
     query("subs_merge_raw", lambda: merge_subscriptions(merge_target(subs), merge_source(subs)))

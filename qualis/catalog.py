@@ -113,11 +113,6 @@ QUERIES["check_relationships"] = _checks(checks.relationship_checks, sized_paren
 QUERIES["check_suite"] = _checks(checks.check_suite, sized_parents=True)
 
 
-# Root causes of the fixture data (cause-<supplier key mod 10>), the
-# heat map's column list.
-HEATMAP_CAUSES = [f"cause-{i}" for i in range(10)]
-
-
 def _raw_join(fn, *tables: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(*[_raw(spark, sf_dir, t) for t in tables])
@@ -160,7 +155,7 @@ QUERIES.update({
                                 "fact_autoqa_reviews", unit="month"),
     "top_agents": _on_marts(metrics.top_agents, "fact_manual_reviews", k=10),
     "top_root_causes": _on_marts(metrics.top_root_causes, "fact_autoqa_root_cause", k=5),
-    "root_cause_heatmap": _on_marts(metrics.root_cause_heatmap, "fact_autoqa_root_cause", causes=HEATMAP_CAUSES),
+    "root_cause_heatmap": _on_marts(metrics.root_cause_heatmap, "fact_autoqa_root_cause"),
 })
 
 

@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 TS_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
 DATE_SHAPE = r"^\d{4}-\d{1,2}-\d{1,2}$"
 
+# A full date at the start; a clock time that an offset follows.
+FULL_DATE = r"^\s*\d{4}-\d{1,2}-\d{1,2}([ T]|\s*$)"
+WITH_OFFSET = r":\d{1,2}(\.\d+)?\s*(Z|UTC|GMT|[+-]\d{1,2}(:\d{2})?)\s*$"
+
 # The sentinel for sources without a time, and the
 # default high-water mark of an empty target.
 SENTINEL_TS = "1970-01-01 00:00:00"
@@ -25,8 +29,11 @@ def _c(c: Column | str) -> Column:
 
 
 def strict_ts(c: Column | str) -> Column:
-    """``CAST(x AS TIMESTAMP)``: malformed text is an error under ANSI mode."""
-    return _c(c).cast("timestamp_ntz")
+    """``CAST(x AS TIMESTAMP)`` in UTC: an offset is applied; text that is malformed or lacks a full date is an error."""
+    c = _c(c)
+    utc = F.timestamp_add("MICROSECOND", F.unix_micros(c.cast("timestamp")), ts_literal(SENTINEL_TS))
+    return (F.when(~c.rlike(FULL_DATE), F.raise_error(F.concat(F.lit("not a timestamp: "), c)).cast("timestamp_ntz"))
+            .when(c.rlike(WITH_OFFSET), utc).otherwise(c.cast("timestamp_ntz")))
 
 
 def safe_ts(c: Column | str) -> Column:

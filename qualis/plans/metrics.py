@@ -46,12 +46,12 @@ def weighted_score(manual_rating: DataFrame) -> DataFrame:
     na = F.col("rating") == NOT_APPLICABLE_RATING
     part = (F.col("rating") / F.col("rating_max")) * F.col("weight")
     sums = manual_rating.groupBy("review_id").agg(
-        F.sum(F.when(na, F.lit(0.0)).otherwise(part)).alias("weighted_score_sum"),
-        F.sum(F.when(na, F.lit(0.0)).otherwise(F.col("weight"))).alias("weight_sum"))
+        F.sum(F.when(na, F.lit(0.0)).otherwise(part)).alias("points"),
+        F.sum(F.when(na, F.lit(0.0)).otherwise(F.col("weight"))).alias("weights"))
     return sums.select(
         "review_id",
-        F.when(F.col("weight_sum") == 0, F.lit(0.0))
-        .otherwise(F.round(100 * (F.col("weighted_score_sum") / F.col("weight_sum")), METRIC_DECIMALS))
+        F.when(F.col("weights") == 0, F.lit(0.0))
+        .otherwise(F.round(100 * (F.col("points") / F.col("weights")), METRIC_DECIMALS))
         .alias("final_score_percentage"))
 
 
@@ -119,11 +119,10 @@ def top_root_causes(fact_root_cause: DataFrame, k: int = 5) -> DataFrame:
     return g.orderBy(F.desc("frequency"), F.asc("root_cause")).limit(k)
 
 
-def root_cause_heatmap(fact_root_cause: DataFrame, causes: list[str]) -> DataFrame:
-    """Category x root cause counts, one column per listed cause.
+def root_cause_heatmap(fact_root_cause: DataFrame) -> DataFrame:
+    """Category x root cause counts, one row per cell that occurs (a missing cause is a NULL one).
 
-    The cause list is given, so the pivot needs no extra job to discover
-    its values and the output schema is fixed.
+    Long form, so no list of causes has to be given or discovered and no
+    cause is left out.
     """
-    return (fact_root_cause.groupBy("category").pivot("root_cause", causes)
-            .agg(F.count(F.lit(1))).na.fill(0, subset=causes))
+    return fact_root_cause.groupBy("category", "root_cause").agg(F.count(F.lit(1)).alias("frequency"))

@@ -69,8 +69,13 @@ def manual_rating_drill(manual_ratings: DataFrame, manual_reviews: DataFrame) ->
 
 
 def reviews_by_date(manual_reviews: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Manual reviews per calendar month and weekday through the date dimension."""
+    """Manual reviews per calendar month and weekday through the date dimension.
+
+    Reviews without a creation date, or with one outside the calendar, are
+    counted under NULL.
+    """
     d = F.broadcast(dim_date.select("date_key", "year", "month", "day_name"))
-    j = manual_reviews.select("date_key_created", "score").join(d, manual_reviews["date_key_created"] == d["date_key"])
+    j = manual_reviews.select("date_key_created", "score").join(d, manual_reviews["date_key_created"] == d["date_key"],
+                                                                      "left")
     return j.groupBy("year", "month", "day_name").agg(
         F.count(F.lit(1)).alias("n_reviews"), F.round(F.avg("score"), 9).alias("avg_score"))

@@ -158,7 +158,8 @@ def run(raw: dict[str, DataFrame], warehouse, full_refresh: bool = True, paralle
     Order: dimensions, then facts reading the written dimensions, then the
     flat marts.  Tables of one group are independent and are written as
     ``parallel`` concurrent jobs.  A mart whose target is missing is built
-    as a full refresh.
+    as a full refresh.  The calendar is written with the dimensions; the
+    flat marts are left out while no subscription export has been loaded.
     """
     stg = staging(raw)
 
@@ -174,8 +175,9 @@ def run(raw: dict[str, DataFrame], warehouse, full_refresh: bool = True, paralle
 
     dims = build_dimensions(stg, targets(DIMENSIONS), marks=marks(DIMENSIONS))
     counts = warehouse.write_many(dims, DIMENSIONS, parallel)
-    # written dimensions: lineage cut, exact sizes known from the writes (an
-    # empty result writes nothing: the live version, if any, is counted)
+    if full_refresh or not warehouse.exists("dim_date"):
+        counts["dim_date"] = warehouse.write("dim_date", dim_models.dim_date(warehouse.spark))
+    # written dimensions: lineage cut, exact sizes known from the writes
     frames, rows = {}, {}
     for n in DIMENSIONS:
         if counts[n] or not warehouse.exists(n):
@@ -186,5 +188,6 @@ def run(raw: dict[str, DataFrame], warehouse, full_refresh: bool = True, paralle
     # each writer thread builds its fact (and sizes its incremental batch)
     new = build_facts(stg, Dims(frames, rows), targets(FACTS), marks=marks(FACTS))
     counts.update(warehouse.write_many(new, FACTS, parallel))
-    counts.update(warehouse.write_many(build_flat(stg), FLAT, parallel))
+    if "customer_subscriptions" in raw:
+        counts.update(warehouse.write_many(build_flat(stg), FLAT, parallel))
     return counts

@@ -55,7 +55,7 @@ def read_csv(spark: SparkSession, path: str | list[str], table: str, multiline:
     text_schema = T.StructType([T.StructField(c, T.StringType()) for c in names]
                                + [T.StructField(_CORRUPT, T.StringType())])
     raw = (spark.read.schema(text_schema)
-           .option("header", True).option("escape", '"').option("quote", '"')
+           .option("header", True).option("enforceSchema", False).option("escape", '"').option("quote", '"')
            .option("multiLine", multiline).option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", _CORRUPT)
            .option("nullValue", None).option("emptyValue", "")
@@ -66,7 +66,9 @@ def read_csv(spark: SparkSession, path: str | list[str], table: str, multiline:
                        {"escape": '"', "quote": '"', "mode": "PERMISSIVE"}).getField(f"f{len(names)}")
     long_row = F.col(_CORRUPT).isNotNull() & extra.isNotNull()
     checked = raw.filter(F.when(long_row, F.raise_error(
-        F.concat(F.lit(f"{table}: row has more fields than the header: "), F.col(_CORRUPT))))
+        # naming every column here keeps the check the same whichever columns are read
+        F.concat(F.lit(f"{table}: row has more fields than the header: "), F.col(_CORRUPT), F.lit(" read as "),
+                 F.concat_ws("|", *names))))
         .otherwise(F.lit(True)))
     out = []
     for name, typ in schemas.RAW_COLUMNS[table]:

@@ -55,7 +55,7 @@ FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey GROUP BY l_orderkey, l_
 SELECT CASE WHEN l_orderkey % 101 = 0 THEN NULL ELSE concat('rt-', CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) END AS autoqa_rating_id,
  CAST(l_linenumber AS DOUBLE) AS category, CAST(CAST(l_quantity AS BIGINT) % 3 AS DOUBLE) AS count,
  CASE WHEN l_linestatus = 'O' THEN concat('cause-', CAST(l_suppkey % 10 AS STRING)) ELSE NULL END AS root_cause
-FROM {lineitem} WHERE l_returnflag = 'R'""",
+FROM {lineitem}""",
     "conversations": """
 SELECT o_custkey % 50 AS payment_id, o_custkey % 5 AS payment_token_id,
  CASE WHEN o_orderkey % 211 = 0 THEN NULL ELSE o_orderkey END AS external_ticket_id,
@@ -84,7 +84,7 @@ SELECT event_id AS review_id, o_custkey % 50 AS payment_id, o_custkey % 5 AS pay
  event_id % 9 AS team_id, user_id % 20 AS reviewer_id,
  CASE WHEN event_id % 29 = 0 THEN NULL ELSE CAST(user_id AS DOUBLE) END AS reviewee_id,
  CAST(NULL AS DOUBLE) AS comment_id, CAST(event_id % 3 AS DOUBLE) AS scorecard_id, event_type AS scorecard_tag,
- CASE WHEN event_id % 31 = 0 THEN NULL ELSE least(100.0, value) END AS score,
+ CASE WHEN event_id % 31 = 0 THEN NULL ELSE value END AS score,
  substring(CAST(ts AS STRING),1,19) AS updated_at, user_id % 20 AS updated_by,
  event_id % 2 = 0 AS assignment_review, event_id % 3 = 0 AS seen, event_id % 50 = 0 AS disputed,
  value AS review_time_seconds, event_type AS assignment_name, substring(CAST(ts AS STRING),1,19) AS imported_at

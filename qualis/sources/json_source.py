@@ -109,7 +109,9 @@ def parse_documents(docs: DataFrame, legacy: bool = True) -> DataFrame:
     """One row per list element from a DataFrame of whole documents (column ``value``)."""
     text = repair_legacy_text(F.col("value")) if legacy else F.col("value")
     parsed = docs.select(F.from_json(text, document_schema(), {"mode": "FAILFAST"}).alias("doc"))
-    elements = parsed.select(F.explode("doc.list").alias("e")).select("e.*")
+    # a document that is empty or has no list is an error, not an export of no rows
+    items = F.when(F.col("doc.list").isNull(), F.raise_error(F.lit("document without a list"))).otherwise(F.col("doc.list"))
+    elements = parsed.select(F.explode(items).alias("e")).select("e.*")
     return conform(flatten(elements)).hint("rebalance", "subscription_id")
 
 

@@ -11,9 +11,10 @@ writes the next) and readers never see a half-written table.  Folders
 and the pointer are ordinary Spark reads/writes, so any Hadoop-compatible
 shared store works; nothing is kept on a machine-local disk.
 
-Sink rules: an empty input leaves the table untouched (the pointer does
-not move; the write job itself counts its rows, so the input is computed
-once);
+Sink rules: an empty input leaves a ``raw`` table untouched (the pointer
+does not move; the write job itself counts its rows, so the input is
+computed once), while a ``dw`` or ``refined`` rebuild replaces the table
+even by no rows;
 after a write the rows are counted back from the written files and
 compared with the rows the write job itself observed.
 """
@@ -86,8 +87,12 @@ class Warehouse:
         return reader.parquet(self.path(table))
 
     def write(self, table: str, df: DataFrame, partition_by: str | None = None,
-              salt_column: str | None = None, files_per_partition: int = 4) -> int:
-        """Write ``df`` as the next version; returns the row count (0: nothing written).
+              salt_column: str | None = None, files_per_partition: int = 4,
+              keep_on_empty: bool | None = None) -> int:
+        """Write ``df`` as the next version; returns the row count.
+
+        With ``keep_on_empty`` (by default in the raw layer only) an empty
+        ``df`` leaves the live version as it was.
 
         With ``partition_by`` the folders are one per value; rows of a value
         are spread over ``files_per_partition`` writer tasks by a hash of
@@ -112,7 +117,7 @@ class Warehouse:
         w.parquet(target)
         observed_metrics = obs.get
         written = observed_metrics["rows"]
-        if written == 0:
+        if written == 0 and (self.layer == "raw" if keep_on_empty is None else keep_on_empty):
             return 0  # pointer not moved: the live version stays as it was
         back = self.spark.read.parquet(target).count()
         if back != written:
@@ -153,5 +158,7 @@ class Warehouse:
             name = f"{self.layer}.{table}"
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
             self.spark.catalog.createTable(name, path=self.path(table), source="parquet")
+            if any(c.isPartition for c in self.spark.catalog.listColumns(name)):
+                self.spark.catalog.recoverPartitions(name)
             names.append(name)
         return names
