@@ -9,7 +9,7 @@ results equal to the reference's loader:
   and blank cells are NULL;
 * a row with fewer fields than the header is padded with NULLs, but a row
   with more fields, or a cell that does not parse as its declared type, is
-  an error.
+  an error, and so is a header that names other columns or another order.
 
 Everything is column expressions over ``spark.read.csv``: the checks are
 ``raise_error`` projections evaluated on the executors while the files
