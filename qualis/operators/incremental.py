@@ -46,7 +46,8 @@ def only_new_keys(source: DataFrame, target: DataFrame, source_key: Column | str
     Empty target: every row passes, NULL keys included.  Target holding a
     NULL key: nothing passes.  Otherwise rows with a non-NULL key absent
     from the target pass.  Runs as a plain (shuffle or AQE-broadcast)
-    left anti join plus a scalar mode, never as a nested-loop join.
+    left anti join plus a scalar mode, never as a nested-loop join.  Rows
+    with a NULL key go past the join, so they never meet in one task.
     """
     skey = _c(source_key)
     tkey = _c(target_key if target_key is not None else source_key)
@@ -54,9 +55,10 @@ def only_new_keys(source: DataFrame, target: DataFrame, source_key: Column | str
     n_all, n_key = F.count(F.lit(1)), F.count("__nk")
     mode = tk.agg(F.when(n_all == 0, F.lit(0)).when(n_key < n_all, F.lit(1)).otherwise(F.lit(2))).scalar()
     cols = source.columns
-    keyed = source.withColumn("__nk", skey)
-    kept = keyed.join(tk.filter(F.col("__nk").isNotNull()), "__nk", "left_anti")
-    return kept.filter((mode == 0) | ((mode == 2) & F.col("__nk").isNotNull())).select(*cols)
+    rows = source.withColumn("__nk", skey)
+    keyed, unkeyed = rows.filter(F.col("__nk").isNotNull()), rows.filter(F.col("__nk").isNull())
+    kept = keyed.join(tk.filter(F.col("__nk").isNotNull()), "__nk", "left_anti").filter(mode != 1)
+    return kept.select(*cols).unionByName(unkeyed.filter(mode == 0).select(*cols))
 
 
 def upsert(target: DataFrame, new_rows: DataFrame, key: str, check_duplicates: bool = True,
@@ -99,10 +101,14 @@ def sync_columns(target: DataFrame, source_schema) -> DataFrame:
     """``on_schema_change='sync_all_columns'``: the target takes the source's columns.
 
     Columns new in the source appear as typed NULLs for existing rows;
-    columns absent from the source are dropped.  Column order follows the
-    source.
+    columns absent from the source are dropped; a column whose type changed
+    is cast to the source's type (a value that the cast cannot hold is an
+    error).  Column order follows the source.
     """
-    have = set(target.columns)
-    return target.select(*[
-        F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
-        for f in source_schema.fields])
+    have = {f.name: f.dataType for f in target.schema.fields}
+
+    def column(f) -> Column:
+        if f.name not in have:
+            return F.lit(None).cast(f.dataType).alias(f.name)
+        return F.col(f.name) if have[f.name] == f.dataType else F.col(f.name).cast(f.dataType).alias(f.name)
+    return target.select(*[column(f) for f in source_schema.fields])

@@ -38,13 +38,17 @@ def lookup(fact: DataFrame, fact_id: str, dim: DataFrame, dim_id: str, dim_key:
     """Add ``out`` (default ``dim_key``) = the dimension key of ``fact[fact_id]``, NULL if absent.
 
     The dimension must be unique on ``dim_id`` (every dimension here is
-    grouped by it), so the fact's row count never changes.
+    grouped by it), so the fact's row count never changes.  Where the join
+    shuffles, fact rows without an id go past it, so that they never meet
+    in one task.
     """
     out = out or dim_key
     tmp = f"__lk_{out}"
     dtype = fact.schema[fact_id].dataType
     d = dim.select(F.col(dim_id).cast("bigint").alias(tmp), F.col(dim_key).alias(out))
-    if broadcastable(dim_rows):
-        d = F.broadcast(d)
     f = fact.withColumn(tmp, whole_id(fact_id, dtype))
-    return f.join(d, tmp, "left").drop(tmp)
+    if broadcastable(dim_rows):
+        return f.join(F.broadcast(d), tmp, "left").drop(tmp)
+    found = f.filter(F.col(tmp).isNotNull()).join(d, tmp, "left").drop(tmp)
+    without = f.filter(F.col(tmp).isNull()).drop(tmp).withColumn(out, F.lit(None).cast(dim.schema[dim_key].dataType))
+    return found.unionByName(without)

@@ -11,10 +11,15 @@ THEN UPDATE SET <all but keep columns> WHEN NOT MATCHED THEN INSERT``:
 * target rows without a source row: kept;
 * "changed" is ``a <> b OR ...`` under three-valued logic: a NULL on
   either side is not a change;
-* two source rows updating one target row: an error (checked lazily).
-
-Built from one inner join (to find changed pairs), one left join of the
-target with those pairs and one anti join for inserts.  NULL keys can
+* two source rows updating one target row: an error (checked lazily);
+  several target rows of one key are each updated.
+
+The target's key, change and keep columns are joined once with the
+batch's keys and change columns.  That table of matches (about as many
+rows as the batch) is cut off by a checkpoint and says all the rest:
+which target rows go, which source rows replace them, which are new.
+The target is then read once as a whole and loses the rows that are
+replaced; no other column of the batch is ever broadcast.  NULL keys can
 never match, so NULL-key rows bypass the joins entirely; a NULL key
 holding a third of a batch therefore never lands in one join task.
 """
@@ -27,45 +32,60 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from qualis.operators.lookup import broadcastable
+from qualis.session import materialize
+
+
+def _all(conditions):
+    return reduce(lambda a, b: a & b, conditions)
 
 
 def merge_when_changed(target: DataFrame, source: DataFrame, key: str,
                        change_cols: tuple[str, ...], keep_cols: tuple[str, ...] = (),
                        source_rows: int | None = None) -> DataFrame:
-    """See the module docstring.  ``source_rows`` (measured) lets a small
-    batch be broadcast into every join, so the target is read map-side and
-    never shuffled."""
+    """See the module docstring.  ``source_rows`` (measured) lets the keys
+    and change columns of a small batch be broadcast, so the target is read
+    map-side and never shuffled."""
     cols = target.columns
     source = source.select(*cols)
     small = broadcastable(source_rows)
-    t_null, t_keyed = target.filter(F.col(key).isNull()), target.filter(F.col(key).isNotNull())
-    s_null, s_keyed = source.filter(F.col(key).isNull()), source.filter(F.col(key).isNotNull())
-
-    t, s = t_keyed.alias("t"), (F.broadcast(s_keyed) if small else s_keyed).alias("s")
-    diff = reduce(lambda a, b: a | b, [F.col(f"t.{c}") != F.col(f"s.{c}") for c in change_cols])
-    changed = (t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"))
-               .filter(F.coalesce(diff, F.lit(False)))
-               .select(*[F.col(f"s.{c}").alias(c) for c in cols]))
 
-    n_multi = changed.groupBy(key).count().filter("count > 1").agg(F.count(F.lit(1))).scalar()
+    def side(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if small else df
+
+    s_keyed = source.filter(F.col(key).isNotNull())
+    # what decides: one row per key and change columns of the batch, with its number of rows
+    deciding = s_keyed.groupBy(F.col(key).alias("__k"), *[F.col(c).alias(f"__s_{c}") for c in change_cols]).agg(
+        F.count(F.lit(1)).alias("__n"))
+    narrow = target.filter(F.col(key).isNotNull()).select(
+        F.col(key).alias("__tk"), *[F.col(c).alias(f"__t_{c}") for c in change_cols],
+        *[F.col(c).alias(f"__keep_{c}") for c in keep_cols])
+    differs = reduce(lambda a, b: a | b, [F.col(f"__t_{c}") != F.col(f"__s_{c}") for c in change_cols])
+    matches = materialize(narrow.join(side(deciding), F.col("__tk") == F.col("__k")).drop("__tk")
+                          .withColumn("__changed", F.coalesce(differs, F.lit(False))))
+    changed = matches.filter("__changed")
+
+    t_state = ["__k", *[f"__t_{c}" for c in change_cols]]
+    s_state = [f"__s_{c}" for c in change_cols]
+    # source rows that would update a target row in the same state
+    updates = changed.groupBy(*t_state, *s_state).agg(F.max("__n").alias("__n")).groupBy(*t_state).agg(
+        F.sum("__n").alias("__n"))
+    n_multi = updates.filter("__n > 1").agg(F.count(F.lit(1))).scalar()
     guard = F.when(n_multi > 0, F.raise_error(
         F.lit(f"merge: several source rows update one target row on {key}"))).otherwise(F.lit(True))
 
-    c = changed.select(*[F.col(x).alias(f"__s_{x}") for x in cols], F.lit(True).alias("__upd"))
-    if small:
-        c = F.broadcast(c)  # at most the batch's rows
-    joined = t_keyed.join(c, t_keyed[key] == c[f"__s_{key}"], "left")
-    upd = F.col("__upd").isNotNull()
-    updated = joined.select(*[
-        F.col(x) if x == key or x in keep_cols else F.when(upd, F.col(f"__s_{x}")).otherwise(F.col(x)).alias(x)
-        for x in cols])
-    if small:
-        # keys of the batch already in the target: a map-side pass over the target
-        existing = t_keyed.select(key).join(F.broadcast(s_keyed.select(key).distinct()), key).distinct()
-        inserted = s_keyed.join(F.broadcast(existing), key, "left_anti").select(*cols)
-    else:
-        inserted = s_keyed.join(t_keyed.select(key), key, "left_anti").select(*cols)
-    out = updated.unionByName(t_null).unionByName(inserted).unionByName(s_null)
+    replaced = changed.select(*t_state).distinct()
+    stays = target.filter(F.col(key).isNotNull()).join(
+        side(replaced), _all([F.col(key) == F.col("__k"),
+                              *[F.col(c).eqNullSafe(F.col(f"__t_{c}")) for c in change_cols]]), "left_anti")
+    updated = s_keyed.join(
+        side(changed.select("__k", *s_state, *[f"__keep_{c}" for c in keep_cols])),
+        _all([F.col(key) == F.col("__k"),
+              *[F.col(c).eqNullSafe(F.col(f"__s_{c}")) for c in change_cols]])).select(
+        *[F.col(f"__keep_{c}").alias(c) if c in keep_cols else F.col(c) for c in cols])
+    existing = matches.select("__k").distinct()
+    inserted = s_keyed.join(side(existing), F.col(key) == F.col("__k"), "left_anti")
+    out = (stays.unionByName(target.filter(F.col(key).isNull())).unionByName(updated)
+           .unionByName(inserted).unionByName(source.filter(F.col(key).isNull())))
     return out.filter(guard)
 
 
