@@ -40,5 +40,4 @@ def load_subscriptions(batch: DataFrame, raw: Warehouse) -> int:
         n = batch.count()
         # declared schema: the partition column's type is not left to inference
         batch = merge_subscriptions(raw.read(SUBSCRIPTIONS, struct_type(SUBSCRIPTIONS)), batch, n)
-    return raw.write(SUBSCRIPTIONS, batch, partition_by="dt_customer_signup_date",
-                     salt_column="subscription_id")
+    return raw.write(SUBSCRIPTIONS, batch, partition_by="dt_customer_signup_date")

@@ -15,9 +15,11 @@ the lineage between the two stages.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from qualis.lazy import LazyTables, lazy
 from qualis.operators.incremental import upsert
+from qualis.operators.lookup import broadcastable
 from qualis.plans import dims as dim_models
 from qualis.plans import facts as fact_models
 from qualis.plans import marts as flat_marts
@@ -52,6 +54,8 @@ DIMENSIONS = ("dim_team", "dim_payment", "dim_user", "dim_rating_category")
 FACTS = ("fact_autoqa_reviews", "fact_autoqa_ratings", "fact_autoqa_root_cause",
          "fact_conversations", "fact_manual_ratings", "fact_manual_reviews")
 FLAT = ("customer", "subscriptions")
+# Models that load only keys their table does not hold.
+NEW_KEY_MODELS = ("dim_rating_category", "fact_autoqa_ratings", "fact_autoqa_root_cause", "fact_manual_ratings")
 
 
 def merge_new(targets: dict[str, DataFrame], new: dict[str, DataFrame],
@@ -164,30 +168,50 @@ def run(raw: dict[str, DataFrame], warehouse, full_refresh: bool = True, paralle
     stg = staging(raw)
 
     def targets(names):
-        if full_refresh:
-            return None
-        have = {n: warehouse.read(n) for n in names if warehouse.exists(n)}
-        return have or None
+        return {} if full_refresh else {n: warehouse.read(n) for n in names if warehouse.exists(n)}
 
     def marks(names):
         # high-water marks recorded by the writes: no scan of the targets
         return {n: m for n in names if (m := warehouse.watermark(n)) is not None}
 
-    dims = build_dimensions(stg, targets(DIMENSIONS), marks=marks(DIMENSIONS))
-    counts = warehouse.write_many(dims, DIMENSIONS, parallel)
+    have = targets(DIMENSIONS)
+    new = dim_models.dimensions(stg, have, marks(DIMENSIONS)) if have else dim_models.dimensions(stg)
+    counts = warehouse.write_many(new, DIMENSIONS, parallel, loader(warehouse, have))
     if full_refresh or not warehouse.exists("dim_date"):
         counts["dim_date"] = warehouse.write("dim_date", dim_models.dim_date(warehouse.spark))
     # written dimensions: lineage cut, exact sizes known from the writes
-    frames, rows = {}, {}
-    for n in DIMENSIONS:
-        if counts[n] or not warehouse.exists(n):
-            frames[n], rows[n] = (warehouse.read(n), counts[n]) if counts[n] else (dims[n], 0)
-        else:
-            frames[n] = warehouse.read(n)
-            rows[n] = frames[n].count()
+    dims = Dims({n: warehouse.read(n) for n in DIMENSIONS}, {n: counts[n] for n in DIMENSIONS})
     # each writer thread builds its fact (and sizes its incremental batch)
-    new = build_facts(stg, Dims(frames, rows), targets(FACTS), marks=marks(FACTS))
-    counts.update(warehouse.write_many(new, FACTS, parallel))
+    have = targets(FACTS)
+    new = fact_models.facts(stg, dims, have, marks(FACTS)) if have else fact_models.facts(stg, dims)
+    counts.update(warehouse.write_many(new, FACTS, parallel, loader(warehouse, have)))
     if "customer_subscriptions" in raw:
         counts.update(warehouse.write_many(build_flat(stg), FLAT, parallel))
     return counts
+
+
+def loader(warehouse, have: dict[str, DataFrame]):
+    """write(name, rows) that loads a model's new rows into its table and returns the table's rows.
+
+    A model without a table is written whole.  Otherwise the new rows are
+    materialised and counted.  No new rows: nothing is written.  Rows whose
+    keys the table does not hold (always so for new-key models): only they
+    are written.  Else, or if columns changed, the upsert is written as a
+    new version.
+    """
+    def write(name: str, rows: DataFrame) -> int:
+        if name not in have:
+            return warehouse.write(name, rows)
+        target, key = have[name], UNIQUE_KEYS[name]
+        rows = materialize(rows)
+        n = rows.count()
+        if [(f.name, f.dataType) for f in target.schema] == [(f.name, f.dataType) for f in rows.schema]:
+            if n == 0:
+                return warehouse.rows(name)
+            keys = rows.select(key).filter(F.col(key).isNotNull())
+            held = target.select(key).join(F.broadcast(keys) if broadcastable(n) else keys, key, "left_semi")
+            if name in NEW_KEY_MODELS or held.isEmpty():
+                warehouse.append(name, rows)
+                return warehouse.rows(name)
+        return warehouse.write(name, upsert(target, rows, key, new_rows_count=n))
+    return write

@@ -1,26 +1,30 @@
 """Layered parquet warehouse: raw / refined / dw tables with versioned writes.
 
-A table lives at ``<root>/<layer>/<table>/v<N>/``; an append-only log
-``<root>/<layer>/_versions/`` holds one entry folder per completed write
-(one ``table,N`` line), and the live version of a table is its largest
-logged ``N``.  Entries never share a folder, so writes of different
-tables may run as concurrent jobs.  A
-write goes to a new version folder and then logs it, so a job never
-overwrites the files it is reading (an upsert reads the live version and
-writes the next) and readers never see a half-written table.  Folders
-and the pointer are ordinary Spark reads/writes, so any Hadoop-compatible
+A version of a table is a list of part folders ``<root>/<layer>/<table>/<part>/``.
+An append-only log ``<root>/<layer>/_versions/`` holds one entry folder per
+completed write (one ``table,version,parts,rows,mark`` line); the live
+version of a table is its largest logged one.  A write goes to a new part
+folder and is then logged, so a job never overwrites the files it is
+reading (an upsert reads the live version and writes the next) and readers
+never see a half-written table.  An append lists the live parts and one new
+part, so it costs the new rows only.  Part folders have names of their own
+and an entry is written only if no entry of that version exists: of two
+writers of one version the second fails, and neither loses files.  Folders
+and the log are ordinary Spark reads/writes, so any Hadoop-compatible
 shared store works; nothing is kept on a machine-local disk.
 
 Sink rules: an empty input leaves a ``raw`` table untouched (the pointer
 does not move; the write job itself counts its rows, so the input is
 computed once), while a ``dw`` or ``refined`` rebuild replaces the table
-even by no rows;
-after a write the rows are counted back from the written files and
-compared with the rows the write job itself observed.
+even by no rows; after a write the rows are counted back from the written
+files and compared with the rows the write job itself observed.
 """
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,19 +36,22 @@ class Warehouse:
         if layer not in LAYERS:
             raise ValueError(f"unknown layer {layer!r}")
         self.spark, self.root, self.layer = spark, root.rstrip("/"), layer
-        # an empty entry creates the log folder, so reading it never fails
-        spark.createDataFrame([], "value string").write.mode("overwrite").text(f"{self._log()}/_init")
         self.refresh()
 
     def refresh(self) -> None:
-        """Reload the live versions from the log (one small job)."""
+        """Reload the live versions from the log (one small job); without a log there are no tables."""
         parts = F.split(F.col("value"), ",")
-        rows = (self.spark.read.option("recursiveFileLookup", True).text(self._log())
-                .select(parts.getItem(0).alias("t"), parts.getItem(1).cast("int").alias("v"),
-                        F.when(F.size(parts) > 2, parts.getItem(2)).alias("m"))
-                .groupBy("t").agg(F.max_by(F.struct("v", "m"), "v").alias("e")).collect())
-        self._versions = {r["t"]: r["e"]["v"] for r in rows}
-        self._marks = {r["t"]: r["e"]["m"] for r in rows if r["e"]["m"] is not None}
+        entry = F.struct(parts.getItem(1).cast("int").alias("v"), parts.getItem(2).alias("parts"),
+                         parts.getItem(3).cast("long").alias("rows"), parts.getItem(4).alias("mark"))
+        try:
+            log = self.spark.read.option("recursiveFileLookup", True).text(self._log())
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            self._live = {}
+            return
+        rows = log.groupBy(parts.getItem(0).alias("t")).agg(F.max(entry).alias("e")).collect()  # a row per table
+        self._live = {r["t"]: r["e"].asDict() for r in rows}
 
     def at(self, layer: str) -> "Warehouse":
         return Warehouse(self.spark, self.root, layer)
@@ -58,10 +65,13 @@ class Warehouse:
     def version(self, table: str) -> int | None:
         """Live version as of the last ``refresh``/write by this object.
 
-        The pipeline is the only writer of its warehouse; call ``refresh``
-        to pick up versions written by another job.
+        Call ``refresh`` to pick up versions written by another job.
         """
-        return self._versions.get(table)
+        return self._live[table]["v"] if table in self._live else None
+
+    def rows(self, table: str) -> int:
+        """Rows of the live version, as counted by its writes."""
+        return self._live[table]["rows"]
 
     def watermark(self, table: str, ts_col: str = "updated_at") -> str | None:
         """``MAX(ts_col)`` of the live version as observed by its write.
@@ -69,81 +79,98 @@ class Warehouse:
         ``None``: not recorded (the caller computes it); ``""``: the table
         held no non-NULL time.
         """
-        mark = self._marks.get(table)
-        return None if mark is None or not mark.startswith(f"{ts_col}=") else mark[len(ts_col) + 1:]
+        mark = self._live[table]["mark"] if table in self._live else ""
+        return mark[len(ts_col) + 1:] if mark.startswith(f"{ts_col}=") else None
 
     def exists(self, table: str) -> bool:
-        return self.version(table) is not None
+        return table in self._live
 
-    def path(self, table: str) -> str:
-        v = self.version(table)
-        if v is None:
+    def paths(self, table: str) -> list[str]:
+        """Part folders of the live version."""
+        if table not in self._live:
             raise FileNotFoundError(f"{self.layer}.{table} does not exist")
-        return f"{self._dir(table)}/v{v}"
+        return [f"{self._dir(table)}/{p}" for p in self._live[table]["parts"].split("+")]
+
+    def path(self, table: str) -> str:
+        """The folder of a live version that was written at once."""
+        paths = self.paths(table)
+        if len(paths) > 1:
+            raise ValueError(f"{self.layer}.{table} has {len(paths)} parts; use paths()")
+        return paths[0]
 
     def read(self, table: str, schema=None) -> DataFrame:
         """Live version of ``table``; ``schema`` fixes column types (also of partition columns)."""
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-        return reader.parquet(self.path(table))
+        return reader.parquet(*self.paths(table))
+
+    def _write_part(self, table: str, df: DataFrame, partition_by: str | None = None) -> tuple[str, int, str]:
+        """Write a part folder; returns its name, its rows and its high-water mark."""
+        part = f"v{(self.version(table) or 0) + 1}-{uuid.uuid4().hex[:8]}"
+        target = f"{self._dir(table)}/{part}"
+        if partition_by:
+            # AQE splits the values that hold many rows and joins small ones
+            df = df.hint("rebalance", F.col(partition_by))
+        obs = Observation(f"rows_{self.layer}_{table}_{part}")
+        metrics = [F.count(F.lit(1)).alias("rows")]
+        if "updated_at" in df.columns:
+            # the high-water mark of this version, recorded for incremental loads
+            metrics.append(F.max("updated_at").cast("string").alias("mark"))
+        # observed after the exchange: map tasks that run again count no row twice
+        w = df.observe(obs, *metrics).write
+        if partition_by:
+            w = w.partitionBy(partition_by)
+        w.parquet(target)
+        seen = obs.get
+        back = self.spark.read.parquet(target).count() if seen["rows"] else 0
+        if back != seen["rows"]:
+            raise RuntimeError(f"{self.layer}.{table}: wrote {seen['rows']} rows but read back {back}")
+        return part, back, f"updated_at={seen['mark'] or ''}" if "mark" in seen else ""
+
+    def _publish(self, table: str, parts: str, rows: int, mark: str) -> None:
+        v = (self.version(table) or 0) + 1
+        entry = f"{table},{v},{parts},{rows},{mark}"
+        self.spark.createDataFrame([(entry,)], "value string").coalesce(1).write.text(f"{self._log()}/{table}.v{v}")
+        self._live[table] = {"v": v, "parts": parts, "rows": rows, "mark": mark}
 
     def write(self, table: str, df: DataFrame, partition_by: str | None = None,
-              salt_column: str | None = None, files_per_partition: int = 4,
               keep_on_empty: bool | None = None) -> int:
         """Write ``df`` as the next version; returns the row count.
 
         With ``keep_on_empty`` (by default in the raw layer only) an empty
         ``df`` leaves the live version as it was.
 
-        With ``partition_by`` the folders are one per value; rows of a value
-        are spread over ``files_per_partition`` writer tasks by a hash of
-        ``salt_column`` (deterministic, so a retried task writes the same
-        rows), so a value holding a third of the data is not one task.
+        With ``partition_by`` the folders are one per value; rows are
+        rebalanced by value, so a value holding a third of the data is
+        split over several tasks.
         """
-        v = (self.version(table) or 0) + 1
-        target = f"{self._dir(table)}/v{v}"
-        obs = Observation(f"rows_{self.layer}_{table}_v{v}")
-        metrics = [F.count(F.lit(1)).alias("rows")]
-        if "updated_at" in df.columns:
-            # the high-water mark of this version, recorded for incremental loads
-            metrics.append(F.max("updated_at").cast("string").alias("mark"))
-        observed = df.observe(obs, *metrics)
-        writer_df = observed
-        if partition_by:
-            salt = F.pmod(F.xxhash64(F.col(salt_column or partition_by)), F.lit(files_per_partition))
-            writer_df = observed.repartition(F.col(partition_by), salt)
-        w = writer_df.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(partition_by)
-        w.parquet(target)
-        observed_metrics = obs.get
-        written = observed_metrics["rows"]
-        if written == 0 and (self.layer == "raw" if keep_on_empty is None else keep_on_empty):
-            return 0  # pointer not moved: the live version stays as it was
-        back = self.spark.read.parquet(target).count()
-        if back != written:
-            raise RuntimeError(f"{self.layer}.{table}: wrote {written} rows but read back {back}")
-        entry = f"{table},{v}"
-        if "mark" in observed_metrics:
-            entry += f",updated_at={observed_metrics['mark'] or ''}"
-        self.spark.createDataFrame([(entry,)], "value string").coalesce(1).write.mode(
-            "overwrite").text(f"{self._log()}/{table}.v{v}")
-        self._versions[table] = v
-        if "mark" in observed_metrics:
-            self._marks[table] = f"updated_at={observed_metrics['mark'] or ''}"
-        return written
-
-    def write_many(self, frames, names, parallel: int = 4) -> dict[str, int]:
-        """Write independent tables as concurrent Spark jobs (one thread each).
+        part, rows, mark = self._write_part(table, df, partition_by)
+        if rows or not (self.layer == "raw" if keep_on_empty is None else keep_on_empty):
+            self._publish(table, part, rows, mark)
+        return rows
+
+    def append(self, table: str, df: DataFrame) -> int:
+        """The live version and the rows of ``df`` (same columns) as the next version; returns the rows added.
+
+        Only ``df`` is written; without rows the live version stays.
+        """
+        live = self._live[table]
+        part, rows, mark = self._write_part(table, df)
+        if rows:
+            self._publish(table, f"{live['parts']}+{part}", live["rows"] + rows, max(mark, live["mark"]))
+        return rows
+
+    def write_many(self, frames, names, parallel: int = 4, write=None) -> dict[str, int]:
+        """Write independent tables as concurrent Spark jobs (one thread each), by ``write(name, frame)``.
 
         ``frames`` may be a lazy mapping: each thread builds its own table's
         plan.  Tables never share folders (data or version-log entries).
         """
-        names = list(names)
+        names, write = list(names), write or self.write
         if parallel <= 1:
-            return {n: self.write(n, frames[n]) for n in names}
+            return {n: write(n, frames[n]) for n in names}
         from concurrent.futures import ThreadPoolExecutor
         with ThreadPoolExecutor(max_workers=parallel) as pool:
-            futures = {n: pool.submit(lambda n=n: self.write(n, frames[n])) for n in names}
+            futures = {n: pool.submit(lambda n=n: write(n, frames[n])) for n in names}
             return {n: f.result() for n, f in futures.items()}
 
     def register(self) -> list[str]:
@@ -151,14 +178,21 @@ class Warehouse:
 
         SQL written against the warehouse (ad-hoc metric scripts) then runs
         with ``spark.sql``; re-register after writes to follow new versions.
+        A table of several parts becomes a view over them.
         """
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.layer}")
         names = []
-        for table in sorted(self._versions):
+        for table in sorted(self._live):
             name = f"{self.layer}.{table}"
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-            self.spark.catalog.createTable(name, path=self.path(table), source="parquet")
-            if any(c.isPartition for c in self.spark.catalog.listColumns(name)):
-                self.spark.catalog.recoverPartitions(name)
+            if self.spark.catalog.tableExists(name):
+                kind = "VIEW" if self.spark.catalog.getTable(name).tableType == "VIEW" else "TABLE"
+                self.spark.sql(f"DROP {kind} {name}")
+            paths = self.paths(table)
+            if len(paths) > 1:
+                self.spark.sql(f"CREATE VIEW {name} AS " + " UNION ALL ".join(f"SELECT * FROM parquet.`{p}`" for p in paths))
+            else:
+                self.spark.catalog.createTable(name, path=paths[0], source="parquet")
+                if any(c.isPartition for c in self.spark.catalog.listColumns(name)):
+                    self.spark.catalog.recoverPartitions(name)
             names.append(name)
         return names

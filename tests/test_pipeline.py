@@ -53,6 +53,9 @@ def test_run_writes_and_refresh_is_repeatable(spark, tmp_dir):
         assert old.exceptAll(new).isEmpty() and new.exceptAll(old).isEmpty(), n
     incr = warehouse.run(raw, wh, full_refresh=False)  # same data again: nothing newer
     assert incr["dim_team"] == first["dim_team"]
+    # a run without anything new writes nothing (conversations with a NULL ticket have a NULL key and no newer time)
+    assert {n: wh.version(n) for n in warehouse.DIMENSIONS + warehouse.FACTS} == {
+        n: 2 for n in warehouse.DIMENSIONS + warehouse.FACTS}
 
 
 SMALL_QUERIES = ["weighted_score", "avg_score_per_ticket", "dim_team", "dim_user", "fact_manual_reviews",

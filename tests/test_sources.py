@@ -147,7 +147,7 @@ def test_empty_rebuild_replaces_and_partitions_register(spark, tmp_dir):
     assert dw.write("t", rows.filter("k < 0")) == 0
     assert dw.read("t").count() == 0
     raw = Warehouse(spark, tmp_dir, "raw")
-    raw.write("p", rows, partition_by="day", salt_column="k")
+    raw.write("p", rows, partition_by="day")
     raw.register()
     assert spark.table("raw.p").count() == 3
 
@@ -165,3 +165,30 @@ def test_strict_timestamps(spark):
     for bad in ("2024", "2024-01", "soon"):
         with pytest.raises(Exception):
             at(bad)
+
+
+def test_append_writes_new_rows_only(spark, tmp_dir):
+    dw = Warehouse(spark, tmp_dir, "dw")
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "k bigint, v string")
+    dw.write("t", rows)
+    first = dw.paths("t")
+    assert dw.append("t", spark.createDataFrame([(3, "c")], "k bigint, v string")) == 1
+    assert dw.paths("t")[:1] == first and len(dw.paths("t")) == 2
+    assert dw.append("t", rows.filter("k < 0")) == 0 and dw.version("t") == 2 and dw.rows("t") == 3
+    again = Warehouse(spark, tmp_dir, "dw")
+    assert sorted(r.k for r in again.read("t").collect()) == [1, 2, 3]
+    again.register()
+    assert spark.table("dw.t").count() == 3
+    again.write("t", rows)  # the view gives way to a table
+    again.register()
+    assert spark.table("dw.t").count() == 2
+
+
+def test_second_writer_of_a_version_fails(spark, tmp_dir):
+    rows = spark.createDataFrame([(1,)], "k bigint")
+    one, two = Warehouse(spark, tmp_dir, "dw"), Warehouse(spark, tmp_dir, "dw")
+    one.write("t", rows)
+    with pytest.raises(Exception):
+        two.write("t", rows)
+    two.refresh()
+    assert two.write("t", rows) == 1 and two.version("t") == 2
