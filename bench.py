@@ -92,7 +92,8 @@ def main() -> None:
     query("root_cause_heatmap", lambda: metrics.root_cause_heatmap(marts["fact_autoqa_root_cause"]))
     query("check_suite", lambda: checks.check_suite(marts, dim_rows))
     subs = raw_wh.read("customer_subscriptions")
-    query("subs_merge_raw", lambda: merge_subscriptions(merge_target(subs), merge_source(subs)))
+    n_source = merge_source(subs).count()  # loads measure their batch
+    query("subs_merge_raw", lambda: merge_subscriptions(merge_target(subs), merge_source(subs), n_source))
     for name in E2E:
         query(f"e2e_{name}", lambda name=name: QUERIES[name](spark, sf_dir))
 

@@ -1,11 +1,12 @@
 """Data checks on the marts: not_null, unique, relationships.
 
 Each check yields one row ``(table_name, check_name, column_name,
-failures)``; the suite is their union (30 rows).  Not-null checks of a
-table fold into a single aggregate scan; a uniqueness check is one
-partially-aggregated ``groupBy``; a relationship check is one left anti
-join of the non-NULL child keys against the parent keys (AQE broadcasts
-the parent when it is small).  Only counts leave the executors.
+failures)``; the suite is their union (30 rows).  In the suite, the
+not-null checks of a table and its relationships to parents of measured
+small size fold into a single aggregate scan; a uniqueness check is one
+partially-aggregated ``groupBy``; a relationship to any other parent is
+one left anti join of the non-NULL child keys against the parent keys.
+Only counts leave the executors.
 """
 
 from __future__ import annotations
@@ -71,7 +72,8 @@ def unique_checks(marts: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def relationship_checks(marts: dict[str, DataFrame], parent_rows: dict[str, int] | None = None) -> DataFrame:
+def relationship_checks(marts: dict[str, DataFrame], parent_rows: dict[str, int] | None = None,
+                        relationships=RELATIONSHIPS) -> DataFrame:
     """Orphan child keys per declared relationship.
 
     ``parent_rows`` (exact row counts of parent tables, when known) lets a
@@ -79,7 +81,7 @@ def relationship_checks(marts: dict[str, DataFrame], parent_rows: dict[str, int]
     """
     parts = []
     rows = parent_rows or {}
-    for child, column, parent, field in RELATIONSHIPS:
+    for child, column, parent, field in relationships:
         keys = marts[child].select(F.col(column).alias("__k")).filter(F.col("__k").isNotNull())
         parent_keys = marts[parent].select(F.col(field).alias("__k"))
         if broadcastable(rows.get(parent)):
@@ -89,6 +91,32 @@ def relationship_checks(marts: dict[str, DataFrame], parent_rows: dict[str, int]
     return reduce(DataFrame.unionByName, parts)
 
 
+def scan_checks(marts: dict[str, DataFrame], parent_rows: dict[str, int]) -> DataFrame:
+    """The not-null and relationship checks of each table by one scan of it.
+
+    Parents of measured small size are broadcast and joined at once, which
+    leaves each child row with a flag per relationship; relationships to
+    other parents are checked on their own.
+    """
+    small = [r for r in RELATIONSHIPS if broadcastable(parent_rows.get(r[2]))]
+    parts = []
+    for table in dict.fromkeys(t for t, _ in NOT_NULL):
+        df, failed = marts[table], []
+        for _, column in (c for c in NOT_NULL if c[0] == table):
+            failed.append(("not_null", column, F.col(column).isNull()))
+        for i, (_, column, parent, field) in enumerate(r for r in small if r[0] == table):
+            keys = marts[parent].select(F.col(field).alias(f"__p{i}")).distinct()
+            df = df.join(F.broadcast(keys), F.col(column) == F.col(f"__p{i}"), "left")
+            failed.append(("relationships", column, F.col(column).isNotNull() & F.col(f"__p{i}").isNull()))
+        counts = df.agg(*[F.count(F.when(is_failed, 1)).alias(f"__n{i}") for i, (_, _, is_failed) in enumerate(failed)])
+        parts.append(counts.select(F.inline(F.array(*[
+            F.struct(F.lit(table).alias("table_name"), F.lit(check).alias("check_name"),
+                     F.lit(column).alias("column_name"), F.col(f"__n{i}").alias("failures"))
+            for i, (check, column, _) in enumerate(failed)]))))
+    if len(small) < len(RELATIONSHIPS):
+        parts.append(relationship_checks(marts, parent_rows, [r for r in RELATIONSHIPS if r not in small]))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def check_suite(marts: dict[str, DataFrame], parent_rows: dict[str, int] | None = None) -> DataFrame:
-    return (not_null_checks(marts).unionByName(unique_checks(marts))
-            .unionByName(relationship_checks(marts, parent_rows)))
+    return scan_checks(marts, parent_rows or {}).unionByName(unique_checks(marts))

@@ -7,7 +7,7 @@ columns a mart needs are read from the raw parquet files.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qualis import schemas
@@ -36,3 +36,17 @@ def staging(raw):
     """All staging models keyed by raw table name (built on first access)."""
     by_table = {table: model for model, table in STAGING_MODELS.items()}
     return lazy(by_table, lambda t: stage(raw, by_table[t]))
+
+
+def register_views(spark: SparkSession) -> list[str]:
+    """``refined.stg_*`` as views over the registered ``raw`` tables (those that exist)."""
+    spark.sql("CREATE DATABASE IF NOT EXISTS refined")
+    names = []
+    for model, table in STAGING_MODELS.items():
+        if not spark.catalog.tableExists(f"raw.{table}"):
+            continue
+        where = " WHERE autoqa_rating_id IS NOT NULL" if model == "stg_autoqa_root_cause" else ""
+        columns = ", ".join(f"`{c}`" for c in schemas.columns(table))
+        spark.sql(f"CREATE OR REPLACE VIEW refined.{model} AS SELECT {columns} FROM raw.{table}{where}")
+        names.append(f"refined.{model}")
+    return names

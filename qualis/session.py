@@ -43,12 +43,16 @@ def materialize(df, spark: SparkSession | None = None):
     """Cut lineage: reliable checkpoint into the cluster's shared checkpoint folder.
 
     Uses ``spark.checkpoint.dir`` as the session names it; when no folder is
-    configured the DataFrame stays lazy (same result, longer lineage).
+    configured the DataFrame stays lazy in local mode (same result, longer
+    lineage) and a cluster is an error, for the plan would be computed anew
+    by each use.
     Never a local checkpoint: the files must survive a lost executor.
     """
     spark = spark or df.sparkSession
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; the cluster must name a shared folder")
         return df
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)

@@ -109,7 +109,7 @@ _SPARK_TEXT = {
         "CAST(12 AS BIGINT))) k AS c"),
 }
 
-# Subscription columns the projection fills; all others are typed NULLs.
+# Subscription columns with a meaning; other single values differ by column and customer, arrays are typed NULLs.
 _SUBSCRIPTION_EXPRS = {
     "subscription_id": "concat('sub-', CAST(c_custkey AS STRING))",
     "subscription_billing_period": "1 + c_custkey % 12",
@@ -130,9 +130,18 @@ _DUCK_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "double": "DOUBLE", "boo
                "date": "DATE", schemas.ITEM_ARRAY: "STRUCT(id VARCHAR, quantity BIGINT)[]"}
 
 
+def _filler(name: str, typ: str, place: int) -> str | None:
+    """A value of its own for a column, NULL for every eleventh customer or so."""
+    value = {"string": f"concat('{name}-', CAST(c_custkey AS STRING))",
+             "bigint": f"c_custkey * 1000 + {place}",
+             "double": f"CAST(c_custkey * 1000 + {place} AS DOUBLE) / 4",
+             "boolean": f"(c_custkey + {place}) % 3 = 0"}.get(typ)
+    return value and f"CASE WHEN (c_custkey + {place}) % 11 = 0 THEN NULL ELSE {value} END"
+
+
 def _subscriptions_text(dialect: str) -> str:
     parts = []
-    for name, typ in schemas.RAW_COLUMNS["customer_subscriptions"]:
+    for place, (name, typ) in enumerate(schemas.RAW_COLUMNS["customer_subscriptions"]):
         if name == "dt_customer_signup_date":
             days = "CAST(floor((1700000000 + c_custkey * 3600) / 86400) AS INT)"
             expr = (f"date_from_unix_date({days})" if dialect == "spark"
@@ -140,7 +149,7 @@ def _subscriptions_text(dialect: str) -> str:
         elif name in _SUBSCRIPTION_EXPRS:
             expr = _SUBSCRIPTION_EXPRS[name]
         else:
-            expr = f"CAST(NULL AS {typ if dialect == 'spark' else _DUCK_TYPES[typ]})"
+            expr = f"CAST({_filler(name, typ, place) or 'NULL'} AS {typ if dialect == 'spark' else _DUCK_TYPES[typ]})"
         parts.append(f"{expr} AS {name}")
     return "\nSELECT " + ",\n ".join(parts) + "\nFROM {customer}"
 

@@ -24,7 +24,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,13 +42,11 @@ class Warehouse:
         parts = F.split(F.col("value"), ",")
         entry = F.struct(parts.getItem(1).cast("int").alias("v"), parts.getItem(2).alias("parts"),
                          parts.getItem(3).cast("long").alias("rows"), parts.getItem(4).alias("mark"))
-        try:
-            log = self.spark.read.option("recursiveFileLookup", True).text(self._log())
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self._log())
+        if not folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder):
             self._live = {}
             return
+        log = self.spark.read.option("recursiveFileLookup", True).text(self._log())
         rows = log.groupBy(parts.getItem(0).alias("t")).agg(F.max(entry).alias("e")).collect()  # a row per table
         self._live = {r["t"]: r["e"].asDict() for r in rows}
 

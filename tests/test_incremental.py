@@ -126,3 +126,24 @@ def test_merge_with_measured_small_batch_is_map_side(spark):
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
     got = {r.id: (r.t1, r.v, r.keep) for r in out.collect()}
     assert len(got) == 51 and got["k3"] == (2, 99, "t") and got["new"] == (1, 7, "s") and got["k4"] == (1, 4, "t")
+
+
+def test_sync_columns_casts_retyped_columns(spark):
+    tgt = spark.createDataFrame([(1, 7)], "k bigint, v bigint")
+    new = spark.createDataFrame([(2, "x")], "k bigint, v string")
+    assert sorted((r.k, r.v) for r in upsert(tgt, new, "k").collect()) == [(1, "7"), (2, "x")]
+
+
+def test_merge_updates_each_target_row_of_a_key(spark):
+    target = [("a", 1, 1, 1, "t"), ("a", 1, 1, 2, "u"), ("a", 2, 1, 3, "v")]
+    assert _merge(spark, target, [("a", 2, 1, 9, "s")]) == [
+        ("a", 2, 1, 3, "v"), ("a", 2, 1, 9, "t"), ("a", 2, 1, 9, "u")]
+
+
+def test_merge_reads_the_whole_target_once(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    spark.createDataFrame([(f"k{i}", 1, 1, i, "t") for i in range(9)], MERGE_SCHEMA).write.parquet(path)
+    s = spark.createDataFrame([("k3", 2, 1, 99, "s")], MERGE_SCHEMA)
+    plan = merge_when_changed(spark.read.parquet(path), s, "id", ("t1", "t2"), ("keep",), 1)._jdf.queryExecution().sparkPlan().toString()
+    # rows with a key and rows without one, each by a pushed filter
+    assert plan.count("FileScan parquet") == 2 and "IsNotNull(id)" in plan and "IsNull(id)" in plan

@@ -192,3 +192,16 @@ def test_second_writer_of_a_version_fails(spark, tmp_dir):
         two.write("t", rows)
     two.refresh()
     assert two.write("t", rows) == 1 and two.version("t") == 2
+
+
+def test_staging_views_read_the_raw_tables(spark, tmp_dir):
+    from conftest import SF_SMALL
+    from qualis.plans.staging import register_views
+    from qualis.sources.fixtures import raw_table
+
+    raw = Warehouse(spark, tmp_dir, "raw")
+    raw.write("autoqa_root_cause", raw_table(spark, SF_SMALL, "autoqa_root_cause"))
+    raw.register()
+    assert "refined.stg_autoqa_root_cause" in register_views(spark)
+    want = raw.read("autoqa_root_cause").filter("autoqa_rating_id IS NOT NULL").count()
+    assert spark.table("refined.stg_autoqa_root_cause").count() == want > 0
