@@ -1,12 +1,14 @@
-"""Driver contract: every registered query has an oracle; entry() is the flagship."""
+"""Driver contract: every query of the catalog has an oracle; entry() is the flagship."""
 
 import __spark_entry__ as entry
 
 
 def test_every_query_has_an_oracle():
     q, o = entry.queries(), entry.oracle_sql()
-    assert set(q) == set(o)
-    assert len(q) >= 52
+    assert set(o) <= set(q)
+    # the optional training-data queries that SQL cannot express are held against brute force in tests/llm
+    assert set(q) - set(o) <= set(entry.LLM_QUERIES)
+    assert len(set(q) - set(entry.LLM_QUERIES)) >= 52
 
 
 def test_oracles_inline_their_inputs():
