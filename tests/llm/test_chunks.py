@@ -64,3 +64,30 @@ def test_nulls_repeats_and_empty(spark):
     got = repeated_spans(docs).collect()
     assert [(r.doc_id, r.of_doc_id) for r in got] == [(3, None)]
     assert repeated_spans(docs.limit(0)).count() == 0
+
+
+def test_repeats_within_one_document_are_found(spark):
+    rng = random.Random(11)
+    passage, parts = _words(rng, 200), [_words(rng, 40) for _ in range(6)]
+    text = " | ".join(f"{p} | {passage}" for p in parts)
+    got = sorted(repeated_spans(spark.createDataFrame([(4, text), (4, text)], "doc_id long, text string")).collect(), key=lambda r: r.start)
+    assert [(r.doc_id, r.of_doc_id) for r in got] == [(4, 4)] * 5
+    assert all(passage in text[r.start:r.end] and text.index(passage) < r.start for r in got)
+
+
+def test_spans_reach_the_ends_of_the_passage(spark):
+    rng = random.Random(12)
+    passages = [_words(rng, 20 + i) for i in range(20)] + ["é" * 3 + _words(rng, 30) + "ü" * 3]
+    rows = [(i, f"{_words(rng, 40)} #{'A' if i < 100 else 'B'} {passages[i % 100]} {'C' if i < 100 else 'D'}# {_words(rng, 40)}") for n in range(21) for i in (n, 100 + n)]
+    got = {r.doc_id: r for r in repeated_spans(spark.createDataFrame(rows, "doc_id long, text string"), min_words=18).collect()}
+    texts = dict(rows)
+    # those without a whole chunk in common with the earlier text stay unseen
+    whole = {100 + i for i, p in enumerate(passages) if _common_chunk(texts[i], texts[100 + i])}
+    assert set(got) == whole and len(whole) > 15
+    for d, r in got.items():
+        assert r.of_doc_id == d - 100 and texts[d][r.start:r.end] == f" {passages[d - 100]} "
+
+
+def _common_chunk(a, b):
+    cut = lambda d: {d[x:y] for x, y in zip([0, *chunk_ends(d)], chunk_ends(d))}
+    return cut(a.encode()) & cut(b.encode())
