@@ -10,6 +10,12 @@ b.  Every step can be undone with the key, so no two values share a
 pseudonym; a * b is exactly the number of a format's values, so nothing
 falls outside it.  The local part of a mail address is permuted alike,
 character by character within its class (digit, lower, upper case).
+
+Cards are looked for in runs of digit groups: from each group on, the longest
+13 to 19 digits in whole groups that pass the Luhn check are one.  Phones are
+those with a leading "+" and the ten-digit North American form without it;
+other national forms (030 1234567) are out of scope, as are digits without
+separators that are no card.
 """
 
 from __future__ import annotations
@@ -93,6 +99,38 @@ def _card(value: Column, key: Column) -> Column:
     return _refill(value, F.concat(body, check.cast("string")))
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _cards(value: Column, key: Column) -> Column:
+    """struct<text, n>: a run of digit groups with its cards replaced, and their number."""
+    def join(parts: Column, start: Column, n: Column) -> Column:
+        return F.array_join(F.slice(parts, start + 1, n), "")
+
+    def longest(parts: Column, i: Column) -> Column:
+        def is_card(n: Column) -> Column:
+            return _bound(_digits(join(parts, i, n)), lambda d: F.when(F.length(d).between(13, 19), _card_valid(d)).otherwise(False))
+        return F.coalesce(F.array_max(F.filter(F.sequence(F.lit(1), F.least(F.size(parts) - i, F.lit(19))), is_card)), F.lit(0))
+
+    def taken(parts: Column) -> Column:
+        able = F.filter(F.transform(parts, lambda _, i: F.struct(i.alias("i"), longest(parts, i).alias("n"))), lambda c: c["n"] > 0)
+        start = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<i:int,n:int>>").alias("cards"))
+        return F.aggregate(able, start, lambda s, c: F.when(c["i"] < s["end"], s).otherwise(
+            F.struct((c["i"] + c["n"]).alias("end"), F.concat(s["cards"], F.array(c)).alias("cards"))))["cards"]
+
+    def rebuilt(parts: Column, cards: Column) -> Column:
+        def end(j: Column) -> Column:
+            """Where card j - 1 ends."""
+            return F.when(j == 0, 0).otherwise(_bound(F.get(cards, j - 1), lambda c: c["i"] + c["n"]))
+        new = F.transform(cards, lambda c, j: F.concat(join(parts, end(j), c["i"] - end(j)), _card(join(parts, c["i"], c["n"]), key)))
+        rest = end(F.size(cards))
+        return F.struct(F.concat(F.array_join(new, ""), join(parts, rest, F.size(parts) - rest)).alias("text"), F.size(cards).alias("n"))
+
+    return _bound(F.regexp_extract_all(value, F.lit("[ -]?[0-9]+"), F.lit(0)), lambda parts: _bound(taken(parts), lambda cards: rebuilt(parts, cards)))
+
+
 def _ssn_valid(value: Column) -> Column:
     area, group, serial = (F.substring(value, i, n) for i, n in ((1, 3), (5, 2), (8, 4)))
     return (area != "000") & (area != "666") & (area < "900") & (group != "00") & (serial != "0000")
@@ -132,6 +170,13 @@ def _phone(value: Column, key: Column) -> Column:
     return _refill(value, F.concat(F.substr(digits, F.lit(1), F.lit(2)), _permute_digits(F.substr(digits, F.lit(3)), key, "phone")))
 
 
+def _phone_national(value: Column, key: Column) -> Column:
+    """All digits but the first of ten, as if "+1" stood before, so that both forms of a number get the same digits."""
+    digits = _digits(value)
+    kept = F.length(digits) - 9
+    return _refill(value, F.concat(F.substr(digits, F.lit(1), kept), _permute_digits(F.substr(digits, kept + 1), key, "phone")))
+
+
 def _date_valid(form: str) -> Callable[[Column], Column]:
     return lambda value: F.try_to_date(value, form).between(F.lit("1900-01-01").cast("date"), F.lit("2099-12-31").cast("date"))
 
@@ -176,19 +221,25 @@ class Kind:
     pattern: str
     valid: Callable[[Column], Column]
     new: Callable[[Column, Column], Column]
+    #: For patterns that may hold several values: struct<text, n> of what was found.
+    within: Callable[[Column, Column], Column] | None = None
 
 
 _NOT_BEFORE, _NOT_AFTER = "(?<![0-9A-Za-z_+.@/-])", "(?![0-9A-Za-z_@]|[./-][0-9])"
+#: A group of digits does not end in a word or a decimal number.
+_GROUP = r"[0-9]++(?![A-Za-z_@]|\.[0-9])"
 #: In this order; each kind is looked for in what the earlier ones left.
 KINDS = (
     Kind("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", lambda v: F.length(v) > 0, _email),
-    Kind("date", _NOT_BEFORE + r"[0-9]{4}-[0-9]{2}-[0-9]{2}" + _NOT_AFTER, _date_valid("yyyy-MM-dd"), _date("yyyy-MM-dd")),
+    Kind("date", _NOT_BEFORE + r"[0-9]{4}-[0-9]{2}-[0-9]{2}(?:(?=[Tt][0-9]{2}(?![0-9A-Za-z_]))|" + _NOT_AFTER + ")", _date_valid("yyyy-MM-dd"), _date("yyyy-MM-dd")),
     Kind("date_dmy", _NOT_BEFORE + r"[0-9]{2}\.[0-9]{2}\.[0-9]{4}" + _NOT_AFTER, _date_valid("dd.MM.yyyy"), _date("dd.MM.yyyy")),
     Kind("date_mdy", _NOT_BEFORE + r"[0-9]{2}/[0-9]{2}/[0-9]{4}" + _NOT_AFTER, _date_valid("MM/dd/yyyy"), _date("MM/dd/yyyy")),
     Kind("ssn", _NOT_BEFORE + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + _NOT_AFTER, _ssn_valid, _ssn),
     Kind("ip", _NOT_BEFORE + r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}" + _NOT_AFTER, _ip_valid, _ip),
     Kind("phone", r"(?<![0-9A-Za-z_+])\+[0-9][0-9 ().-]{5,20}[0-9]" + _NOT_AFTER, _phone_valid, _phone),
-    Kind("card", _NOT_BEFORE + r"[0-9](?:[ -]?[0-9]){12,18}" + _NOT_AFTER, _card_valid, _card),
+    Kind("phone_national", r"(?<![0-9A-Za-z_+.@/-])(?=[0-9(])(?<!\+[0-9 ().-]{1,21})(?:1[ .-])?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}" + _NOT_AFTER,
+         lambda v: F.length(v) > 0, _phone_national),
+    Kind("card", r"(?<![0-9A-Za-z_+@])(?=[0-9](?:[ -]?[0-9]){12})(?<![0-9]\.)" + _GROUP + "(?:[ -]" + _GROUP + ")*+", _card_valid, _card, _cards),
 )
 
 
@@ -196,9 +247,13 @@ def replace_kind(text: Column, kind: Kind, key: Column) -> tuple[Column, Column]
     """(the text with valid values of a kind replaced, how many were)."""
     found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     between = F.split(text, kind.pattern, -1)
-    new = F.transform(found, lambda v: F.when(kind.valid(v), kind.new(v, key)).otherwise(v))
+    if kind.within:
+        done = F.transform(found, lambda v: kind.within(v, key))
+        new, count = F.transform(done, lambda d: d["text"]), F.aggregate(done, F.lit(0), lambda s, d: s + d["n"]).cast("long")
+    else:
+        new = F.transform(found, lambda v: F.when(kind.valid(v), kind.new(v, key)).otherwise(v))
+        count = F.size(F.filter(found, lambda v: F.coalesce(kind.valid(v), F.lit(False)))).cast("long")
     pieces = F.flatten(F.zip_with(between, new, lambda gap, v: F.array(gap, F.coalesce(v, F.lit("")))))
-    count = F.size(F.filter(found, lambda v: F.coalesce(kind.valid(v), F.lit(False)))).cast("long")
     return F.when(F.size(found) > 0, F.array_join(pieces, "")).otherwise(text), count
 
 

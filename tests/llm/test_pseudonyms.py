@@ -72,3 +72,24 @@ def test_query_replaces_every_planted_value(spark):
         if not cards and not mails and not ips and not re.search("[0-9]", t):
             assert new[d].text == t
     assert changed > 10
+
+
+def test_cards_are_found_beside_other_digits(spark):
+    card = "4111 1111 1111 1111"
+    texts = [f"a {card} 123", f"pay 2 {card} now", "card-4111111111111111", "a/4111111111111111/12", f"{card} 12ab", f"{card} 4242 4242 4242 4242", "12 " * 30 + "x",
+             "7" * 9000, "1.4111111111111111"]
+    got = [(r.text, r.n_card) for r in pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "secret").orderBy("doc_id").collect()]
+    new = got[0][0][2:-4]
+    assert new != card and _luhn_ok(new.replace(" ", "")) and got[0] == (f"a {new} 123", 1)
+    assert got[1] == (f"pay 2 {new} now", 1)
+    assert got[2] == (f"card-{new.replace(' ', '')}", 1) and got[3] == (f"a/{new.replace(' ', '')}/12", 1) and got[4] == (f"{new} 12ab", 1)
+    assert got[5][0].startswith(new + " ") and "4242 4242 4242 4242" not in got[5][0] and got[5][1] == 2
+    assert re.sub("[0-9]", "0", got[6][0]) == "00 " * 30 + "x" and got[7:] == [(t, 0) for t in texts[7:]]
+
+
+def test_national_phones_and_date_times(spark):
+    texts = ["+1 (217) 555-7713", "(217) 555-7713", "217-555-7713", "1-217-555-7713", "1990-05-12T00:00:00", "1990-05-12", "1990-05-12Thursday"]
+    got = [r.text for r in pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "secret").orderBy("doc_id").collect()]
+    digits = [re.sub("[^0-9]", "", t) for t in got]
+    assert got[0] != texts[0] and digits[0] == "1" + digits[1] == "1" + digits[2] == digits[3] and list(map(_format, got)) == list(map(_format, texts))
+    assert got[4] == got[5] + "T00:00:00" and got[5] != texts[5] and got[6] == texts[6]
