@@ -7,7 +7,7 @@ shared folder, so a lost executor costs that stage's tasks at most.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from qualis.llm import linededup, mixing, neardup, packing, quality
@@ -42,9 +42,35 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     copies = checkpointed(copies.where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "copies", "n"))
     sized = docs.withColumn("_words", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(mixing.WORD)).cast("long"))
     on = sized["doc_id"].eqNullSafe(copies["_id"]) & sized["source"].eqNullSafe(copies["_source"]) & (sized["_words"] == copies["_size"])
-    # rows that agree in id, source and size share their copies evenly (one such row takes all of its own)
-    share = F.ceil(F.col("copies") / F.col("n")).cast("int")
-    return sized.join(copies, on).withColumn("_copy", F.explode(F.sequence(F.lit(1), share))).select(docs.columns)
+    taken = sized.join(copies.where("n = 1"), on).select(*docs.columns, F.col("copies").alias("_share"))
+    like = copies.where("n > 1")
+    n_like = like.count()
+    if n_like:
+        # of n rows that agree in id, source and size, copies mod n take one copy more than the others
+        rows = _numbered(sized.join(F.broadcast(like) if n_like <= mixing.BROADCAST_SOURCES else like, on), ["doc_id", "source", "_words"])
+        share = F.floor(F.col("copies") / F.col("n")) + F.when(F.col("_number") <= F.col("copies") % F.col("n"), 1).otherwise(0)
+        taken = taken.unionByName(rows.select(*docs.columns, share.cast("long").alias("_share")))
+    return taken.where("_share > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_share")))).select(docs.columns)
+
+
+def _numbered(rows: DataFrame, like: list[str]) -> DataFrame:
+    """Rows numbered from 1 (_number) within those that agree in the columns ``like``, in the order of their hashes.
+
+    Hashes are numbered in 64 ranges, equal rows in 64 parts, each after what
+    stands before, so that a group of very many rows is not one task's.
+    """
+    group = F.xxhash64(*[c for x in like for c in (F.col(x), F.col(x).isNull())])
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(64))
+    rows = saved(rows.withColumns({"_group": group, "_hash": F.xxhash64(*rows.columns), "_salt": salt}), "like")
+    part = rows.groupBy("_group", F.shiftright("_hash", 58).alias("_range"), "_hash", "_salt").agg(F.count(F.lit(1)).alias("_rows"))
+    up_to_here = (Window.unboundedPreceding, -1)
+    total = part.groupBy("_group", "_range").agg(F.sum("_rows").alias("_rows"))
+    before = total.select("_group", "_range", F.coalesce(F.sum("_rows").over(Window.partitionBy("_group").orderBy("_range").rowsBetween(*up_to_here)), F.lit(0)).alias("_ranges"))
+    inside = F.sum("_rows").over(Window.partitionBy("_group", "_range").orderBy("_hash", "_salt").rowsBetween(*up_to_here))
+    offsets = part.withColumn("_inside", F.coalesce(inside, F.lit(0))).join(before, ["_group", "_range"])
+    offsets = checkpointed(offsets.select("_group", "_hash", "_salt", (F.col("_ranges") + F.col("_inside")).alias("_before")))
+    own = F.row_number().over(Window.partitionBy("_group", "_hash", "_salt").orderBy("_hash"))
+    return rows.withColumn("_own", own).join(offsets, ["_group", "_hash", "_salt"]).withColumn("_number", F.col("_before") + F.col("_own"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -38,3 +38,17 @@ def test_empty_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, PATH)
     assert docs.count() == 0
+
+
+def test_like_rows_share_their_copies(spark):
+    # weights 1 and 2 of sources of 600 and 300 words: source a takes half of its size
+    rows = [(None, " ".join([f"w{i % 40}", *["x"] * 5]), "a") for i in range(70)] + [(1, "one text of six words here", "a")] * 30 + [(9 + i, "b " * 6, "b") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    got = corpus_pipeline.mix_sources(spark, docs, PATH)
+    target = {r.source: r.target / 6 for r in corpus_pipeline.mixing.mix(docs, carry=True).collect()}
+    taken = [r.source for r in got.collect()]
+    assert 0 < target["a"] < 100
+    for s in "ab":
+        assert abs(taken.count(s) - target[s]) <= 1
+    again = corpus_pipeline.mix_sources(spark, docs.repartition(3), PATH).collect()
+    assert sorted(map(str, got.collect())) == sorted(map(str, again))
