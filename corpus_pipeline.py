@@ -29,11 +29,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each near-duplicate class."""
-    kept = neardup.classes(docs).where("kept").select("doc_id", F.col("text_key").alias("_key")).distinct()
-    keyed = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    ids = kept.withColumnRenamed("doc_id", "_id")
-    return keyed.join(ids, (keyed["doc_id"].eqNullSafe(ids["_id"])) & (keyed["_key"] == ids["_key"]), "left_semi").select(docs.columns)
+    """One row of each near-duplicate class: of the smallest id (null only if all are) the text of the smallest hash."""
+    kept = neardup.classes(docs).where("kept").groupBy("class_key", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
+    kept = kept.groupBy("class_key").agg(F.min(F.struct("doc_id", "text_key", "n")).alias("k"))
+    kept = checkpointed(kept.select(F.col("k.doc_id").alias("_id"), F.col("k.text_key").alias("_key"), F.col("k.n").alias("_n")))
+    keyed = docs.withColumn("_text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    on = keyed["doc_id"].eqNullSafe(kept["_id"]) & (keyed["_text_key"] == kept["_key"])
+    alone = keyed.join(kept.where("_n = 1"), on, "left_semi").select(docs.columns)
+    repeated = kept.where("_n > 1")
+    if repeated.isEmpty():
+        return alone
+    # of rows that agree in id and text one stays, also where their other columns differ
+    rows = keyed.join(repeated, on, "left_semi").groupBy("doc_id", "_text_key").agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return alone.unionByName(rows.select("row.*"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

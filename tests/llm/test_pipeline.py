@@ -52,3 +52,12 @@ def test_like_rows_share_their_copies(spark):
         assert abs(taken.count(s) - target[s]) <= 1
     again = corpus_pipeline.mix_sources(spark, docs.repartition(3), PATH).collect()
     assert sorted(map(str, got.collect())) == sorted(map(str, again))
+
+
+def test_one_row_of_each_near_duplicate_class_stays(spark):
+    words = lambda k: " ".join(f"{k}{i}" for i in range(60))
+    rows = [(None, words("a"))] * 20 + [(None, words("a") + " end")] + [(5, words("b"))] * 3 + [(5, words("b") + " end"), (6, words("b"))] + [(7, words("c")), (8, None), (8, None)]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, n int")
+    got = corpus_pipeline.near_dedup(spark, docs, PATH)
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id or 0, (r.text or "-")[0]) for r in got.collect()) == [(0, "a"), (5, "b"), (7, "c"), (8, "-")]
