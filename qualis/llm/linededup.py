@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qualis.llm.common import WORD, blocks, checkpointed, id_and_text, table
+from qualis.llm.common import WORD, blocks, checkpointed, id_and_text, table, text_of
 
 #: Parts of a line, one of which a coarse variant leaves out.
 PARTS = 4
@@ -126,11 +126,15 @@ def _emit_variants(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                                              names=["variant", "cut", "h1"])
 
 
-def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every line with a word in it: h1, h2 (together its 128-bit digest), at (its place), line."""
-    lines = id_and_text(docs, id_col, text_col).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by_text: bool = False) -> DataFrame:
+    """Every line with a word in it: h1, h2 (together its 128-bit digest), at (its place), line.
+
+    ``by_text``: places also hold the hash of the text (row), after the id.
+    """
+    lines = id_and_text(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("row"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    at = F.struct("doc_id", "row", "line_no") if by_text else F.struct("doc_id", "line_no")
     return (lines.where(F.btrim("line", F.lit(" \t\x0b\x0c\r")) != "")
-            .select(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), F.struct("doc_id", "line_no").alias("at"), "line"))
+            .select(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), at.alias("at"), "line"))
 
 
 def _only(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
@@ -172,7 +176,7 @@ def near_links(docs: DataFrame, occurrences: DataFrame, id_col: str = "doc_id",
             .where(F.levenshtein("line", "other", 1) >= 0).select("h1", "h2", "near"))
 
 
-def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by_text: bool = False) -> DataFrame:
     """Lines that go, one row each: at (their place), h1, of (the place of the line that they repeat), edits.
 
     Lines are what "\\n" separates; those without a word always stay.  Places
@@ -184,9 +188,11 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Null and empty texts have no lines.  Rows that share an id are one
     document listed several times: equal lines at the same place of them do
-    not repeat each other.  An empty table gives no rows.
+    not repeat each other.  With ``by_text`` that holds for rows that also share
+    the text only; other texts of an id (or without one) are documents of their
+    own, in the order of their hashes.  An empty table gives no rows.
     """
-    lines = checkpointed(lines_of(docs, id_col, text_col).select("h1", "h2", "at"))
+    lines = checkpointed(lines_of(docs, id_col, text_col, by_text).select("h1", "h2", "at"))
     distinct = lines.groupBy("h1", "h2").agg(F.min("at").alias("first"), F.max("at").alias("last"))
     # a table of its own, so that AQE can split the rows of a very common line in the join
     repeats = checkpointed(distinct.join(near_links(docs, lines, id_col, text_col), ["h1", "h2"], "left").where("near is not null or first < last"))
@@ -197,9 +203,10 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the text of each row reduced to the lines that stay (null stays null)."""
-    gone = dropped_lines(docs, id_col, text_col)
-    gone = gone.groupBy(F.col("at.doc_id").alias("_id")).agg(F.collect_set(F.struct("at.line_no", "h1")).alias("_gone"))
-    joined = docs.join(gone, docs[id_col].cast("long").eqNullSafe(F.col("_id")), "left")
+    # one document's lines are a group, not all lines of an id, which may be null or shared by very many rows
+    gone = dropped_lines(docs, id_col, text_col, by_text=True)
+    gone = gone.groupBy(F.col("at.doc_id").alias("_id"), F.col("at.row").alias("_row")).agg(F.collect_set(F.struct("at.line_no", "h1")).alias("_gone"))
+    joined = docs.join(gone, docs[id_col].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text_of(docs, text_col)) == F.col("_row")), "left")
     stays: Column = F.filter(F.split(text_col, "\n"), lambda line, i: ~F.array_contains(F.col("_gone"), F.struct(i.alias("line_no"), F.xxhash64(line).alias("h1"))))
     text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(stays, "\n"))
     return joined.withColumn(text_col, text).select(docs.columns)

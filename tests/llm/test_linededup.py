@@ -106,3 +106,11 @@ def test_query_matches_its_sql(spark):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/documents.parquet'")
     want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({linededup.ORACLE})").fetchall()
     assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_texts_that_share_an_id_are_documents_of_their_own(spark):
+    header = "a header line of many documents"
+    for i in (None, 7):
+        docs = spark.createDataFrame([(i, f"{header}\nbody number {'xyz'[n]} {'pqr'[n] * 9}") for n in range(3)], "doc_id long, text string")
+        texts = [r.text for r in dedup_lines(docs).collect()]
+        assert sum(header in t for t in texts) == 1 and sum("body" in t for t in texts) == 3
