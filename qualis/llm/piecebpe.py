@@ -7,8 +7,8 @@ themselves, come out as those two.  So a text is encoded by backtracking:
 
 * one Aho-Corasick pass finds the longest piece that starts at each place;
 * from left to right the longest piece is tried, then its shorter prefixes;
-  a piece fits if its neighbour on the left and it stand that check (the
-  outcome is remembered by pair);
+  a piece fits if it and its neighbour on the left stand that check, which
+  replays their own merges and looks for one across (remembered by pair);
 * a place from which no piece fits is marked in a bitfield and never tried
   again: the pieces before a place are the same on every way to it;
 * what fits nowhere takes back the piece before it.
@@ -36,9 +36,9 @@ from pyspark.sql import functions as F
 from qualis.llm.common import blocks, id_and_text, table
 
 SPACE = "▁"
-#: Units and pairs that a worker remembers; beyond that it starts anew (bounds memory, not results).
-CACHE_UNITS = 400_000
-CACHE_PAIRS = 500_000
+#: Units and pairs that a worker remembers in each of two generations (bounds memory, not results).
+CACHE_UNITS = 250_000
+CACHE_PAIRS = 200_000
 #: Longer units are encoded each time they occur.
 CACHED_CHARS = 64
 #: The score of a pair that is no piece.
@@ -52,27 +52,30 @@ def _one_byte(error: UnicodeError) -> tuple[str, int]:
 codecs.register_error("qualis_one_byte", _one_byte)  # a byte that starts no character becomes U+FFFD by itself
 
 
-class _Remembered(dict):
-    """key -> make(key), of which at most ``bound`` are kept."""
+class Remembered(dict):
+    """key -> make(key); of the keys that were not asked for lately the least recent go (two generations of at most ``bound`` each)."""
 
     def __init__(self, make: Callable, bound: int):
         super().__init__()
-        self._make, self._bound = make, bound
+        self._make, self._bound, self._older = make, bound, {}
 
     def __missing__(self, key):
+        value = self._older.get(key)
+        if value is None:
+            value = self._make(key)
         if len(self) >= self._bound:
+            self._older = dict(self)
             self.clear()
-        self[key] = value = self._make(key)
+        self[key] = value
         return value
 
 
-class PieceModel(dict):
-    """unit -> packed little-endian unsigned 32-bit ids; encodes and decodes whole texts."""
+class PieceModel:
+    """Encodes whole texts to packed little-endian unsigned 32-bit ids, and decodes them."""
 
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
 
-        super().__init__()
         model = SentencePieceProcessor(model_file=path)
         if model.normalize(" Ａ  b ") != f"{SPACE}{SPACE}Ａ{SPACE}{SPACE}b{SPACE}":
             raise ValueError(f"{path}: only models that keep texts as they are and put one space before them")
@@ -97,20 +100,25 @@ class PieceModel(dict):
         self._spaced = {i for p, i in self.ids.items() if p.startswith(SPACE)}
         self._silent = np.array([not s for s in self.surface])
         self._matches = ahocorasick.Automaton()
-        for piece in self.ids:
+        # a node's characters are searched in the order they came in: the space, letters, then by code point
+        for piece in sorted(self.ids, key=lambda p: (not p.startswith(SPACE), not "a" <= p[0] <= "z", p)):
             self._matches.add_word(piece, len(piece))
         self._matches.make_automaton()
-        self._pairs = _Remembered(lambda pair: self.merged(pair[0] + pair[1]) == [p for p in pair if p], CACHE_PAIRS)
-        self._shorter = _Remembered(self._next_shorter, CACHE_PAIRS)
-        self._fitting = _Remembered(self._next_fitting, CACHE_PAIRS)
+        self._edges: dict[str, tuple[list, list] | None] = {}
+        self._shorter = Remembered(self._next_shorter, CACHE_PAIRS)
+        self._fitting = Remembered(self._next_fitting, CACHE_PAIRS)
+        self._alphabet = {c for p in self.ids for c in p}
+        self._between = next(c for c in map(chr, range(1, 0x110000)) if c not in self._alphabet)
         self._units = self._unit_pattern()
+        self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def _unit_pattern(self) -> re.Pattern:
         """Units, over whose ends no piece reaches: before a space, before a mark after a letter or digit, around a line break."""
         inside = {(a, b) for p in self.ids for a, b in zip(p, p[1:])}
         if any(b == SPACE != a for a, b in inside):
             return re.compile("(?s).+")
-        alphabet = {c for p in self.ids for c in p}
+        alphabet = self._alphabet
         alone = re.escape("".join(c for c in "\t\n\r" if c not in alphabet))
         apart = re.escape("".join(c for c in string.punctuation if not any(b == c and a.isalnum() for a, b in inside)))
         if not apart:
@@ -119,23 +127,58 @@ class PieceModel(dict):
         body = f"[^{SPACE}{alone}](?:[^{SPACE}{alone}{apart}]+|(?<![^\\W_])[{apart}])*"
         return re.compile(f"{SPACE}*{body}|{SPACE}+" + (f"|[{alone}]" if alone else ""))
 
-    def merged(self, text: str) -> list[str]:
-        """The pieces of a short text by merging pair after pair."""
+    def merged(self, text: str) -> tuple[list[str], list, list]:
+        """A short text's pieces by merging pair after pair; what stood at its left and at its right end, each until which score.
+
+        Of two texts side by side, either's merges go on in their own order
+        as long as none reaches over.  So a merge is due, seen from the other
+        text, when the lowest score up to it is (NEVER: never).
+        """
         parts, score = list(text), self.scores.get
         joins = [score(a + b, NEVER) for a, b in zip(parts, parts[1:])]
+        left, right, due = [], [], float("inf")
         while joins and (best := max(joins)) > NEVER:
-            k = joins.index(best)
+            k, due = joins.index(best), min(due, best)
+            if k == 0:
+                left.append((parts[0], due))
+            if k == len(joins) - 1:
+                right.append((parts[-1], due))
             parts[k:k + 2] = [parts[k] + parts[k + 1]]
             del joins[k]
             if k:
                 joins[k - 1] = score(parts[k - 1] + parts[k], NEVER)
             if k < len(joins):
                 joins[k] = score(parts[k] + parts[k + 1], NEVER)
-        return parts
+        return parts, [*left, (parts[0], NEVER)], [*right, (parts[-1], NEVER)]
+
+    def _ends(self, piece: str) -> tuple[list, list] | None:
+        """What stands at the ends of a piece while it is merged; None if merging its text does not give it."""
+        if piece not in self._edges:
+            if len(self._edges) >= CACHE_PAIRS:  # characters of no piece
+                self._edges.clear()
+            parts, left, right = self.merged(piece)
+            self._edges[piece] = (left, right) if parts == [piece] else None
+        return self._edges[piece]
 
     def adjacent(self, left: str, right: str) -> bool:
-        """Whether ``right`` can follow ``left`` (empty: begin a unit): merged anew they come out as they are."""
-        return self._pairs[left, right]
+        """Whether ``right`` can follow ``left`` (empty: begin a unit): merged anew, side by side, nothing joins across."""
+        ends = self._ends(right)
+        if ends is None or not left:
+            return ends is not None
+        before, after = self._ends(left)[1], ends[0]
+        score, i, j = self.scores.get, 0, 0
+        while True:
+            x, x_until = before[i]
+            y, y_until = after[j]
+            join = score(x + y, NEVER)
+            if join > x_until and join >= y_until and join > NEVER:  # the leftmost of equals goes first
+                return False
+            if x_until == y_until == NEVER:
+                return True
+            if x_until >= y_until:
+                i += 1
+            else:
+                j += 1
 
     def _next_shorter(self, piece: str) -> str:
         """The longest piece that is a proper prefix of ``piece``; its first character may be none, and '' ends the row."""
@@ -148,16 +191,23 @@ class PieceModel(dict):
             piece = self._shorter[piece]
         return piece
 
-    def pieces(self, unit: str) -> list[str]:
-        """The merge-type encoding of ``unit`` by backtracking."""
-        n = len(unit)
-        longest = array("i", [1]) * n
-        for end, size in self._matches.iter(unit):
+    def _longest(self, units: list[str]) -> array:
+        """At each place of the units, each followed by a character of no piece: the length of the longest piece that starts there."""
+        text = self._between.join(units)
+        longest = array("i", [1]) * (len(text) + 1)
+        for end, size in self._matches.iter(text):
             longest[end - size + 1] = size  # ends ascend, so the longest comes last
+        return longest
+
+    def pieces(self, unit: str, longest: array | None = None, base: int = 0) -> list[str]:
+        """The merge-type encoding of ``unit``, whose longest pieces stand from ``base`` on, by backtracking."""
+        n = len(unit)
+        if longest is None:
+            longest = self._longest([unit])
         failed: bytearray | None = None
         fitting, shorter = self._fitting, self._shorter
         out: list[str] = []
-        at, before, piece = 0, "", unit[:longest[0]]
+        at, before, piece = 0, "", unit[:longest[base]]
         while True:
             piece = fitting[before, piece]
             if piece:
@@ -168,7 +218,7 @@ class PieceModel(dict):
                 out.append(piece)
                 if end == n:
                     return out
-                at, before, piece = end, piece, unit[end:end + longest[end]]
+                at, before, piece = end, piece, unit[end:end + longest[base + end]]
             else:
                 failed = failed or bytearray(n // 8 + 1)
                 failed[at >> 3] |= 1 << (at & 7)
@@ -177,26 +227,37 @@ class PieceModel(dict):
                 before = out[-1] if out else ""
                 piece = shorter[last]
 
-    def __missing__(self, unit: str) -> bytes:
-        ids: list[int] = []
-        for piece in self.pieces(unit):
-            i = self.ids.get(piece)
-            if i is None:  # a character of no piece
-                ids += [self.byte_ids[b] for b in piece.encode()]
-            else:
-                ids.append(i)
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(unit) <= CACHED_CHARS:
-            if len(self) >= CACHE_UNITS:
-                self.clear()
-            self[unit] = packed
-        return packed
+    def _encoded(self, units: list[str]) -> Iterator[bytes]:
+        longest, base, ids_of = self._longest(units), 0, self.ids.get
+        for unit in units:
+            ids: list[int] = []
+            for piece in self.pieces(unit, longest, base):
+                i = ids_of(piece)
+                if i is None:  # a character of no piece
+                    ids += [self.byte_ids[b] for b in piece.encode()]
+                else:
+                    ids.append(i)
+            yield struct.pack(f"<{len(ids)}I", *ids)
+            base += len(unit) + 1
 
     def packed(self, text: str) -> bytes:
         """Packed ids of a text, without begin and end ids."""
-        if not text:
-            return b""
-        return b"".join(map(self.__getitem__, self._units.findall(SPACE + text.replace(" ", SPACE))))
+        units = self._units.findall(SPACE + text.replace(" ", SPACE)) if text else []
+        known = self._known
+        new = [u for u in set(units) if u not in known]
+        if len(known) + len(new) > CACHE_UNITS:
+            self._older, self._known = known, {}
+            known, new = self._known, list(set(units))
+        if new:
+            older = self._older
+            known.update((u, older[u]) for u in new if u in older)
+            fresh = [u for u in new if u not in older]
+            known.update(zip(fresh, self._encoded(fresh)))
+        ids = b"".join(map(known.__getitem__, units))
+        for unit in new:
+            if len(unit) > CACHED_CHARS:
+                del known[unit]
+        return ids
 
     def decoded(self, packed: bytes) -> str:
         """The text of packed ids: control ids give nothing, one space before the first piece goes."""

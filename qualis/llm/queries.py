@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from qualis.llm import chunks, exact, linededup, lmscore, mixing, neardup, packing, piecebpe, pseudonyms, quality, secrets
+from qualis.llm import align, chunks, exact, linededup, lmscore, mixing, neardup, packing, piecebpe, pseudonyms, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.query,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": mixing.query,
     "op9_lm_scores": lmscore.query,
     "op10_substring_dedup": chunks.query,
+    "op11_alignment": align.query,
     "op12_sentencepiece": piecebpe.query,
 }
 
