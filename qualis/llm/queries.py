@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from qualis.llm import align, chunks, exact, linededup, lmscore, mixing, neardup, packing, piecebpe, pseudonyms, quality, secrets
+from qualis.llm import align, chunks, exact, linededup, lmscore, mixing, neardup, packing, piecebpe, pseudonyms, quality, search, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": packing.query,
@@ -21,10 +21,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_substring_dedup": chunks.query,
     "op11_alignment": align.query,
     "op12_sentencepiece": piecebpe.query,
+    "op13_search": search.query,
 }
 
 ORACLES: dict[str, str] = {
     "op2_secrets": secrets.ORACLE,
     "op3_exact_dedup": exact.ORACLE,
     "op4_line_dedup": linededup.ORACLE,
+    "op13_search": search.ORACLE,
 }
