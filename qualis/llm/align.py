@@ -389,6 +389,9 @@ def link_scores(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id
         out = first.select(["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups"])
         return out.append_column("n_best", pa.array(n_best[number])).append_column("count_sum", pa.array(count_sum[number]))
 
+    # a task for each block, however many there are
+    n_blocks = max(1, rows.where("asked IS NOT NULL").count())
+    held, answers = held.repartition(n_blocks, "block"), answers.repartition(n_blocks, "asker")
     return held.groupBy("block").cogroup(answers.groupBy("asker")).applyInArrow(
         score, "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, n_best long, count_sum long")
 
