@@ -34,7 +34,7 @@ from qualis.llm.common import blocks, id_and_text, saved, table
 from qualis.llm.tokens import _byte_letters
 
 #: Characters of text in a block, and links that are expanded at a time.
-BLOCK_CHARS = 48_000_000
+BLOCK_CHARS = 8_000_000
 LINKS_AT_A_TIME = 1 << 21
 #: Characters whose class no Unicode version changes; texts with others go through the file's own tokenizer.
 SETTLED = re.compile("[\t\n\r\x20-\x7e\xa1-\u024fΑ-ΡΣ-ωЀ-ҁҊ-ԯ‐-‧ぁ-ゖァ-ヺ一-龥가-힣\U0001f300-\U0001faff]*")
