@@ -66,8 +66,9 @@ def main() -> None:
     raw_wh, dw = Warehouse(spark, root, "raw"), Warehouse(spark, root, "dw")
     stage("ingest_raw", lambda: raw_wh.write_many(lazy(SOURCES, lambda t: raw_table(spark, sf_dir, t)), SOURCES, 7))
     raw = lazy(SOURCES, raw_wh.read)
-    stage("warehouse_build_full", lambda: warehouse.run(raw, dw, full_refresh=True))
-    stage("warehouse_build_incremental", lambda: warehouse.run(lazy(SOURCES, raw_wh.read), dw, full_refresh=False))
+    stage("warehouse_build_full", lambda: warehouse.run(raw, dw, full_refresh=True, prints=raw_wh.fingerprints(SOURCES)))
+    stage("warehouse_build_incremental", lambda: warehouse.run(lazy(SOURCES, raw_wh.read), dw, full_refresh=False,
+                                                                 prints=raw_wh.fingerprints(SOURCES)))
 
     names = warehouse.DIMENSIONS + warehouse.FACTS + warehouse.FLAT
     marts = lazy(names, dw.read)

@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from qualis import schemas
 from qualis.operators.merge import merge_subscriptions
-from qualis.plans import checks, dims, facts, metrics, relations, warehouse
+from qualis.plans import checks, dims, metrics, relations, warehouse
 from qualis.plans.ingest import SUBSCRIPTIONS, ingest_csv_tables, load_subscriptions
-from qualis.plans.staging import stage, staging
+from qualis.plans.staging import stage
 from qualis.session import materialize, scratch_dir
 from qualis.sources.csv_source import LANDED_FILES, read_csv
 from qualis.sources.fixtures import first_batch, merge_source, merge_target, raw_table, raw_tables
@@ -52,19 +52,16 @@ def _mart(name: str) -> Query:
 def _incremental(name: str) -> Query:
     """Model after a first load of batch 1 and an incremental load of batch 2.
 
-    The batch-1 tables stand for the existing targets: they are
-    materialised once (dimensions sized together), then batch 2 (the whole
-    tables) is loaded incrementally on top of them.
+    Both go through a warehouse: batch 2 (the whole tables) is loaded on top
+    of the written tables of batch 1, as new parts and the keys that they
+    replace, and the table is read through these.
     """
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw = raw_tables(spark, sf_dir)
-        stg1 = staging(first_batch(raw))
-        dims1 = warehouse.SizedDims(dims.dimensions(stg1))
-        dims1.prefetch(warehouse.DIMENSIONS)
-        targets = {n: dims1[n] for n in warehouse.DIMENSIONS}
-        if name in warehouse.FACTS:
-            targets[name] = materialize(facts.facts(stg1, dims1)[name])
-        return warehouse.build(raw, targets=targets, full_refresh=False)[name]
+        dw = Warehouse(spark, scratch_dir(spark, "warehouse"))
+        warehouse.run(first_batch(raw), dw, only=(name,))
+        warehouse.run(raw, dw, full_refresh=False, only=(name,))
+        return dw.read(name)
     q.__name__ = f"q_incr_{name}"
     return q
 

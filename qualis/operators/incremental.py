@@ -61,6 +61,46 @@ def only_new_keys(source: DataFrame, target: DataFrame, source_key: Column | str
     return kept.select(*cols).unionByName(unkeyed.filter(mode == 0).select(*cols))
 
 
+class StoredKeys:
+    """A warehouse table as the target of a new-key load: its writes know its null keys, its parts have key filters."""
+
+    #: A source of more than this share of the table's rows is compared with all keys at once.
+    FILTER_SHARE = 0.25
+
+    def __init__(self, warehouse, table: str, key: str):
+        self.warehouse, self.table, self.key = warehouse, table, key
+
+    def only_new(self, source: DataFrame, key: Column) -> DataFrame:
+        """As ``only_new_keys`` with ``key`` against the table's key column.
+
+        Whether the table is empty or holds a NULL key is known without a
+        scan.  A source that is small beside the table is compared with the
+        parts that may hold one of its keys, by their key filters.
+        """
+        rows, nulls = self.warehouse.rows(self.table), self.warehouse.null_keys(self.table, self.key)
+        if nulls is None:
+            return only_new_keys(source, self.warehouse.read(self.table), key, self.key)
+        if rows == 0:
+            return source
+        if nulls:
+            return source.filter(F.lit(False))
+        keyed = source.withColumn("__nk", key).filter(F.col("__nk").isNotNull())
+        n = source.count()
+        if n <= self.FILTER_SHARE * rows:
+            keys = keyed.select(F.col("__nk").alias(self.key)).distinct()
+            held = self.warehouse.held_keys(self.table, keys, self.key, broadcastable(n))
+        else:
+            held = self.warehouse.read(self.table, columns=[self.key])
+        return keyed.join(held.select(F.col(self.key).alias("__nk")), "__nk", "left_anti").select(*source.columns)
+
+
+def new_rows_only(source: DataFrame, target, source_key: Column, target_key: Column | None, stored_key: Column) -> DataFrame:
+    """New-key load against a DataFrame (by its natural key) or a stored table (by its key column)."""
+    if isinstance(target, StoredKeys):
+        return target.only_new(source, stored_key)
+    return only_new_keys(source, target, source_key, target_key)
+
+
 def upsert(target: DataFrame, new_rows: DataFrame, key: str, check_duplicates: bool = True,
            new_rows_count: int | None = None) -> DataFrame:
     """Keyed merge: a matched target row is replaced, other new rows are inserted.

@@ -26,9 +26,11 @@ holding a third of a batch therefore never lands in one join task.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qualis.operators.lookup import broadcastable
@@ -39,9 +41,26 @@ def _all(conditions):
     return reduce(lambda a, b: a & b, conditions)
 
 
-def merge_when_changed(target: DataFrame, source: DataFrame, key: str,
-                       change_cols: tuple[str, ...], keep_cols: tuple[str, ...] = (),
-                       source_rows: int | None = None) -> DataFrame:
+@dataclass(frozen=True)
+class Merge:
+    """What a batch does to a target.
+
+    ``changed``: per target row that changes its key, change and keep columns
+    (``__t_*``, ``__keep_*``); ``updated``: the rows that take their places;
+    ``inserted``: new rows; ``stays(rows)``: those of some target rows that
+    stay; ``guard``: a condition that raises if two source rows update one
+    target row.
+    """
+
+    changed: DataFrame
+    updated: DataFrame
+    inserted: DataFrame
+    stays: Callable[[DataFrame], DataFrame]
+    guard: Column
+
+
+def plan_merge(target: DataFrame, source: DataFrame, key: str, change_cols: tuple[str, ...],
+               keep_cols: tuple[str, ...] = (), source_rows: int | None = None) -> Merge:
     """See the module docstring.  ``source_rows`` (measured) lets the keys
     and change columns of a small batch be broadcast, so the target is read
     map-side and never shuffled."""
@@ -74,19 +93,29 @@ def merge_when_changed(target: DataFrame, source: DataFrame, key: str,
         F.lit(f"merge: several source rows update one target row on {key}"))).otherwise(F.lit(True))
 
     replaced = changed.select(*t_state).distinct()
-    stays = target.filter(F.col(key).isNotNull()).join(
-        side(replaced), _all([F.col(key) == F.col("__k"),
-                              *[F.col(c).eqNullSafe(F.col(f"__t_{c}")) for c in change_cols]]), "left_anti")
+
+    def stays(rows: DataFrame) -> DataFrame:
+        keyed = rows.filter(F.col(key).isNotNull()).join(
+            side(replaced), _all([F.col(key) == F.col("__k"),
+                                  *[F.col(c).eqNullSafe(F.col(f"__t_{c}")) for c in change_cols]]), "left_anti")
+        return keyed.unionByName(rows.filter(F.col(key).isNull()))
+
     updated = s_keyed.join(
         side(changed.select("__k", *s_state, *[f"__keep_{c}" for c in keep_cols])),
         _all([F.col(key) == F.col("__k"),
               *[F.col(c).eqNullSafe(F.col(f"__s_{c}")) for c in change_cols]])).select(
         *[F.col(f"__keep_{c}").alias(c) if c in keep_cols else F.col(c) for c in cols])
     existing = matches.select("__k").distinct()
-    inserted = s_keyed.join(side(existing), F.col(key) == F.col("__k"), "left_anti")
-    out = (stays.unionByName(target.filter(F.col(key).isNull())).unionByName(updated)
-           .unionByName(inserted).unionByName(source.filter(F.col(key).isNull())))
-    return out.filter(guard)
+    inserted = s_keyed.join(side(existing), F.col(key) == F.col("__k"), "left_anti").unionByName(source.filter(F.col(key).isNull()))
+    return Merge(changed, updated, inserted, stays, guard)
+
+
+def merge_when_changed(target: DataFrame, source: DataFrame, key: str,
+                       change_cols: tuple[str, ...], keep_cols: tuple[str, ...] = (),
+                       source_rows: int | None = None) -> DataFrame:
+    """The whole target after the MERGE."""
+    m = plan_merge(target, source, key, change_cols, keep_cols, source_rows)
+    return m.stays(target).unionByName(m.updated).unionByName(m.inserted).filter(m.guard)
 
 
 # The subscription export's merge key, change columns and

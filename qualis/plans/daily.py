@@ -31,7 +31,7 @@ def run_daily(spark: SparkSession, landing_dir: str, root: str, subscriptions_pa
         loaded[SUBSCRIPTIONS] = load_subscriptions(batch, raw)
     tables = lazy([t for t in list(LANDED_FILES) + [SUBSCRIPTIONS] if raw.exists(t)], raw.read)
     dw = raw.at("dw")
-    built = warehouse.run(tables, dw, full_refresh=full_refresh)
+    built = warehouse.run(tables, dw, full_refresh=full_refresh, prints=raw.fingerprints(LANDED_FILES))
     marts = lazy(warehouse.DIMENSIONS + warehouse.FACTS, dw.read)
     dim_rows = {n: dw.read(n).count() for n in warehouse.DIMENSIONS}
     dw.write(CHECKS_TABLE, checks.check_suite(marts, dim_rows))

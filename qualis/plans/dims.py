@@ -7,6 +7,7 @@ so the shuffle carries at most one row per id per partition, however
 skewed the ids.  Where two branches read the same table (reviewer and
 reviewee of a manual review) they come from one scan with ``explode``.
 The surrogate key is hashed after aggregation: one md5 per member.
+``members`` makes all four in one aggregate, with one scan of each table.
 
 Incremental mode (``target`` given) keeps the reference's rules: the
 time dimensions only take members newer than the target's high-water
@@ -15,6 +16,7 @@ mark, the category dimension only takes ids the target lacks.
 
 from __future__ import annotations
 
+import threading
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +25,8 @@ from pyspark.sql import functions as F
 from qualis.functions.keys import id_key, rounded_id
 from qualis.functions.times import SENTINEL_TS, date_key, strict_ts, ts_literal
 from qualis.lazy import lazy
-from qualis.operators.incremental import only_new_keys, since_watermark
+from qualis.operators.incremental import new_rows_only, since_watermark
+from qualis.session import materialize
 
 # Calendar range of the date dimension and day names by
 # day-of-week number (Sunday = 1).
@@ -93,7 +96,7 @@ def dim_rating_category(stg: dict[str, DataFrame], target: DataFrame | None = No
     dedup = (union.filter(F.col("category_id").isNotNull())
              .groupBy("category_id").agg(F.min("category_name").alias("category_name")))
     if target is not None:
-        dedup = only_new_keys(dedup, target, "category_id")
+        dedup = new_rows_only(dedup, target, F.col("category_id"), None, F.col("category_id"))
     return dedup.select(id_key("category_id").alias("rating_category_key"), "category_id", "category_name")
 
 
@@ -115,13 +118,64 @@ def dim_date(spark: SparkSession, start: str = DATE_RANGE[0], end: str = DATE_RA
         F.quarter("calendar_date").cast("bigint").alias("quarter"))
 
 
+def members(stg: dict[str, DataFrame]) -> DataFrame:
+    """Every dimension's members at once: dimension, id, updated_at (latest) and name (least).
+
+    Each staging table is read once: its rows expand to (dimension, id, time,
+    name), which one aggregate groups, partially before its one shuffle.
+    """
+    null_ts, null_name = F.lit(None).cast("timestamp_ntz"), F.lit(None).cast("string")
+
+    def of(dimension: str, id_col, ts=null_ts, name=null_name) -> F.Column:
+        return F.struct(F.lit(dimension).alias("dimension"), id_col.cast("bigint").alias("id"), ts.alias("updated_at"), name.alias("name"))
+
+    time, never = strict_ts("updated_at"), _sentinel()
+    col = F.col
+    roles = {
+        "autoqa_reviews": [of("team", col("team_id"), time), of("payment", col("payment_id"), time), of("user", rounded_id("reviewee_internal_id"), time)],
+        "manual_reviews": [of("team", col("team_id"), time), of("payment", col("payment_id"), time),
+                           of("user", rounded_id("reviewee_id"), time), of("user", col("reviewer_id"), time)],
+        "conversations": [of("payment", col("payment_id"), time), of("user", col("assignee_id"), time)],
+        "manual_rating": [of("team", col("team_id"), never), of("payment", col("payment_id"), never),
+                          of("category", col("category_id"), name=col("category_name"))],
+        "autoqa_ratings": [of("payment", col("payment_id"), never), of("user", col("reviewee_internal_id"), never),
+                           of("category", col("rating_category_id"), name=col("rating_category_name"))],
+    }
+    rows = [stg[t].select(F.explode(F.array(*r)).alias("m")).select("m.*") for t, r in roles.items()]
+    return (reduce(DataFrame.unionByName, rows).filter(F.col("id").isNotNull())
+            .groupBy("dimension", "id").agg(F.max("updated_at").alias("updated_at"), F.min("name").alias("name")))
+
+
+def _of_members(found: DataFrame, name: str, target, mark: str | None) -> DataFrame:
+    """A dimension from ``members``; with ``target`` its new rows only."""
+    kind = name.removeprefix("dim_")
+    if name == "dim_rating_category":
+        rows = found.filter("dimension = 'category'").select(F.col("id").alias("category_id"), F.col("name").alias("category_name"))
+        if target is not None:
+            rows = new_rows_only(rows, target, F.col("category_id"), None, F.col("category_id"))
+        return rows.select(id_key("category_id").alias("rating_category_key"), "category_id", "category_name")
+    rows = found.filter(F.col("dimension") == kind).select(id_key("id").alias(f"{kind}_key"), F.col("id").alias(f"{kind}_id"), "updated_at")
+    return _since(rows, target, mark)
+
+
 def dimensions(stg: dict[str, DataFrame], targets: dict[str, DataFrame] | None = None,
-               marks: dict[str, str] | None = None) -> dict[str, DataFrame]:
+               marks: dict[str, str] | None = None, together: bool = False) -> dict[str, DataFrame]:
     """The four id dimensions; with ``targets`` only their new rows.
 
     ``marks`` are the targets' recorded high-water marks, where known.
+    ``together``: all are wanted, so the first access reads every staging
+    table once and keeps the members of all of them.
     """
     t, m = targets or {}, marks or {}
     builders = {"dim_team": dim_team, "dim_payment": dim_payment, "dim_user": dim_user,
                 "dim_rating_category": dim_rating_category}
-    return lazy(builders, lambda n: builders[n](stg, t.get(n), m.get(n)))
+    if not together:
+        return lazy(builders, lambda n: builders[n](stg, t.get(n), m.get(n)))
+    lock, kept = threading.Lock(), []
+
+    def dimension(name: str) -> DataFrame:
+        with lock:
+            if not kept:
+                kept.append(materialize(members(stg)))
+        return _of_members(kept[0], name, t.get(name), m.get(name))
+    return lazy(builders, dimension)

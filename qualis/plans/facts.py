@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from qualis.functions.keys import id_string, joined_key, surrogate_key
 from qualis.functions.times import date_key, safe_date, safe_ts, strict_ts
 from qualis.lazy import LazyTables
-from qualis.operators.incremental import only_new_keys, since_watermark
+from qualis.operators.incremental import StoredKeys, new_rows_only, since_watermark
 from qualis.operators.lookup import lookup
 
 
@@ -78,7 +78,7 @@ def fact_autoqa_ratings(stg: dict[str, DataFrame], dims: dict[str, DataFrame],
                         target: DataFrame | None = None) -> DataFrame:
     base = stg["autoqa_ratings"]
     if target is not None:
-        base = only_new_keys(base, target, "autoqa_rating_id")
+        base = new_rows_only(base, target, F.col("autoqa_rating_id"), None, F.col("autoqa_rating_id"))
     f = _pay(base, dims)
     f = _team(f, dims)
     f = _user(f, dims, "reviewee_internal_id", "reviewee_key")
@@ -95,10 +95,16 @@ def _root_cause_natural(df: DataFrame) -> F.Column:
     return F.concat(df["autoqa_rating_id"], F.coalesce(df["root_cause"], F.lit("")))
 
 
+def _natural_of(target, natural):
+    """A stored table is compared by its key column, the hash of the natural key."""
+    return None if isinstance(target, StoredKeys) else natural(target)
+
+
 def fact_autoqa_root_cause(stg: dict[str, DataFrame], target: DataFrame | None = None) -> DataFrame:
     base = stg["autoqa_root_cause"].filter(F.col("autoqa_rating_id").isNotNull())
     if target is not None:
-        base = only_new_keys(base, target, _root_cause_natural(base), _root_cause_natural(target))
+        natural = _root_cause_natural(base)
+        base = new_rows_only(base, target, natural, _natural_of(target, _root_cause_natural), F.md5(natural))
     return base.select(
         F.md5(_root_cause_natural(base)).alias("autoqa_root_cause_key"),
         "autoqa_rating_id",
@@ -147,7 +153,8 @@ def fact_manual_ratings(stg: dict[str, DataFrame], dims: dict[str, DataFrame],
                         target: DataFrame | None = None) -> DataFrame:
     base = stg["manual_rating"]
     if target is not None:
-        base = only_new_keys(base, target, _manual_rating_natural(base), _manual_rating_natural(target))
+        natural = _manual_rating_natural(base)
+        base = new_rows_only(base, target, natural, _natural_of(target, _manual_rating_natural), F.md5(natural))
     f = base.withColumn("manual_rating_key", F.md5(_manual_rating_natural(base)))
     f = _pay(f, dims)
     f = _team(f, dims)

@@ -2,22 +2,24 @@
 
 CSV tables are truncated and reloaded (each write is one Spark job per
 table).  The subscription export is loaded by keyed MERGE: the first
-load creates the table partitioned by signup day; later loads merge the
-batch into the live version and write the next version.
+load creates the table partitioned by signup day; later loads write the
+days that their batch changes.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from qualis.lazy import lazy
 from qualis.schemas import struct_type
 from qualis.session import materialize
-from qualis.operators.merge import merge_subscriptions
+from qualis.operators.merge import SUBSCRIPTION_CHANGE_COLUMNS, SUBSCRIPTION_KEY, plan_merge
 from qualis.sources.csv_source import LANDED_FILES, read_csv
 from qualis.sources.layers import Warehouse
 
 SUBSCRIPTIONS = "customer_subscriptions"
+SIGNUP_DAY = "dt_customer_signup_date"
 
 
 def ingest_csv_tables(spark: SparkSession, landing_dir: str, raw: Warehouse,
@@ -32,12 +34,28 @@ def ingest_csv_tables(spark: SparkSession, landing_dir: str, raw: Warehouse,
 
 
 def load_subscriptions(batch: DataFrame, raw: Warehouse) -> int:
-    """First load: partitioned create.  Later loads: MERGE into the live version."""
-    if raw.exists(SUBSCRIPTIONS):
-        # the batch is materialised and counted: a small daily batch is
-        # broadcast into the merge, so the target is never shuffled
-        batch = materialize(batch)
-        n = batch.count()
-        # declared schema: the partition column's type is not left to inference
-        batch = merge_subscriptions(raw.read(SUBSCRIPTIONS, struct_type(SUBSCRIPTIONS)), batch, n)
-    return raw.write(SUBSCRIPTIONS, batch, partition_by="dt_customer_signup_date")
+    """First load: partitioned create.  Later loads: MERGE into the live version; returns its rows.
+
+    An updated row keeps its signup day, so a batch changes the days of the
+    rows that it updates and adds rows to the days of its new ones.  Only the
+    former are read whole and written again, the latter get a further folder,
+    all other days are kept by reference.  A batch without rows, or that
+    changes nothing, writes nothing; an empty batch returns 0.
+    """
+    if not raw.exists(SUBSCRIPTIONS):
+        return raw.write(SUBSCRIPTIONS, batch, partition_by=SIGNUP_DAY)
+    # the batch is materialised and counted: a small daily batch is
+    # broadcast into the merge, so the target is never shuffled
+    batch = materialize(batch)
+    n = batch.count()
+    if n == 0:
+        return 0
+    # declared schema: the partition column's type is not left to inference
+    schema = struct_type(SUBSCRIPTIONS)
+    merge = plan_merge(raw.read(SUBSCRIPTIONS, schema), batch, SUBSCRIPTION_KEY, SUBSCRIPTION_CHANGE_COLUMNS, (SIGNUP_DAY,), n)
+    days = {r[0] for r in merge.changed.select(F.col(f"__keep_{SIGNUP_DAY}").cast("string")).distinct().collect()}  # calendar days
+    inserted = materialize(merge.inserted)
+    if not days and inserted.isEmpty():
+        return raw.rows(SUBSCRIPTIONS)
+    again = merge.stays(raw.values(SUBSCRIPTIONS, SIGNUP_DAY, days, schema)).unionByName(merge.updated)
+    return raw.replace_values(SUBSCRIPTIONS, again.unionByName(inserted).filter(merge.guard), SIGNUP_DAY, days)

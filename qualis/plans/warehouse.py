@@ -15,11 +15,9 @@ the lineage between the two stages.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from qualis.lazy import LazyTables, lazy
-from qualis.operators.incremental import upsert
-from qualis.operators.lookup import broadcastable
+from qualis.operators.incremental import StoredKeys, upsert
 from qualis.plans import dims as dim_models
 from qualis.plans import facts as fact_models
 from qualis.plans import marts as flat_marts
@@ -156,62 +154,99 @@ def build(raw: dict[str, DataFrame], targets: dict[str, DataFrame] | None = None
     return lazy(parts, lambda n: parts[n][n])
 
 
-def run(raw: dict[str, DataFrame], warehouse, full_refresh: bool = True, parallel: int = 4) -> dict[str, int]:
+# Raw tables that each model's rows come from.
+MODEL_SOURCES = {
+    "dim_team": ("autoqa_reviews", "manual_reviews", "manual_rating"),
+    "dim_payment": ("autoqa_reviews", "manual_reviews", "conversations", "manual_rating", "autoqa_ratings"),
+    "dim_user": ("manual_reviews", "conversations", "autoqa_reviews", "autoqa_ratings"),
+    "dim_rating_category": ("autoqa_ratings", "manual_rating"),
+    "fact_autoqa_reviews": ("autoqa_reviews",),
+    "fact_autoqa_ratings": ("autoqa_ratings",),
+    "fact_autoqa_root_cause": ("autoqa_root_cause",),
+    "fact_conversations": ("conversations",),
+    "fact_manual_ratings": ("manual_rating",),
+    "fact_manual_reviews": ("manual_reviews",),
+}
+
+
+def run(raw: dict[str, DataFrame], warehouse, full_refresh: bool = True, parallel: int = 4,
+        prints: dict[str, str] | None = None, only: tuple[str, ...] | None = None) -> dict[str, int]:
     """Build and write every mart into ``warehouse``; returns row counts written.
 
+    ``only``: these marts and the dimensions that they look up.
+
     Order: dimensions, then facts reading the written dimensions, then the
     flat marts.  Tables of one group are independent and are written as
     ``parallel`` concurrent jobs.  A mart whose target is missing is built
     as a full refresh.  The calendar is written with the dimensions; the
     flat marts are left out while no subscription export has been loaded.
+
+    ``prints``: fingerprints of raw tables (``Warehouse.fingerprints``).  An
+    incremental run leaves out the models whose raw tables are, by these, the
+    ones that their live version was computed from: no row of theirs can be
+    new.
     """
     stg = staging(raw)
+    prints = prints or {}
+    wanted = set(only or DIMENSIONS + FACTS + FLAT)
+    wanted |= {d for n in wanted for d in FACT_DIMENSIONS.get(n, ())}
+    dimensions, facts, flat = ([n for n in group if n in wanted] for group in (DIMENSIONS, FACTS, FLAT))
+
+    def sources(name):
+        own = {t: prints[t] for t in MODEL_SOURCES[name] if t in prints}
+        return own if len(own) == len(MODEL_SOURCES[name]) else None
 
     def targets(names):
-        return {} if full_refresh else {n: warehouse.read(n) for n in names if warehouse.exists(n)}
+        """What each model's new rows are told by: a frame with times, or the stored keys."""
+        have = [] if full_refresh else [n for n in names if warehouse.exists(n)]
+        return {n: StoredKeys(warehouse, n, UNIQUE_KEYS[n]) if n in NEW_KEY_MODELS else warehouse.read(n) for n in have}
 
     def marks(names):
         # high-water marks recorded by the writes: no scan of the targets
         return {n: m for n in names if (m := warehouse.watermark(n)) is not None}
 
-    have = targets(DIMENSIONS)
-    new = dim_models.dimensions(stg, have, marks(DIMENSIONS)) if have else dim_models.dimensions(stg)
-    counts = warehouse.write_many(new, DIMENSIONS, parallel, loader(warehouse, have))
-    if full_refresh or not warehouse.exists("dim_date"):
+    def load(new, names, have):
+        same = [n for n in names if n in have and sources(n) is not None and warehouse.live(n).sources == sources(n)]
+        write = loader(warehouse, have, {n: sources(n) for n in names})
+        counts = warehouse.write_many(new, [n for n in names if n not in same], parallel, write)
+        return {n: counts[n] if n in counts else warehouse.rows(n) for n in names}
+
+    have = targets(dimensions)
+    new = dim_models.dimensions(stg, have, marks(dimensions), together=len(dimensions) > 1)
+    counts = load(new, dimensions, have)
+    if only is None and (full_refresh or not warehouse.exists("dim_date")):
         counts["dim_date"] = warehouse.write("dim_date", dim_models.dim_date(warehouse.spark))
     # written dimensions: lineage cut, exact sizes known from the writes
-    dims = Dims({n: warehouse.read(n) for n in DIMENSIONS}, {n: counts[n] for n in DIMENSIONS})
+    dims = Dims({n: warehouse.read(n) for n in dimensions}, {n: counts[n] for n in dimensions})
     # each writer thread builds its fact (and sizes its incremental batch)
-    have = targets(FACTS)
-    new = fact_models.facts(stg, dims, have, marks(FACTS)) if have else fact_models.facts(stg, dims)
-    counts.update(warehouse.write_many(new, FACTS, parallel, loader(warehouse, have)))
-    if "customer_subscriptions" in raw:
-        counts.update(warehouse.write_many(build_flat(stg), FLAT, parallel))
+    have = targets(facts)
+    new = fact_models.facts(stg, dims, have, marks(facts)) if have else fact_models.facts(stg, dims)
+    counts.update(load(new, facts, have))
+    if flat and "customer_subscriptions" in raw:
+        counts.update(warehouse.write_many(build_flat(stg), flat, parallel))
     return counts
 
 
-def loader(warehouse, have: dict[str, DataFrame]):
+def loader(warehouse, have, sources: dict[str, dict | None]):
     """write(name, rows) that loads a model's new rows into its table and returns the table's rows.
 
     A model without a table is written whole.  Otherwise the new rows are
-    materialised and counted.  No new rows: nothing is written.  Rows whose
-    keys the table does not hold (always so for new-key models): only they
-    are written.  Else, or if columns changed, the upsert is written as a
-    new version.
+    materialised and counted, and written as a part of their own, beside the
+    keys that they replace (new-key models replace none).  Columns that
+    changed are changed in the log.  No new rows: nothing is written.
     """
     def write(name: str, rows: DataFrame) -> int:
+        key = UNIQUE_KEYS[name]
         if name not in have:
-            return warehouse.write(name, rows)
-        target, key = have[name], UNIQUE_KEYS[name]
+            return warehouse.write(name, rows, key=key, sources=sources[name])
         rows = materialize(rows)
         n = rows.count()
-        if [(f.name, f.dataType) for f in target.schema] == [(f.name, f.dataType) for f in rows.schema]:
-            if n == 0:
-                return warehouse.rows(name)
-            keys = rows.select(key).filter(F.col(key).isNotNull())
-            held = target.select(key).join(F.broadcast(keys) if broadcastable(n) else keys, key, "left_semi")
-            if name in NEW_KEY_MODELS or held.isEmpty():
-                warehouse.append(name, rows)
-                return warehouse.rows(name)
-        return warehouse.write(name, upsert(target, rows, key, new_rows_count=n))
+        if [(f.name, f.dataType) for f in warehouse.live(name).struct] != [(f.name, f.dataType) for f in rows.schema]:
+            warehouse.set_schema(name, rows.schema)
+        if not n:
+            return warehouse.rows(name)
+        if name in NEW_KEY_MODELS:
+            warehouse.append(name, rows, key, sources[name])
+            return warehouse.rows(name)
+        return warehouse.upsert(name, rows, key, n, sources[name])
     return write
