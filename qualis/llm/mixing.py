@@ -26,6 +26,8 @@ WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
 #: The table of sources (four numbers a row) is broadcast up to so many rows.
 BROADCAST_SOURCES = 100_000
+#: Rows of a unit of like rows that are made from one row at a time.
+ROWS_AT_A_TIME = 10_000
 
 
 def with_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: int = MAX_COPIES) -> DataFrame:
@@ -154,8 +156,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     dealt = left.join(right, on, "left").select(
         "l.doc_id", "l.size", "l.source_size", "l.target", "l.source", "l.base", "l.n",
         (F.col("l.whole") + F.coalesce("r.one", F.lit(0))).alias("extra_n"))
-    rank = F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))
-    out = dealt.withColumn("rank", rank).withColumn(
+    # rows of a unit by spans of ROWS_AT_A_TIME, which are dealt over all tasks: no array or task holds a large unit
+    span = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / ROWS_AT_A_TIME)))
+    spans = dealt.withColumn("span", span).repartition("doc_id", "size", "source", "span")
+    first = F.col("span") * ROWS_AT_A_TIME + 1
+    rank = F.explode(F.sequence(first, F.least(F.col("n"), first + (ROWS_AT_A_TIME - 1))))
+    out = spans.withColumn("rank", rank).withColumn(
         "copies", F.when(F.col("size") > 0, F.col("base") + F.when(F.col("rank") <= F.col("extra_n"), 1).otherwise(0)).otherwise(0).cast("long"))
     return out.select("doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"),
                       *(["source"] if carry else []))

@@ -196,14 +196,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     At most ``label_rows`` labels are used, those whose ids hash lowest.
     Labels or ids that are null are left out; a document labelled more than
-    once is bad if any label says so; one listed more than once counts each
-    time.  Without labels the list is empty and keeps everything.
+    once is bad if any label says so; one listed more than once counts once,
+    with the text of the smallest hash, so that the driver never holds more
+    than ``label_rows`` rows.  Without labels the list is empty and keeps
+    everything.
     """
     one = (labels.select(labels[id_col].cast("long").alias("id"), labels[label_col].cast("int").alias("label")).dropna()
            .groupBy("id").agg(F.min("label").alias("label")))
     sample = one.orderBy(F.xxhash64("id"), "id").limit(label_rows)  # 12 bytes a row, at most label_rows: broadcast
     named = docs.select(docs[id_col].cast("long").alias("id"), text_of(docs, text_col).alias("text"))
-    counted = with_counts(named.join(F.broadcast(sample), "id"), "text", ("id", "label"))
+    counted = with_counts(named.join(F.broadcast(sample), "id").withColumn("hash", F.xxhash64("text")), "text", ("id", "label", "hash"))
+    counted = counted.groupBy("id", "label").agg(F.min(F.struct("hash", *COUNTS)).alias("one")).select("id", "label", "one.*")
     rows = counted.select((F.col("label") == 0).alias("bad"), (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(3)) < 2).alias("part"),
                           *[c.alias(n) for n, c in features().items()], "id").toPandas().sort_values("id")
     if rows.empty:
@@ -220,8 +223,12 @@ def judge(docs: DataFrame, rules: DecisionList, text_col: str = "text", carry: t
 
     A null text is empty; it has no words and fails the base rules.  Rows are
     judged one by one, so repeated rows get the same verdict.  An empty table
-    gives no rows.
+    gives no rows.  Columns to carry that bear the name of a result are an
+    error.
     """
+    clash = {c.lower() for c in carry} & {*COUNTS, "base_failed", "rule", "kept", "_counted"}
+    if clash:
+        raise ValueError(f"columns to carry bear names of results: {sorted(clash)}")
     counted = with_counts(docs, text_col, carry)
     return (counted.withColumn("base_failed", base_failed()).withColumn("rule", rules.column())
             .withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull()))

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
 import corpus_pipeline
 
@@ -61,3 +63,30 @@ def test_one_row_of_each_near_duplicate_class_stays(spark):
     got = corpus_pipeline.near_dedup(spark, docs, PATH)
     assert got.columns == docs.columns
     assert sorted((r.doc_id or 0, (r.text or "-")[0]) for r in got.collect()) == [(0, "a"), (5, "b"), (7, "c"), (8, "-")]
+
+
+CLASHING = ("n_words", "kept", "rule", "base_failed", "_gone", "_text_key", "_words", "_share", "_copy", "copies", "n", "label", "id", "size", "row", "class_key", "KEPT_too")
+
+
+def test_columns_of_any_name_pass_through_every_stage(spark):
+    docs = spark.read.parquet(f"{PATH}/documents.parquet").limit(120).drop("n_chars", "lang")
+    for i, name in enumerate(CLASHING):
+        docs = docs.withColumn(name, F.concat(F.lit(f"{i}-"), F.col("doc_id")))
+    docs = docs.unionByName(docs.limit(2)).cache()  # repeated rows
+    n = docs.count()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, PATH).cache()
+        rows = docs.collect()
+        assert docs.columns == ["doc_id", "text", "source", *CLASHING], name
+        assert 0 < len(rows) and (name != "quality rules" or len(rows) < n)
+        assert all(r[c] == f"{i}-{r.doc_id}" for r in rows for i, c in enumerate(CLASHING)), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, PATH).count() >= len(rows)
+
+
+def test_stages_without_ids_or_sources(spark):
+    text = " ".join(f"w{i}" for i in range(70))
+    docs = spark.createDataFrame([(text, "x"), (text, "x"), (f"{text} more words at the end", "y"), (None, "z"), ("", "z")], "text string, kept string")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, PATH)
+        assert docs.columns == ["text", "kept"]
+    assert {r.kept for r in docs.collect()} <= {"x", "y"} and docs.count() >= 1

@@ -2,6 +2,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from qualis.llm import mixing
 from qualis.llm.mixing import mix
@@ -80,3 +81,14 @@ def test_query(spark):
     got = mixing.query(spark, path)
     assert got.columns[:5] == ["doc_id", "size", "source_size", "target", "copies"]
     _check([type("R", (), r.asDict() | {"source": source[r.doc_id]}) for r in got.collect()], docs)
+
+
+def test_very_many_like_rows_are_dealt_over_tasks(spark):
+    n = 300_000
+    docs = spark.range(n).select(F.lit(None).cast("long").alias("doc_id"), F.lit("two words").alias("text"), F.lit("a").alias("source"))
+    docs = docs.unionByName(spark.createDataFrame([(1, "b " * (n // 2), "b"), (2, "", "b")], docs.schema))
+    got = mix(docs)
+    found = got.groupBy(F.spark_partition_id().alias("p"), "doc_id", "size").agg(F.count(F.lit(1)).alias("rows"), F.sum("taken").alias("taken"), F.max("target").alias("target")).collect()
+    like = [r for r in found if r["size"] == 2]
+    assert sum(r.rows for r in like) == n and max(r.rows for r in like) < n // 2
+    assert abs(sum(r.taken for r in like) - like[0].target) <= 2

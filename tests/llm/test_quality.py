@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -62,6 +63,22 @@ def test_nulls_empty_and_clashing_names(spark):
     assert with_counts(docs).select(*[c.alias(k) for k, c in features().items()]).where("words is null or repeat_share is null").count() == 0
 
 
+def test_carried_columns_may_not_bear_names_of_results(spark):
+    docs = spark.createDataFrame([(1, "w " * 60, 7, True)], "doc_id long, text string, n_words int, Kept boolean")
+    for name in ("n_words", "Kept"):
+        with pytest.raises(ValueError):
+            judge(docs, DecisionList(()), carry=("doc_id", name))
+    assert judge(docs, DecisionList(()), carry=("doc_id",)).count() == 1
+
+
+def test_an_id_of_very_many_rows_counts_once_in_the_fit(spark, monkeypatch):
+    docs = spark.range(3000).selectExpr("1 AS doc_id", "concat('a ', id % 7, repeat(' b', 60)) AS text")
+    seen = []
+    monkeypatch.setattr(quality, "learn", lambda x, bad, grow, **o: seen.append(len(bad)) or DecisionList(()))
+    fit(docs.union(docs.selectExpr("2", "text").limit(1)), spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, quality int"))
+    assert seen == [2]
+
+
 def test_query_keeps_good_and_drops_bad_documents(spark):
     path = "/root/testdata/sf0.01"
     rows = {r.doc_id: r for r in quality.query(spark, path).collect()}
