@@ -1,88 +1,59 @@
 """From documents to packed training sequences: filter, dedup, mix and pack.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows its
-predecessor kept.  ``run`` writes every stage's rows as a table in the
+predecessor kept; columns of any other name stay as they are (see
+``qualis.llm.stages``).  ``run`` writes every stage's rows as a table in the
 shared folder, so a lost executor costs that stage's tasks at most.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qualis.llm import linededup, mixing, neardup, packing, quality
-from qualis.llm.common import checkpointed, saved, table
+from qualis.llm import mixing, packing, stages  # noqa: F401
+from qualis.llm.common import saved, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that neither the base rules nor the learned decision list reject."""
-    rules = quality.fit(docs, table(spark, sf_dir, "labels"))
-    judged = quality.judge(docs, rules, carry=tuple(docs.columns))
-    return judged.where("kept").select(docs.columns)
+    """Documents that neither the base rules nor the learned decision list reject.
+
+    Null and empty texts are rejected, repeated rows judged alike, null ids
+    judged like others; an empty table gives no rows; extra columns are kept.
+    """
+    return stages.quality_stage(docs, table(spark, sf_dir, "labels"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that repeat an earlier line; n_chars follows the text, a document left without words goes."""
-    kept = linededup.dedup_lines(docs)
-    kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return kept.where(F.btrim("text", F.lit(" \t\n\x0b\x0c\r")) != "").select(docs.columns)
+    """Documents without the lines that repeat an earlier line; n_chars, where there is one, follows the text.
+
+    Documents left without words go, null texts too; rows that agree in id
+    and text keep the same lines; an empty table gives no rows; extra columns
+    are kept.
+    """
+    return stages.line_stage(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each near-duplicate class: of the smallest id (null only if all are) the text of the smallest hash."""
-    kept = neardup.classes(docs).where("kept").groupBy("class_key", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
-    kept = kept.groupBy("class_key").agg(F.min(F.struct("doc_id", "text_key", "n")).alias("k"))
-    kept = checkpointed(kept.select(F.col("k.doc_id").alias("_id"), F.col("k.text_key").alias("_key"), F.col("k.n").alias("_n")))
-    keyed = docs.withColumn("_text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    on = keyed["doc_id"].eqNullSafe(kept["_id"]) & (keyed["_text_key"] == kept["_key"])
-    alone = keyed.join(kept.where("_n = 1"), on, "left_semi").select(docs.columns)
-    repeated = kept.where("_n > 1")
-    if repeated.isEmpty():
-        return alone
-    # of rows that agree in id and text one stays, also where their other columns differ
-    rows = keyed.join(repeated, on, "left_semi").groupBy("doc_id", "_text_key").agg(F.min(F.struct(*docs.columns)).alias("row"))
-    return alone.unionByName(rows.select("row.*"))
+    """One row of each near-duplicate class: of the smallest id (null only if all are) the text of the smallest hash.
+
+    Of repeated rows one stays, the null and empty texts are one class; an
+    empty table gives no rows; extra columns are kept.
+    """
+    return stages.near_stage(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as the mix takes it."""
-    copies = mixing.mix(docs, carry=True).groupBy("doc_id", "source", "size").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("n"))
-    copies = checkpointed(copies.where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "copies", "n"))
-    sized = docs.withColumn("_words", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(mixing.WORD)).cast("long"))
-    on = sized["doc_id"].eqNullSafe(copies["_id"]) & sized["source"].eqNullSafe(copies["_source"]) & (sized["_words"] == copies["_size"])
-    taken = sized.join(copies.where("n = 1"), on).select(*docs.columns, F.col("copies").alias("_share"))
-    like = copies.where("n > 1")
-    n_like = like.count()
-    if n_like:
-        # of n rows that agree in id, source and size, copies mod n take one copy more than the others
-        rows = _numbered(sized.join(F.broadcast(like) if n_like <= mixing.BROADCAST_SOURCES else like, on), ["doc_id", "source", "_words"])
-        share = F.floor(F.col("copies") / F.col("n")) + F.when(F.col("_number") <= F.col("copies") % F.col("n"), 1).otherwise(0)
-        taken = taken.unionByName(rows.select(*docs.columns, share.cast("long").alias("_share")))
-    return taken.where("_share > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_share")))).select(docs.columns)
-
-
-def _numbered(rows: DataFrame, like: list[str]) -> DataFrame:
-    """Rows numbered from 1 (_number) within those that agree in the columns ``like``, in the order of their hashes.
-
-    Hashes are numbered in 64 ranges, equal rows in 64 parts, each after what
-    stands before, so that a group of very many rows is not one task's.
+    """Each document as many times as the mix takes it.
+
+    Documents without words go; the null source is a source; like rows share
+    their copies evenly; an empty table gives no rows; extra columns are kept.
     """
-    group = F.xxhash64(*[c for x in like for c in (F.col(x), F.col(x).isNull())])
-    salt = F.pmod(F.monotonically_increasing_id(), F.lit(64))
-    rows = saved(rows.withColumns({"_group": group, "_hash": F.xxhash64(*rows.columns), "_salt": salt}), "like")
-    part = rows.groupBy("_group", F.shiftright("_hash", 58).alias("_range"), "_hash", "_salt").agg(F.count(F.lit(1)).alias("_rows"))
-    up_to_here = (Window.unboundedPreceding, -1)
-    total = part.groupBy("_group", "_range").agg(F.sum("_rows").alias("_rows"))
-    before = total.select("_group", "_range", F.coalesce(F.sum("_rows").over(Window.partitionBy("_group").orderBy("_range").rowsBetween(*up_to_here)), F.lit(0)).alias("_ranges"))
-    inside = F.sum("_rows").over(Window.partitionBy("_group", "_range").orderBy("_hash", "_salt").rowsBetween(*up_to_here))
-    offsets = part.withColumn("_inside", F.coalesce(inside, F.lit(0))).join(before, ["_group", "_range"])
-    offsets = checkpointed(offsets.select("_group", "_hash", "_salt", (F.col("_ranges") + F.col("_inside")).alias("_before")))
-    own = F.row_number().over(Window.partitionBy("_group", "_hash", "_salt").orderBy("_hash"))
-    return rows.withColumn("_own", own).join(offsets, ["_group", "_hash", "_salt"]).withColumn("_number", F.col("_before") + F.col("_own"))
+    return stages.mixing_stage(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces in sequences of 2048."""
+    """Token pieces in sequences of 2048; null texts are id 1 alone, repeated rows are packed each, an empty table gives no rows."""
     import public_tokenizers
 
     pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
