@@ -16,12 +16,14 @@ from qualis import schemas
 from qualis.operators.merge import merge_subscriptions
 from qualis.plans import checks, dims, metrics, relations, warehouse
 from qualis.plans.ingest import SUBSCRIPTIONS, ingest_csv_tables, load_subscriptions
+from qualis.plans.running import Running
 from qualis.plans.staging import stage
 from qualis.session import materialize, scratch_dir
 from qualis.sources.csv_source import LANDED_FILES, read_csv
 from qualis.sources.fixtures import first_batch, merge_source, merge_target, raw_table, raw_tables
 from qualis.sources.json_source import read_json_documents, write_documents
 from qualis.sources.layers import Warehouse
+from qualis.sources.split import read_csv_split, read_json_split
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -204,7 +206,75 @@ def q_subs_merge_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.read(SUBSCRIPTIONS, schemas.struct_type(SUBSCRIPTIONS))
 
 
+def q_scan_csv_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "csv")
+    (_raw(spark, sf_dir, "conversations").write.mode("overwrite")
+     .option("header", True).option("escape", '"').csv(path))
+    return read_csv_split(spark, path, "conversations")
+
+
+def q_json_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "json")
+    write_documents(_raw(spark, sf_dir, "customer_subscriptions"), path, max_elements=100_000, legacy=True)
+    return read_json_split(spark, path, legacy=True)
+
+
+def q_json_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose names hold apostrophes and the words None and True, which the plain repair cannot read."""
+    path = scratch_dir(spark, "json")
+    subs = _raw(spark, sf_dir, "customer_subscriptions").withColumn(
+        "customer_first_name", F.concat(F.lit("D'"), "customer_first_name", F.lit(" None's True")))
+    write_documents(subs, path, max_elements=500, legacy="tokens")
+    return read_json_documents(spark, path, legacy="tokens")
+
+
+def q_sync_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table whose columns change between loads: one added, one dropped, one of another type."""
+    ratings = _raw(spark, sf_dir, "manual_rating")
+    even = F.col("category_id") % 2 == 0
+    dw = Warehouse(spark, scratch_dir(spark, "warehouse"))
+    dw.write("ratings", ratings.filter(even).select("review_id", "category_id", F.col("rating_max").cast("string").alias("rating_max"), "cause"))
+    later = ratings.filter(~even).select("review_id", "category_id", "rating_max", "weight")
+    dw.set_schema("ratings", later.schema)
+    dw.append("ratings", later)
+    return dw.read("ratings")
+
+
+def _running(spark: SparkSession, sf_dir: str, name: str, group: str, sums: tuple[str, ...] = ()) -> Running:
+    """A running aggregate after a full load, an upsert of changed rows and an append."""
+    fact = warehouse.build(raw_tables(spark, sf_dir))[name]
+    key = warehouse.UNIQUE_KEYS[name]
+    third = F.pmod(F.xxhash64(key), F.lit(3))
+    fact = materialize(fact.filter(F.col(key).isNotNull()).dropDuplicates([key]))
+    dw = Warehouse(spark, scratch_dir(spark, "warehouse"))
+    state = Running(dw, name, group, sums)
+    # the first load holds other values for a third of the rows, which the second replaces
+    stale = fact.filter(third == 1).select(*[F.lit(None).cast(fact.schema[c].dataType).alias(c) if c in sums else F.col(c) for c in fact.columns])
+    dw.write(name, fact.filter(third == 0).unionByName(stale), key=key)
+    state.refresh()
+    fresh = fact.filter(third == 1)
+    dw.upsert(name, fresh, key, fresh.count())
+    state.refresh()
+    dw.append(name, fact.filter(third == 2), key)
+    state.refresh()
+    return state
+
+
+def q_running_avg_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _running(spark, sf_dir, "fact_autoqa_ratings", "external_ticket_id", ("score",)).averages("score", "avg_score")
+
+
+def q_running_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _running(spark, sf_dir, "fact_manual_reviews", "conversation_external_id").repeated()
+
+
 QUERIES.update({
+    "scan_csv_split": q_scan_csv_split,
+    "json_split": q_json_split,
+    "json_tokens": q_json_tokens,
+    "sync_columns": q_sync_columns,
+    "running_avg_score": q_running_avg_score,
+    "running_unique": q_running_unique,
     "scan_csv": q_scan_csv,
     "load_counts": q_load_counts,
     "json_flatten": q_json_flatten,

@@ -444,3 +444,18 @@ def _load_counts_sql() -> str:
 
 
 ORACLES["load_counts"] = _load_counts_sql()
+ORACLES["scan_csv_split"] = ORACLES["scan_csv"]
+ORACLES["json_split"] = ORACLES["json_flatten"]
+ORACLES["json_tokens"] = duckdb_with("customer_subscriptions") + """
+SELECT * REPLACE ('D''' || customer_first_name || ' None''s True' AS customer_first_name) FROM q_customer_subscriptions"""
+ORACLES["sync_columns"] = duckdb_with("manual_rating") + """
+SELECT review_id, category_id, rating_max, CASE WHEN category_id % 2 <> 0 THEN weight END AS weight
+FROM q_manual_rating WHERE category_id IS NOT NULL"""
+ORACLES["running_avg_score"] = duckdb_with("autoqa_ratings") + """
+SELECT external_ticket_id, round(AVG(score), 9) AS avg_score
+FROM (SELECT DISTINCT autoqa_rating_id, external_ticket_id, score FROM q_autoqa_ratings WHERE autoqa_rating_id IS NOT NULL) d
+GROUP BY external_ticket_id"""
+ORACLES["running_unique"] = duckdb_with("manual_reviews") + """
+SELECT COUNT(*) AS failures FROM (
+  SELECT conversation_external_id FROM (SELECT DISTINCT review_id, conversation_external_id FROM q_manual_reviews WHERE review_id IS NOT NULL) d
+  WHERE conversation_external_id IS NOT NULL GROUP BY conversation_external_id HAVING COUNT(*) > 1) r"""

@@ -44,22 +44,30 @@ LANDED_FILES = {
 _CORRUPT = "_corrupt_record"
 
 
+def text_schema(table: str) -> T.StructType:
+    """A raw table's columns as text, and the place of a malformed row."""
+    return T.StructType([T.StructField(c, T.StringType()) for c in [*schemas.columns(table), _CORRUPT]])
+
+
 def read_csv(spark: SparkSession, path: str | list[str], table: str, multiline: bool = True) -> DataFrame:
     """Read one raw table's CSV file(s) with its declared schema.
 
     ``multiline`` allows line breaks inside quoted cells (the exports have
-    them); such files are read one task per file, so land many files of
-    moderate size rather than one huge one.
+    them); such files are read one task per file.  ``split.read_csv_split``
+    reads a large one with a task per block.
     """
-    names = schemas.columns(table)
-    text_schema = T.StructType([T.StructField(c, T.StringType()) for c in names]
-                               + [T.StructField(_CORRUPT, T.StringType())])
-    raw = (spark.read.schema(text_schema)
+    raw = (spark.read.schema(text_schema(table))
            .option("header", True).option("enforceSchema", False).option("escape", '"').option("quote", '"')
            .option("multiLine", multiline).option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", _CORRUPT)
            .option("nullValue", None).option("emptyValue", "")
            .csv(path))
+    return typed_rows(raw, table)
+
+
+def typed_rows(raw: DataFrame, table: str) -> DataFrame:
+    """Rows of text cells (``text_schema``) as the raw table's; long rows and cells of another type are errors."""
+    names = schemas.columns(table)
     # A malformed line is either short (padded: allowed) or long (an error).
     wide = T.StructType([T.StructField(f"f{i}", T.StringType()) for i in range(len(names) + 1)])
     extra = F.from_csv(F.col(_CORRUPT), wide.simpleString(),

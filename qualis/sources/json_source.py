@@ -21,6 +21,8 @@ hot key, so one large document does not become one large downstream task.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,6 +47,43 @@ def repair_legacy_text(c: Column) -> Column:
     return c
 
 
+# A string in either quotes with backslash escapes, or what lies between strings.
+_TOKENS = r"""(?s)'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^'"]+"""
+
+
+def literal_to_json(c: Column) -> Column:
+    """Text of a Python literal (dicts, lists, strings, numbers, None, True, False) as JSON, token by token.
+
+    Only what stands outside strings is translated, so apostrophes and the
+    words None, True and False inside values stay.  Strings take JSON's
+    quotes and escapes.  A string that holds an array (``'[...]'``) becomes
+    the array, as in legacy exports.  Valid JSON passes unchanged but for such
+    strings.
+    """
+    return _tokens_to_json(c, lambda inner: _tokens_to_json(inner, None))
+
+
+def _tokens_to_json(c: Column, array: Callable[[Column], Column] | None) -> Column:
+    def string(token: Column) -> Column:
+        inner = F.substring(token, F.lit(2), F.length(token) - 2)
+        # JSON escapes double quotes, not apostrophes, and writes \xHH as \u00HH; a backslash belongs to the character after it
+        own = F.when(token.startswith("'"), F.regexp_replace(inner, r'(?<!\\)((?:\\\\)*)"', r'$1\\"')).otherwise(inner)
+        own = F.regexp_replace(own, r"(?s)(\\[^'])|\\(')", "$1$2")
+        own = F.regexp_replace(own, r"(?<!\\)((?:\\\\)*)\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
+        json_string = F.concat(F.lit('"'), own, F.lit('"'))
+        if array is None:
+            return json_string
+        return F.when(inner.rlike(r"(?s)^\[.*\]$"), array(inner)).otherwise(json_string)
+
+    def translated(token: Column) -> Column:
+        for word, json_word in (("None", "null"), ("True", "true"), ("False", "false")):
+            token = F.regexp_replace(token, rf"\b{word}\b", json_word)
+        return token
+
+    tokens = F.regexp_extract_all(c, F.lit(_TOKENS), F.lit(0))
+    return F.array_join(F.transform(tokens, lambda t: F.when(t.startswith("'") | t.startswith('"'), string(t)).otherwise(translated(t))), "")
+
+
 def _path_of(flat: str) -> tuple[str, ...]:
     for prefix, path in NESTING:
         if flat.startswith(prefix):
@@ -105,9 +144,15 @@ def conform(flat: DataFrame) -> DataFrame:
     return flat.select(*cols)
 
 
-def parse_documents(docs: DataFrame, legacy: bool = True) -> DataFrame:
-    """One row per list element from a DataFrame of whole documents (column ``value``)."""
-    text = repair_legacy_text(F.col("value")) if legacy else F.col("value")
+def parse_documents(docs: DataFrame, legacy: bool | str = True) -> DataFrame:
+    """One row per list element from a DataFrame of whole documents (column ``value``).
+
+    ``legacy``: True repairs by plain replacement, "tokens" by
+    ``literal_to_json``, False takes the text as JSON.
+    """
+    text = F.col("value")
+    if legacy:
+        text = literal_to_json(text) if legacy == "tokens" else repair_legacy_text(text)
     parsed = docs.select(F.from_json(text, document_schema(), {"mode": "FAILFAST"}).alias("doc"))
     # a document that is empty or has no list is an error, not an export of no rows
     items = F.when(F.col("doc.list").isNull(), F.raise_error(F.lit("document without a list"))).otherwise(F.col("doc.list"))
@@ -115,7 +160,7 @@ def parse_documents(docs: DataFrame, legacy: bool = True) -> DataFrame:
     return conform(flatten(elements)).hint("rebalance", "subscription_id")
 
 
-def read_json_documents(spark: SparkSession, paths: str | list[str], legacy: bool = True) -> DataFrame:
+def read_json_documents(spark: SparkSession, paths: str | list[str], legacy: bool | str = True) -> DataFrame:
     """Whole-document JSON files (one document per file), legacy text repaired first."""
     docs = spark.read.option("wholetext", True).text(paths)
     return parse_documents(docs, legacy)
@@ -145,7 +190,7 @@ def to_elements(raw_subscriptions: DataFrame) -> DataFrame:
 
 
 def write_documents(raw_subscriptions: DataFrame, path: str, max_elements: int = 50_000,
-                    legacy: bool = True) -> int:
+                    legacy: bool | str = True) -> int:
     """Write the export as whole-document files of at most ~``max_elements`` elements.
 
     A document is one JSON value, so it is built in one task; the number
@@ -159,8 +204,12 @@ def write_documents(raw_subscriptions: DataFrame, path: str, max_elements: int =
     el = to_elements(raw_subscriptions).withColumn(
         "doc", F.pmod(F.xxhash64(F.col("subscription"), F.col("customer")), F.lit(n_docs)))
     docs = el.groupBy("doc").agg(F.collect_list(F.struct("subscription", "customer")).alias("list"))
-    text = F.to_json(F.struct("list"))
-    if legacy:
+    text = F.to_json(F.struct("list"), {"ignoreNullFields": str(legacy != "tokens").lower()})
+    if legacy == "tokens":
+        # a literal that keeps double quotes, as the language writes strings with apostrophes
+        for word, own in (("null", "None"), ("true", "True"), ("false", "False")):
+            text = F.replace(text, F.lit(f":{word}"), F.lit(f": {own}"))
+    elif legacy:
         text = F.replace(F.replace(F.replace(text, F.lit('"'), F.lit("'")), F.lit("true"), F.lit("True")),
                          F.lit("false"), F.lit("False"))
     (docs.select("doc", text.alias("value")).repartition("doc")

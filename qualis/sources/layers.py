@@ -97,6 +97,8 @@ class Version:
     fingerprint: str = ""
     #: What the rows were computed from: table -> fingerprint.
     sources: dict | None = None
+    #: The version since which parts and deletes were only added.
+    base: int = 0
 
     @classmethod
     def parse(cls, entry: dict) -> "Version":
@@ -325,7 +327,7 @@ class Warehouse:
         """
         parts, rows, mark, total = self._write_part(table, df, partition_by, key)
         if rows or not (self.layer == "raw" if keep_on_empty is None else keep_on_empty):
-            self._publish(table, Version(parts[0].seq, rows, mark, df.schema.json(), tuple(parts), (), total, sources))
+            self._publish(table, Version(parts[0].seq, rows, mark, df.schema.json(), tuple(parts), (), total, sources, parts[0].seq))
         return rows
 
     def append(self, table: str, df: DataFrame, key: str | None = None, sources: dict | None = None) -> int:
@@ -413,7 +415,7 @@ class Warehouse:
         parts, rows, _, total = self._write_part(table, self.read(table), column, None if column else key)
         if rows != live.rows:
             raise RuntimeError(f"{self.layer}.{table}: {live.rows} live rows but {rows} after compaction")
-        self._publish(table, replace(live, version=parts[0].seq, rows=rows, parts=tuple(parts), deletes=(), fingerprint=total))
+        self._publish(table, replace(live, version=parts[0].seq, rows=rows, parts=tuple(parts), deletes=(), fingerprint=total, base=parts[0].seq))
         return rows
 
     def replace_values(self, table: str, df: DataFrame, column: str, values: set[str | None]) -> int:
@@ -429,7 +431,7 @@ class Warehouse:
         kept = tuple(p for p in live.parts if p.rows and p.value not in values)
         new = tuple(p for p in parts if p.rows)
         self._publish(table, replace(live, version=(self.version(table) or 0) + 1, rows=sum(p.rows for p in kept) + rows,
-                                     mark=max(mark, live.mark), parts=kept + new, fingerprint=""))
+                                     mark=max(mark, live.mark), parts=kept + new, fingerprint="", base=live.version + 1))
         return self.rows(table)
 
     def values(self, table: str, column: str, values: set[str | None], schema: StructType) -> DataFrame:
@@ -442,6 +444,27 @@ class Warehouse:
         live = self.live(table)
         self._publish(table, replace(live, version=live.version + 1, schema=schema.json(), fingerprint=""))
 
+    def changes(self, table: str, since: int) -> tuple[DataFrame, DataFrame] | None:
+        """Rows that came and rows that went after version ``since``; None if the table was written whole since.
+
+        Only the parts written since are read whole, and of the older ones
+        the rows of replaced keys.
+        """
+        v = self.live(table)
+        if since < v.base:
+            return None
+        came = self._rows(table, v, [p for p in v.parts if p.seq > since], v.struct)
+        before = replace(v, deletes=tuple(d for d in v.deletes if d.seq <= since))
+        later = replace(v, deletes=tuple(d for d in v.deletes if d.seq > since))
+        old = [p for p in v.parts if p.seq <= since]
+        if not later.deletes or not old:
+            return came, self.spark.createDataFrame([], v.struct)
+        key = later.deletes[0].key
+        gone = self.spark.read.schema(StructType([v.struct[key]])).parquet(*[f"{self._dir(table)}/{d.folder}" for d in later.deletes]).distinct()
+        small = broadcastable(sum(d.rows for d in later.deletes))
+        went = self._rows(table, before, old, v.struct).join(F.broadcast(gone) if small else gone, key, "left_semi")
+        return came, went
+
     # -- upkeep -----------------------------------------------------------
 
     def sweep(self, table: str, keep_versions: int = 2, older_than_s: float = 86_400.0) -> list[str]:

@@ -21,3 +21,12 @@ def test_entry_schema_is_stable(spark):
     df = entry.entry(spark)
     assert [f.name for f in df.schema.fields] == ["review_id", "final_score_percentage"]
     assert [f.dataType.simpleString() for f in df.schema.fields] == ["bigint", "double"]
+
+
+def test_test_modules_have_names_of_their_own():
+    # two modules of one name keep each other from being collected
+    import collections
+    import pathlib
+
+    names = collections.Counter(p.name for p in pathlib.Path(__file__).parent.rglob("test_*.py"))
+    assert not [n for n, k in names.items() if k > 1]

@@ -14,6 +14,7 @@ from qualis.operators.incremental import StoredKeys, only_new_keys, sync_columns
 from qualis.operators.merge import merge_subscriptions
 from qualis.plans import dims, warehouse
 from qualis.plans.ingest import SIGNUP_DAY, SUBSCRIPTIONS, load_subscriptions
+from qualis.plans.running import Running
 from qualis.plans.staging import staging
 from qualis.sources import layers
 from qualis.sources.fixtures import SOURCES, first_batch, merge_source, merge_target, raw_table, raw_tables
@@ -242,6 +243,35 @@ def test_sweep_keeps_what_kept_versions_name(spark, tmp_dir):
     assert dw.sweep("t", keep_versions=2, older_than_s=-1) == []
 
 
+# -- running aggregates -----------------------------------------------------
+
+def test_running_aggregates_equal_a_recomputation_and_read_new_parts_only(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(layers, "COMPACT_SHARE", 9.9)
+    schema = "k bigint, g string, x double"
+    dw = Warehouse(spark, tmp_dir, "dw")
+    dw.write("t", spark.createDataFrame([(i, f"g{i % 5}" if i % 7 else None, i / 10) for i in range(40)], schema), key="k")
+    state = Running(dw, "t", "g", ("x",))
+
+    def recomputed():
+        return dw.read("t").groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("x").cast("decimal(38,12)")).cast("decimal(38,12)").alias("sum_x"), F.count("x").alias("n_x"))
+
+    assert state.refresh() == 6 and state.refresh() == 0 and _same(state.groups(), recomputed())
+    first = dw.live("t").parts[0].folder
+    for batch in ([(3, "g9", 7.5), (100, "g1", None)], [(3, None, 0.1), (4, "g4", None)], [(101, "g9", 2.0), (None, "g9", 3.0)]):
+        dw.upsert("t", spark.createDataFrame(batch, schema), "k", len(batch))
+        came, _ = dw.changes("t", dw.live(state.name).sources["t"])
+        assert not any(first in f for f in came.inputFiles())
+        assert state.refresh() <= 4
+        assert _same(state.groups(), recomputed())
+    assert {r.g: r.a for r in state.averages("x", "a").collect()} == {
+        r.g: None if r.a is None else round(r.a, 9) for r in dw.read("t").groupBy("g").agg(F.avg("x").alias("a")).collect()}
+    dw.compact("t", "k")  # written whole: the state is computed anew
+    assert dw.changes("t", dw.live(state.name).sources["t"]) is None
+    state.refresh()
+    assert _same(state.groups(), recomputed())
+    assert state.repeated().first()[0] == recomputed().where("g IS NOT NULL AND n > 1").count()
+
+
 # -- builds -----------------------------------------------------------------
 
 def test_dimensions_read_each_table_once(spark, tmp_dir):
