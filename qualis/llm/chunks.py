@@ -30,8 +30,9 @@ WINDOW = 16
 MIN_WORDS = 15
 #: Bytes beside a span that are compared first; spans that agree on all of them go on with so many times more.
 REACH, MORE = 64, 8
-#: Tables of a row a document are broadcast up to so many rows, else shuffled.
-BROADCAST_ROWS = 500_000
+#: Tables of a row a document are broadcast up to so many bytes, counted over their rows and arrays, else shuffled.
+BROADCAST_BYTES = 96_000_000
+ROW_BYTES, ELEMENT_BYTES = 64, 32
 
 _GEAR = np.random.Generator(np.random.PCG64(2024)).integers(0, 2**32, 256, dtype=np.uint32)
 
@@ -90,9 +91,11 @@ def _emit_chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["d1", "d2", "row", "at"])
 
 
-def _known(df: DataFrame) -> DataFrame:
-    """A checkpointed table, marked for broadcast if it is short."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def _known(df: DataFrame, array: str | None = None) -> DataFrame:
+    """A checkpointed table, marked for broadcast if its rows and the elements of its ``array`` are few bytes."""
+    elements = F.lit(0) if array is None else F.coalesce(F.sum(F.size(array)), F.lit(0))
+    rows, inside = df.agg(F.count(F.lit(1)), elements).first()
+    return F.broadcast(df) if rows * ROW_BYTES + inside * ELEMENT_BYTES <= BROADCAST_BYTES else df
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -140,7 +143,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .select("row", "from", "to", F.col("of.of").alias("of_doc_id"))
         .groupBy("row").agg(F.collect_list(F.struct("from", "to", "of_doc_id")).alias("spans")))
     # back to the text, to give places in characters and to count words
-    texts = rows.join(_known(checkpointed(grown)), "row").select("doc_id", "row", "text", "spans")
+    texts = rows.join(_known(checkpointed(grown), "spans"), "row").select("doc_id", "row", "text", "spans")
     placed = texts.mapInArrow(_place_spans, "doc_id long, row long, start long, end long, n_words long, of_doc_id long")
     return placed.where(F.col("n_words") >= min_words).distinct()
 
@@ -157,7 +160,7 @@ def _grown(rows: DataFrame, ends: DataFrame) -> DataFrame:
     while True:
         asked = ends.select("row", "side", "place").union(ends.select("src", "side", "src_place")).distinct()
         asked = asked.groupBy("row").agg(F.collect_list(F.struct("side", "place")).alias("places"))
-        texts = rows.select("row", "text").join(_known(checkpointed(asked)), "row")
+        texts = rows.select("row", "text").join(_known(checkpointed(asked), "places"), "row")
         # rows that agree in id and text answer alike
         beside = checkpointed(texts.mapInArrow(_emit_beside(reach), "row long, side long, place long, beside binary").dropDuplicates(["row", "side", "place"]))
         other = beside.select(F.col("row").alias("src"), "side", F.col("place").alias("src_place"), F.col("beside").alias("other"))

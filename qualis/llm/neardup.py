@@ -293,5 +293,5 @@ def _emit_prefixes(common: dict[str, np.ndarray], threshold: float):
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    """op7: near-duplicate classes of all documents."""
-    return classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "kept")
+    """op7: near-duplicate classes of all documents; class_key tells classes apart that share their smallest id (or have none)."""
+    return classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_key", "class_size", "kept")

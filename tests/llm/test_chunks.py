@@ -1,9 +1,12 @@
 import random
+import re
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from qualis.llm import chunks
 from qualis.llm.chunks import LEAST, MASK_BITS, MIN_WORDS, MOST, WINDOW, _GEAR, chunk_ends, gear_hashes, repeated_spans
 
 
@@ -91,3 +94,39 @@ def test_spans_reach_the_ends_of_the_passage(spark):
 def _common_chunk(a, b):
     cut = lambda d: {d[x:y] for x, y in zip([0, *chunk_ends(d)], chunk_ends(d))}
     return cut(a.encode()) & cut(b.encode())
+
+
+def _repeated_words(docs, window):
+    """Brute force: per document (in order of ids) the words that lie in a run of ``window`` words which occurred before."""
+    seen, out = {}, {}
+    for doc_id, text in sorted(docs):
+        words = [(m.start(), m.end(), m.group()) for m in re.finditer(r"\S+", text)]
+        out[doc_id] = set()
+        for i in range(len(words) - window + 1):
+            if len({w for _, _, w in words[i:i + window]}) < 3:
+                continue  # one word again and again repeats itself at every place: chunks of greatest size need not meet
+            # the same characters, white space included
+            run = text[words[i][0]:words[i + window - 1][1]]
+            if seen.setdefault(run, (doc_id, i)) != (doc_id, i):
+                out[doc_id].update((b, e) for b, e, _ in words[i:i + window])
+    return out
+
+
+@pytest.mark.parametrize("bound", [None, 0])
+def test_query_finds_the_repeats_of_brute_force(spark, monkeypatch, bound):
+    if bound is not None:
+        monkeypatch.setattr(chunks, "BROADCAST_BYTES", bound)
+    path = "/root/testdata/sf0.001"
+    docs = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{path}/documents.parquet").collect()]
+    texts = dict(docs)
+    spans = {}
+    for r in chunks.query(spark, path).collect():
+        spans.setdefault(r.doc_id, []).append((r.start, r.end))
+        # every span consists of repeats (of several places, where they touch): most of its pieces occur elsewhere too
+        pieces = [texts[r.doc_id][k:k + 20] for k in range(r.start, r.end - 20, 20)]
+        again = [p for p in pieces if texts[r.doc_id].count(p) > 1 or any(p in t for d, t in docs if d != r.doc_id)]
+        assert len(again) >= 0.6 * len(pieces), (r, texts[r.doc_id][r.start:r.end])
+    want = _repeated_words(docs, 51)
+    total = sum(map(len, want.values()))
+    found = sum(any(b <= s and e <= t for b, t in spans.get(d, ())) for d, words in want.items() for s, e in words)
+    assert total > 500 and found / total >= 0.9, found / total
