@@ -37,7 +37,7 @@ from qualis.llm.common import blocks, id_and_text, table
 
 SPACE = "▁"
 #: Units and pairs that a worker remembers in each of two generations (bounds memory, not results).
-CACHE_UNITS = 250_000
+CACHE_UNITS = 400_000
 CACHE_PAIRS = 200_000
 #: Longer units are encoded each time they occur.
 CACHED_CHARS = 64
@@ -285,9 +285,11 @@ def piece_model(path: str) -> PieceModel:
     return _LOADED[path]
 
 
-def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", bos: bool = True, eos: bool = True) -> DataFrame:
+def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", bos: bool = True, eos: bool = True, back: bool = False) -> DataFrame:
     """Per row of ``docs``: doc_id and ids (little-endian unsigned 32-bit, packed), exactly the library's.
 
+    With ``back`` also text, what the ids are decoded to: as ``decode`` gives
+    it, in the same task.
     A null or empty text has the begin and end ids only; a null id stays
     null; repeated rows are encoded each; an empty table gives no rows; other
     columns are not read.  Texts are encoded whole, whatever their length.
@@ -298,9 +300,12 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
         tail = np.array([model.end] if eos else [], "<u4").tobytes()
         for block in blocks(batches):
             ids = [head + model.packed(t) + tail for t in block["text"]]
-            yield pa.RecordBatch.from_arrays([pa.array(block["doc_id"], pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            columns = {"doc_id": pa.array(block["doc_id"], pa.int64()), "ids": pa.array(ids, pa.binary())}
+            if back:
+                columns["text"] = pa.array([model.decoded(i) for i in ids], pa.string())
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids binary")
+    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids binary" + (", text string" if back else ""))
 
 
 def decode(encoded: DataFrame, model_path: str) -> DataFrame:
@@ -321,6 +326,6 @@ def query(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("piece_bpe_32k.model")
-    back = decode(encode(table(spark, sf_dir, "documents"), path), path)
-    return back.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+    found = encode(table(spark, sf_dir, "documents"), path, back=True)
+    return found.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
