@@ -48,7 +48,7 @@ def dim_team_sql(r=None) -> str:
     SELECT team_id, CAST(updated_at AS TIMESTAMP) AS updated_at FROM {_r(r, 'autoqa_reviews')} WHERE team_id IS NOT NULL
     UNION ALL SELECT team_id, CAST(updated_at AS TIMESTAMP) FROM {_r(r, 'manual_reviews')} WHERE team_id IS NOT NULL
     UNION ALL SELECT team_id, TIMESTAMP '1970-01-01' FROM {_r(r, 'manual_rating')} WHERE team_id IS NOT NULL) u
-  GROUP BY team_id HAVING team_id IS NOT NULL) g"""
+  GROUP BY team_id) g"""
 
 
 def dim_payment_sql(r=None) -> str:
@@ -59,7 +59,7 @@ def dim_payment_sql(r=None) -> str:
     UNION ALL SELECT payment_id, CAST(updated_at AS TIMESTAMP) FROM {_r(r, 'conversations')} WHERE payment_id IS NOT NULL
     UNION ALL SELECT payment_id, TIMESTAMP '1970-01-01' FROM {_r(r, 'manual_rating')} WHERE payment_id IS NOT NULL
     UNION ALL SELECT payment_id, TIMESTAMP '1970-01-01' FROM {_r(r, 'autoqa_ratings')} WHERE payment_id IS NOT NULL) u
-  GROUP BY payment_id HAVING payment_id IS NOT NULL) g"""
+  GROUP BY payment_id) g"""
 
 
 def dim_user_sql(r=None) -> str:
@@ -85,7 +85,7 @@ def dim_rating_category_sql(r=None, target: str | None = None) -> str:
     SELECT rating_category_id AS category_id, rating_category_name AS category_name
       FROM {_r(r, 'autoqa_ratings')} WHERE rating_category_id IS NOT NULL
     UNION ALL SELECT category_id, category_name FROM {_r(r, 'manual_rating')} WHERE category_id IS NOT NULL) u
-  GROUP BY category_id HAVING category_id IS NOT NULL) g {incr}"""
+  GROUP BY category_id) g {incr}"""
 
 
 def _d(d: dict | None, name: str) -> str:
