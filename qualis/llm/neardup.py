@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from qualis.llm.bagminhash import mixed, signatures, weighted_jaccard
-from qualis.llm.common import blocks, checkpointed, few, id_and_text, saved, table
+from qualis.llm.common import blocks, checkpointed, few, id_and_text, saved, slices, table
 from qualis.llm.components import components
 
 SHINGLE = 5
@@ -46,8 +46,6 @@ BROADCAST_ROWS = 1_000_000
 PAIRS_A_PARTITION = 5_000
 #: Leaders per band in the rounds before finer buckets are made.
 BAND_LEADERS = (1,)
-#: One text in SAMPLE is read for frequent shingles, of which at most COMMON are kept.
-SAMPLE, COMMON = 8, 500_000
 
 
 def shingles(text: str) -> list[tuple[bytes, ...]]:
@@ -181,8 +179,7 @@ def _roots(rows: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
             return found.roots
     # both uses of the unsettled nodes' texts read the same small table
     unsettled = checkpointed(texts.join(found.mixed(members).select("node").distinct(), "node", "left_semi"))
-    common = frequent_shingles(unsettled)
-    keys = checkpointed(unsettled.mapInArrow(_emit_prefixes(common, threshold), "band long, node long, n long, pos long"))
+    keys = checkpointed(ranked_shingles(unsettled).mapInArrow(_emit_prefixes(threshold), "band long, node long, n long, pos long"))
     shared = keys.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.min("n").alias("least")).where("low < high").select("band", "least")
     # the shortest member that a node can be linked to bounds how far its shared shingle may stand
     other = F.greatest(F.col("least"), F.ceil(F.lit(threshold - 1e-9) * F.col("n")))
@@ -244,22 +241,24 @@ def _leaders(placed: DataFrame, n: int, rows: int) -> DataFrame:
     return checkpointed(placed.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n).drop("rank"), rows)
 
 
-def frequent_shingles(texts: DataFrame) -> dict[str, np.ndarray]:
-    """The most frequent shingles of a sample of texts, sorted by hash, with their counts.
+def ranked_shingles(texts: DataFrame) -> DataFrame:
+    """(node, shingles): each text's shingles, how often it has each, and how many of the texts have it (1 is left as null).
 
-    They only set the order of shingles, so the sample and the bound on the
-    list (COMMON) decide how fast the finer buckets are, not what they find.
+    Counts cover all texts.  They are summed before they are shuffled and
+    joined to the shingle rows, one row a shingle, so a shingle that most
+    texts share only makes a partition that AQE splits; a list is as long as
+    its text.
     """
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
         for block in blocks(batches, max_chars=1_000_000):
-            yield pa.RecordBatch.from_arrays([pa.array(_shingle_hashes(block["text"], words)[1].view(np.int64))], names=["shingle"])
+            doc, shingle, count = _shingle_hashes(block["text"], words)
+            node = np.array(block["node"], np.int64)[doc]
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(shingle.view(np.int64)), pa.array(count, pa.int64())], names=["node", "shingle", "count"])
 
-    counts = texts.where(F.pmod("node", F.lit(SAMPLE)) == 0).mapInArrow(emit, "shingle long").groupBy("shingle").count().where("count > 1")
-    top = counts.orderBy(F.desc("count"), "shingle").limit(COMMON).toPandas()
-    hashes = top["shingle"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    return {"shingle": hashes[order], "count": top["count"].to_numpy(np.int64)[order]}
+    rows = checkpointed(texts.mapInArrow(emit, "node long, shingle long, count long"))
+    shared = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
+    return rows.join(shared, "shingle", "left").groupBy("node").agg(F.collect_list(F.struct("shingle", "count", "texts")).alias("shingles"))
 
 
 def prefix(shingle: np.ndarray, count: np.ndarray, common: dict[str, np.ndarray], threshold: float) -> np.ndarray:
@@ -275,18 +274,23 @@ def prefix(shingle: np.ndarray, count: np.ndarray, common: dict[str, np.ndarray]
     return element[order[:n - int(np.ceil(threshold * n - 1e-9)) + 1]]
 
 
-def _emit_prefixes(common: dict[str, np.ndarray], threshold: float):
-    """(node, text) to (band, node, n, pos): an element of the text's prefix, its number of elements, the element's place."""
+def _emit_prefixes(threshold: float):
+    """(node, shingles) to (band, node, n, pos): an element of the text's prefix, its number of elements, the element's place."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words()
-        for block in blocks(batches, max_chars=1_000_000):
-            doc, shingle, count = _shingle_hashes(block["text"], words)
-            cuts = np.searchsorted(doc, np.arange(len(block["text"]) + 1))
-            parts = [prefix(shingle[i:j], count[i:j], common, threshold) for i, j in zip(cuts, cuts[1:])]
-            sizes, totals = [len(p) for p in parts], np.bincount(doc, weights=count, minlength=len(parts)).astype(np.int64)
-            columns = (np.concatenate(parts).view(np.int64), np.repeat(np.array(block["node"], np.int64), sizes), np.repeat(totals, sizes),
-                       np.concatenate([np.arange(k) for k in sizes]))
+        for part in slices(batches):
+            parts, totals = [], []
+            for own in part.column("shingles"):
+                fields = own.values
+                shingle = fields.field("shingle").to_numpy().view(np.uint64)
+                count, texts = fields.field("count").to_numpy(), fields.field("texts").fill_null(0).to_numpy()
+                order = np.argsort(shingle)
+                shingle, count = shingle[order], count[order]
+                parts.append(prefix(shingle, count, {"shingle": shingle, "count": texts[order]}, threshold))
+                totals.append(int(count.sum()))
+            sizes = [len(p) for p in parts]
+            columns = (np.concatenate(parts).view(np.int64), np.repeat(part.column("node").to_numpy(), sizes),
+                       np.repeat(np.array(totals, np.int64), sizes), np.concatenate([np.arange(k) for k in sizes]))
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["band", "node", "n", "pos"])
 
     return run
