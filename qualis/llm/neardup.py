@@ -29,7 +29,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from qualis.llm.bagminhash import mixed, signatures, weighted_jaccard
@@ -48,6 +48,26 @@ PAIRS_A_PARTITION = 5_000
 BAND_LEADERS = (1,)
 
 
+def first_hash(text: Column) -> Column:
+    return F.xxhash64(text)
+
+
+def text_key(text: Column) -> Column:
+    """Two 64-bit hashes of a text, which tell texts apart."""
+    return F.struct(first_hash(text).alias("one"), F.xxhash64(F.lit("two"), text).alias("two"))
+
+
+def with_node(rows: DataFrame) -> DataFrame:
+    """Rows (text_key, ...) with node, the first hash of the text; both hashes make it where unlike texts share the first."""
+    clash = rows.groupBy("text_key.one").agg(F.min("text_key.two").alias("low"), F.max("text_key.two").alias("high")).where("low < high").select("one")
+    clash = checkpointed(clash)
+    if clash.isEmpty():
+        return rows.withColumn("node", F.col("text_key.one"))
+    marked = rows.join(_small(clash.withColumn("clashes", F.lit(True))), F.col("text_key.one") == clash["one"], "left")
+    node = F.when(F.col("clashes"), F.xxhash64("text_key.one", "text_key.two")).otherwise(F.col("text_key.one"))
+    return marked.withColumn("node", node).drop(clash["one"]).drop("clashes")
+
+
 def shingles(text: str) -> list[tuple[bytes, ...]]:
     """Runs of SHINGLE words; a shorter text is one shingle of all its words, a text without words has none."""
     words = text.encode("utf-8", "surrogatepass").split()
@@ -153,17 +173,17 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     the smallest id is kept.  Null ids and repeated rows are documents like
     others; a null id is kept only where all ids of its class are null, and
     rows that share the kept id are all kept.  An empty table gives no rows.
-    Texts are told apart by a 64-bit hash.
+    Texts are told apart by two 64-bit hashes (text_key).
     """
-    rows = id_and_text(docs, id_col, text_col).withColumn("node", F.xxhash64("text"))
+    rows = with_node(id_and_text(docs, id_col, text_col).withColumn("text_key", text_key(F.col("text"))))
     bands = checkpointed(rows.select("node", "text").mapInArrow(_emit_bands, "band long, node long, n long"))
     shared = checkpointed(bands.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("band"))
     members = checkpointed(bands.join(_small(shared), "band", "left_semi").distinct())
     roots = checkpointed(_roots(rows, members, threshold))
-    placed = rows.select("doc_id", "node").join(_small(roots), "node", "left").select("doc_id", "node", F.coalesce("root", "node").alias("class_key"))
+    placed = rows.select("doc_id", "node", "text_key").join(_small(roots), "node", "left").select("doc_id", "text_key", F.coalesce("root", "node").alias("class_key"))
     # a table of its own, so that AQE can split the rows of a very large class in the join
     groups = checkpointed(placed.groupBy("class_key").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")))
-    return placed.join(groups, "class_key").select("doc_id", F.col("node").alias("text_key"), "class_key", "class_id", "class_size",
+    return placed.join(groups, "class_key").select("doc_id", "text_key", "class_key", "class_id", "class_size",
                                                    F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 

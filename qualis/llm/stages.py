@@ -70,7 +70,7 @@ def near_stage(docs: DataFrame) -> DataFrame:
     kept = neardup.classes(docs).where("kept").groupBy("class_key", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
     kept = kept.groupBy("class_key").agg(F.min(F.struct("doc_id", "text_key", "n")).alias("k"))
     kept = checkpointed(kept.select(F.col("k.doc_id").alias("_id"), F.col("k.text_key").alias("_key"), F.col("k.n").alias("_n")))
-    keyed = docs.withColumn("_text_key", F.xxhash64(text_of(docs)))
+    keyed = docs.withColumn("_text_key", neardup.text_key(text_of(docs)))
     on = keyed["doc_id"].eqNullSafe(kept["_id"]) & (keyed["_text_key"] == kept["_key"])
     alone = keyed.join(kept.where("_n = 1"), on, "left_semi").select(docs.columns)
     repeated = kept.where("_n > 1")

@@ -139,3 +139,31 @@ def test_nulls_repeats_and_empty(spark):
     got = sorted((str(r.doc_id), r.class_size, r.kept) for r in classes(docs).collect())
     assert got == [("1", 1, True), ("4", 3, True), ("4", 3, True), ("None", 1, True), ("None", 3, False)]
     assert classes(docs.limit(0)).count() == 0
+
+
+def test_unlike_texts_of_one_hash_stay_apart(spark, monkeypatch):
+    """With the length of the text as its first hash, most texts share it with unlike ones."""
+    from pyspark.sql import functions as F
+
+    from qualis.llm import neardup, stages
+
+    monkeypatch.setattr(neardup, "first_hash", lambda text: F.length(text).cast("long"))
+    rows = _rows() + [(500, "one two three four five six"), (500, "two one three four five six"), (500, "one two three four five six")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.text_key): r.class_key for r in classes(docs).collect()}
+    want = _brute(rows)
+    assert len(set(got.values())) == len(set(want))
+    kept = sorted((r.doc_id, r.text or "") for r in stages.near_stage(docs).collect())
+    assert len(kept) == len(set(want)) and kept[-2:] == [(500, "one two three four five six"), (500, "two one three four five six")]
+
+
+def test_shingle_counts_cover_all_texts(spark):
+    from qualis.llm import neardup
+
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices("abc", k=rng.randrange(0, 40))) for _ in range(300)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    got = {r.node: sorted((s["count"], s.texts or 1) for s in r.shingles) for r in neardup.ranked_shingles(rows).collect()}
+    bags = [Counter(shingles(t)) for t in texts]
+    held = Counter(s for b in bags for s in b)
+    assert got == {i: sorted((n, held[s]) for s, n in b.items()) for i, b in enumerate(bags) if b}
