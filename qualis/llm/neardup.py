@@ -42,8 +42,8 @@ THRESHOLD = 0.8
 BANDS, ROWS = 20, 5
 #: Tables of a few longs a row are broadcast up to so many rows, else shuffled.
 BROADCAST_ROWS = 1_000_000
-#: Pairs of texts that a task compares.
-PAIRS_A_PARTITION = 5_000
+#: Pairs of texts that a task compares, and shingles of their texts.
+PAIRS_A_PARTITION, SHINGLES_A_PARTITION = 5_000, 1_000_000
 #: Leaders per band in the rounds before finer buckets are made.
 BAND_LEADERS = (1,)
 
@@ -145,7 +145,7 @@ def _verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _links(pairs: DataFrame, n_pairs: int, texts: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b), so many, that reach the threshold.  ``texts`` (node, text) holds a row per node.
+    """Pairs (a, b, n), so many, that reach the threshold; n is left out.  ``texts`` (node, text) holds a row per node.
 
     Few pairs go to the texts, so that only texts in pairs are shuffled.
     """
@@ -240,12 +240,14 @@ class _Classes:
         reach = F.least(F.col("m.n") - F.col("m.pos"), F.col("l.n") - F.col("l.pos"))
         need = F.lit(self.threshold / (1 + self.threshold) - 1e-9) * (F.col("m.n") + F.col("l.n"))
         met = placed.alias("m").join(lead.alias("l"), "band").where("m.root <> l.root and m.node > l.node").where(reach >= need)
-        pairs = few(met.select(F.col("l.node").alias("a"), F.col("m.node").alias("b")), self.n_members * leaders).distinct()
+        both = met.select(F.col("l.node").alias("a"), F.col("m.node").alias("b"), (F.col("l.n") + F.col("m.n")).alias("n"))
+        pairs = few(both, self.n_members * leaders).distinct()
         pairs = checkpointed(pairs if self.compared is None else pairs.join(self.compared, ["a", "b"], "left_anti"), self.n_members * leaders)
-        n_pairs = pairs.count()
+        n_pairs, n_shingles = pairs.agg(F.count(F.lit(1)), F.sum("n")).first()
         if n_pairs:
             self.compared = pairs if self.compared is None else self.compared.unionByName(pairs)
-            found = checkpointed(_links(pairs, n_pairs, self.texts, self.threshold).coalesce(n_pairs // PAIRS_A_PARTITION + 1))
+            tasks = max(n_pairs // PAIRS_A_PARTITION, n_shingles // SHINGLES_A_PARTITION) + 1
+            found = checkpointed(_links(pairs, n_pairs, self.texts, self.threshold).coalesce(tasks))
             self.links = found if self.links is None else self.links.unionByName(found)
             classed = components(self.links)
             self.roots = checkpointed(self.nodes.join(classed, "node", "left").select("node", F.coalesce("root", "node").alias("root")), self.n_nodes)

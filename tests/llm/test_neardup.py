@@ -167,3 +167,19 @@ def test_shingle_counts_cover_all_texts(spark):
     bags = [Counter(shingles(t)) for t in texts]
     held = Counter(s for b in bags for s in b)
     assert got == {i: sorted((n, held[s]) for s, n in b.items()) for i, b in enumerate(bags) if b}
+
+
+def test_long_texts_are_compared_whole_and_spread_over_tasks(spark, monkeypatch):
+    """Texts of 30,000 words that differ in their second half only; a task compares a pair or two."""
+    from qualis.llm import neardup
+
+    monkeypatch.setattr(neardup, "SHINGLES_A_PARTITION", 100_000)
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(9000)}" for _ in range(30_000)]
+    rows = []
+    for share in (0, 0.01, 0.05, 0.2, 0.3):
+        copy = base[:15_000] + [w if rng.random() >= share else "x" + w for w in base[15_000:]]
+        rows.append((len(rows), " ".join(copy)))
+    rows.append((len(rows), rows[0][1] + " end"))
+    got = {r.doc_id: r.class_id for r in classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == dict(enumerate(_brute(rows))) and len(set(got.values())) > 1
