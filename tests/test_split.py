@@ -128,6 +128,22 @@ def test_split_documents_equal_whole_ones(spark, tmp_dir, small_blocks):
     assert pieces(spark, f"{tmp_dir}/etl", "}").select("block").distinct().count() > 3
 
 
+def test_documents_are_written_element_by_element(spark, tmp_dir):
+    subs = raw_table(spark, SF_SMALL, "customer_subscriptions")
+    twice = subs.unionByName(subs)
+    assert write_documents(twice, f"{tmp_dir}/etl", max_elements=100, legacy=False) == 3
+    files = [os.path.join(d, f) for d, _, names in os.walk(f"{tmp_dir}/etl") for f in names if f.endswith(".txt")]
+    written = 0
+    for f in files:
+        with open(f) as text:
+            rows = text.read().rstrip(" ").split(" ,{")  # a row of the writer for each element, none for the document
+        elements = json.loads(" ,{".join(rows))["list"]
+        assert len(rows) == len(elements)
+        written += len(elements)
+    assert len(files) == 3 and written == twice.count()
+    assert sorted(map(str, read_json_documents(spark, f"{tmp_dir}/etl", legacy=False).collect())) == sorted(map(str, twice.collect()))
+
+
 def test_document_without_a_list_fails_also_when_split(spark, tmp_dir):
     for name, text in (("a.json", "{'items': [{'a': 1}]}"), ("b.json", "{'list': {'a': 1}, 'b': [{}]}"), ("c.json", "{'list': [{'a': 1}, {'b': {}")):
         path = _write(f"{tmp_dir}/{name}", text)
