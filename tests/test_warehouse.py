@@ -12,7 +12,7 @@ from qualis import schemas
 from qualis.operators import keyset
 from qualis.operators.incremental import StoredKeys, only_new_keys, sync_columns, upsert
 from qualis.operators.merge import merge_subscriptions
-from qualis.plans import dims, warehouse
+from qualis.plans import dims, ingest, warehouse
 from qualis.plans.ingest import SIGNUP_DAY, SUBSCRIPTIONS, load_subscriptions
 from qualis.plans.running import Running
 from qualis.plans.staging import staging
@@ -61,6 +61,41 @@ def test_merge_rewrites_only_the_days_it_touches(spark, tmp_dir, subscriptions):
     assert {os.path.basename(os.path.dirname(f)) for f in set(after) - set(before)} == {f"{SIGNUP_DAY}={day}"}
 
 
+def test_many_days_share_folders_and_one_schema(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(ingest, "FOLDERS", 2)
+    subs = raw_table(spark, SF_SMALL, "customer_subscriptions")
+    subs = subs.withColumn(SIGNUP_DAY, F.when(F.col("subscription_id") != "sub-7", F.col(SIGNUP_DAY)))
+    schema = schemas.struct_type(SUBSCRIPTIONS)
+    raw = Warehouse(spark, tmp_dir, "raw")
+    load_subscriptions(subs, raw)
+    assert subs.select(SIGNUP_DAY).distinct().count() > 5 and len(raw.live(SUBSCRIPTIONS).parts) <= 4  # two or three spans, and no day
+    for back in (raw, Warehouse(spark, tmp_dir, "raw")):
+        assert _same(back.read(SUBSCRIPTIONS, schema), subs) and back.read(SUBSCRIPTIONS).columns == subs.columns
+    with open(f"{tmp_dir}/raw/_versions/{SUBSCRIPTIONS}.v1.json") as entry:
+        assert entry.read().count("customer_first_name") == 1  # the log names the columns once, not once a folder
+    raw.register()
+    assert spark.table(f"raw.{SUBSCRIPTIONS}").count() == subs.count()
+
+
+def test_merge_rewrites_only_the_spans_it_touches(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(ingest, "FOLDERS", 2)
+    subs = raw_table(spark, SF_SMALL, "customer_subscriptions")
+    schema = schemas.struct_type(SUBSCRIPTIONS)
+    raw = Warehouse(spark, tmp_dir, "raw")
+    load_subscriptions(merge_target(subs), raw)
+    before, live = _files(f"{tmp_dir}/raw/{SUBSCRIPTIONS}"), raw.live(SUBSCRIPTIONS)
+    source = subs.filter("subscription_id = 'sub-2'").withColumn("subscription_updated_at", F.col("subscription_updated_at") + 1)
+    want = merge_subscriptions(merge_target(subs), source)
+    assert load_subscriptions(source, raw) == want.count()
+    assert _same(raw.read(SUBSCRIPTIONS, schema), want)
+    assert len(set(raw.live(SUBSCRIPTIONS).parts) - set(live.parts)) == 1 == len(set(live.parts) - set(raw.live(SUBSCRIPTIONS).parts))
+    assert {k: v for k, v in _files(f"{tmp_dir}/raw/{SUBSCRIPTIONS}").items() if k in before} == before
+    want = merge_subscriptions(raw.read(SUBSCRIPTIONS, schema), merge_source(subs)).collect()
+    load_subscriptions(merge_source(subs), raw)
+    assert sorted(map(str, raw.read(SUBSCRIPTIONS, schema).collect())) == sorted(map(str, want))
+    assert len(raw.live(SUBSCRIPTIONS).parts) < 2 * len(live.parts) + 2
+
+
 def test_merge_over_whole_batches_equals_the_full_rewrite(spark, subscriptions):
     subs, raw = subscriptions
     schema = schemas.struct_type(SUBSCRIPTIONS)
