@@ -3,6 +3,7 @@ import os
 import pytest
 
 from qualis import schemas
+from qualis.sources import fixtures
 from qualis.sources.csv_source import read_csv
 from qualis.sources.json_source import read_json_documents, read_json_lines
 from qualis.sources.layers import Warehouse
@@ -205,3 +206,15 @@ def test_staging_views_read_the_raw_tables(spark, tmp_dir):
     assert "refined.stg_autoqa_root_cause" in register_views(spark)
     want = raw.read("autoqa_root_cause").filter("autoqa_rating_id IS NOT NULL").count()
     assert spark.table("refined.stg_autoqa_root_cause").count() == want > 0
+
+
+@pytest.mark.parametrize("table, source, tasks", [("customer_subscriptions", "customer", 4), ("autoqa_ratings", "lineitem", 7)])
+def test_input_is_spread_by_its_rows(spark, monkeypatch, table, source, tasks):
+    from conftest import SF_SMALL
+    want = sorted(map(str, fixtures.raw_table(spark, SF_SMALL, table).collect()))
+    monkeypatch.setattr(fixtures, "SUBSCRIPTIONS_A_TASK", 50)
+    monkeypatch.setattr(fixtures, "JOINED_ROWS_A_TASK", 1_000)
+    tables = {s: fixtures.driver_table(spark, SF_SMALL, s) for s in fixtures.SOURCES[table]}
+    assert max(df.count() for df in tables.values()) == tables[source].count()
+    assert {df.rdd.getNumPartitions() for df in fixtures._spread(table, tables).values()} == {tasks}
+    assert sorted(map(str, fixtures.raw_table(spark, SF_SMALL, table).collect())) == want
