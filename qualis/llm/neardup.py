@@ -218,7 +218,7 @@ class _Classes:
     def __init__(self, nodes: DataFrame, texts: DataFrame, threshold: float):
         self.nodes, self.texts, self.threshold = nodes, texts, threshold
         self.roots = nodes.select("node", F.col("node").alias("root"))
-        self.links = self.compared = None
+        self.compared = None
         self.n_nodes = nodes.count()
         self.n_members = self.n_nodes * BANDS
 
@@ -247,12 +247,17 @@ class _Classes:
         if n_pairs:
             self.compared = pairs if self.compared is None else self.compared.unionByName(pairs)
             tasks = max(n_pairs // PAIRS_A_PARTITION, n_shingles // SHINGLES_A_PARTITION) + 1
-            found = checkpointed(_links(pairs, n_pairs, self.texts, self.threshold).coalesce(tasks))
-            self.links = found if self.links is None else self.links.unionByName(found)
-            classed = components(self.links)
-            self.roots = checkpointed(self.nodes.join(classed, "node", "left").select("node", F.coalesce("root", "node").alias("root")), self.n_nodes)
+            self.merge(checkpointed(_links(pairs, n_pairs, self.texts, self.threshold).coalesce(tasks)))
         return placed.drop("root").join(lead.select("band", "node"), ["band", "node"], "left_anti")
 
+    def merge(self, links: DataFrame) -> None:
+        """Join the classes that new links (a, b) connect; older links are in the classes, so only their roots take part."""
+        root = self.roots
+        ends = links.join(root.select(F.col("node").alias("a"), F.col("root").alias("root_a")), "a").join(root.select(F.col("node").alias("b"), F.col("root").alias("root_b")), "b")
+        between = checkpointed(ends.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).distinct())
+        moved = components(between).select(F.col("node").alias("old"), F.col("root").alias("new"))
+        self.roots = checkpointed(root.join(moved, root["root"] == moved["old"], "left").select("node", F.coalesce("new", "root").alias("root")), self.n_nodes)
+
 
 def _leaders(placed: DataFrame, n: int, rows: int) -> DataFrame:
     """The first n nodes of each band of a table of so many rows."""

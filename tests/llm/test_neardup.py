@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 
+from qualis.llm import neardup
 from qualis.llm.bagminhash import signatures, weighted_jaccard
 from qualis.llm.neardup import SHINGLE, THRESHOLD, band_keys, classes, shingles, similarity
 
@@ -183,3 +184,17 @@ def test_long_texts_are_compared_whole_and_spread_over_tasks(spark, monkeypatch)
     rows.append((len(rows), rows[0][1] + " end"))
     got = {r.doc_id: r.class_id for r in classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == dict(enumerate(_brute(rows))) and len(set(got.values())) > 1
+
+
+def test_links_of_earlier_rounds_are_not_joined_again(spark, monkeypatch):
+    taken = []
+    plain = neardup.components
+    monkeypatch.setattr(neardup, "components", lambda links: taken.append(links.count()) or plain(links))
+    nodes = spark.range(50).withColumnRenamed("id", "node")
+    found = neardup._Classes(nodes, nodes.selectExpr("node", "'' AS text"), 0.8)
+    found.merge(spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long"))
+    found.merge(spark.createDataFrame([(45, 47), (3, 45), (4, 45), (5, 45)], "a long, b long"))
+    assert taken == [40, 2]  # the second time a link between the classes, whatever their size
+    roots = {r.node: r.root for r in found.roots.collect()}
+    assert len(roots) == 50 and {n for n, root in roots.items() if root == 0} == {*range(41), 45, 47}
+    assert all(root == n for n, root in roots.items() if root)
