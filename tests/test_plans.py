@@ -41,3 +41,15 @@ def test_dimension_aggregates_partially_before_shuffle(spark):
     dim = warehouse.build(raw_tables(spark, SF_SMALL))["dim_user"]
     plan = dim._jdf.queryExecution().sparkPlan().toString()
     assert "partial_max" in plan
+
+
+def test_merge_of_a_large_batch_broadcasts_none_of_its_keys(spark):
+    """The driver would hold up to four tables of the batch's rows; a small measured batch is broadcast as before."""
+    from qualis.operators.merge import merge_when_changed
+    target = spark.range(30).selectExpr("id AS k", "id AS t", "concat('a', id) AS v")
+    source = spark.range(20, 40).selectExpr("id AS k", "id + id % 2 AS t", "concat('b', id) AS v")
+    want = sorted([(k, k + k % 2 if 20 <= k else k, f"{'b' if k >= 30 or k > 20 and k % 2 else 'a'}{k}") for k in range(40)])
+    for rows, broadcasts in ((500_000, False), (20, True)):
+        merged = merge_when_changed(target, source, "k", ("t",), source_rows=rows)
+        assert sorted(map(tuple, merged.collect())) == want
+        assert ("BroadcastHashJoin" in _executed(merged)) is broadcasts
