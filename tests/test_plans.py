@@ -53,3 +53,20 @@ def test_merge_of_a_large_batch_broadcasts_none_of_its_keys(spark):
         merged = merge_when_changed(target, source, "k", ("t",), source_rows=rows)
         assert sorted(map(tuple, merged.collect())) == want
         assert ("BroadcastHashJoin" in _executed(merged)) is broadcasts
+
+
+def test_dealt_tables_are_joined_without_a_broadcast(spark, monkeypatch):
+    """AQE sizes broadcasts by compressed bytes, which millions of keys in a row hardly fill."""
+    from qualis.operators import lookup
+    from qualis.sources import fixtures
+    for table in ("autoqa_ratings", "manual_reviews", "manual_rating", "autoqa_root_cause"):
+        want = sorted(map(str, raw_table(spark, SF_SMALL, table).collect()))
+        with monkeypatch.context() as m:
+            m.setattr(fixtures, "JOINED_ROWS_A_TASK", 500)
+            m.setattr(lookup, "DIM_BROADCAST_MAX_ROWS", 500)
+            whole = raw_table(spark, SF_SMALL, table)
+            plan = _executed(whole)
+            assert "BroadcastHashJoin" not in plan and "Exchange hashpartitioning" in plan, table
+            tables = {s: fixtures.driver_table(spark, SF_SMALL, s) for s in fixtures.SOURCES[table]}
+            assert {df.rdd.getNumPartitions() for df in fixtures._spread(table, tables).values()} == {max(df.count() for df in tables.values()) // 500 + 1}
+            assert sorted(map(str, whole.collect())) == want, table
