@@ -70,3 +70,29 @@ def test_dealt_tables_are_joined_without_a_broadcast(spark, monkeypatch):
             tables = {s: fixtures.driver_table(spark, SF_SMALL, s) for s in fixtures.SOURCES[table]}
             assert {df.rdd.getNumPartitions() for df in fixtures._spread(table, tables).values()} == {max(df.count() for df in tables.values()) // 500 + 1}
             assert sorted(map(str, whole.collect())) == want, table
+
+
+def test_check_suite_computes_each_table_once(spark):
+    from qualis.plans import checks
+    read = []
+
+    class Marts(dict):
+        def __getitem__(self, name):
+            read.append(name)
+            return super().__getitem__(name)
+
+    def fact(columns, rows):
+        return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns))
+
+    marts = Marts({"dim_team": fact(["team_key"], [("t",)]), "dim_payment": fact(["payment_key"], [("p",), ("p",), (None,)]),
+                   "dim_user": fact(["user_key"], []), "dim_rating_category": fact(["rating_category_key"], [("c",)])})
+    for table in dict.fromkeys(t for t, _ in checks.NOT_NULL if t.startswith("fact_")):
+        columns = [c for t, c, *_ in checks.NOT_NULL + checks.RELATIONSHIPS if t == table]
+        # keys a, a, b, null, null; the other columns name members that do not exist, but for one
+        marts[table] = fact(columns, [(k, *["p" if i == 4 else "x"] * (len(columns) - 1)) for i, k in enumerate(["a", "a", "b", None, None])])
+    want = sorted(map(tuple, checks.not_null_checks(marts).unionByName(checks.unique_checks(marts)).unionByName(checks.relationship_checks(marts)).collect()))
+    assert {w[-1] for w in want} == {0, 1, 2, 4, 5}
+    read.clear()
+    suite = checks.check_suite(marts, {n: 3 for n in marts if n.startswith("dim_")})
+    assert all(read.count(t) == 1 for t in marts if t.startswith("fact_"))
+    assert sorted(map(tuple, suite.collect())) == want and len(want) == 30
