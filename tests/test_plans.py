@@ -1,5 +1,9 @@
 """Plan-shape checks: the properties the pipeline relies on at scale."""
 
+import re
+
+import pytest
+
 from qualis.plans import metrics, warehouse
 from qualis.sources.fixtures import raw_table, raw_tables
 from qualis.sources.layers import Warehouse
@@ -72,6 +76,53 @@ def test_dealt_tables_are_joined_without_a_broadcast(spark, monkeypatch):
             assert sorted(map(str, whole.collect())) == want, table
 
 
+def _driver_tables(spark, path):
+    """300 orders, 1,200 lines (four an order), 450 events of which 300 have an order."""
+    day = "CAST('{}' AS TIMESTAMP_NTZ) + make_dt_interval(CAST(id % 900 AS INT))"
+    tables = {
+        "orders": spark.range(300).selectExpr(
+            "id AS o_orderkey", "id % 90 AS o_custkey", "IF(id % 2 = 0, 'F', 'O') AS o_orderstatus",
+            "CAST(id * 1000 AS DOUBLE) AS o_totalprice", f"{day.format('1997-06-01')} AS o_orderdate", "'1-URGENT' AS o_orderpriority"),
+        "lineitem": spark.range(1200).selectExpr(
+            "id % 300 AS l_orderkey", "id % 7 AS l_suppkey", "CAST(1 + id DIV 300 AS INT) AS l_linenumber",
+            "CAST(id % 50 AS DOUBLE) AS l_quantity", "CAST(id % 9 AS DOUBLE) / 100 AS l_tax", "'O' AS l_linestatus"),
+        "events": spark.range(450).selectExpr(
+            "id AS event_id", f"{day.format('2024-01-01')} AS ts", "id % 70 AS user_id", "'click' AS event_type", "CAST(id % 100 AS DOUBLE) AS value"),
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{path}/{name}.parquet")
+    return path
+
+
+@pytest.mark.parametrize("name", ["incr_dim_payment"])
+def test_queries_keep_their_tables_dealt_by_rows(spark, tmp_dir, monkeypatch, name):
+    """Partitions by bytes, or as many as the session names, would take more rows a task with every larger input."""
+    from qualis.catalog import QUERIES
+    from qualis.sources import fixtures
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    def kept(df, keep=warehouse.materialize):
+        plans.append(plan(df))
+        return keep(df)
+
+    path, plans = _driver_tables(spark, tmp_dir), []
+    want = sorted(map(str, QUERIES[name](spark, path).collect()))
+    monkeypatch.setattr(fixtures, "JOINED_ROWS_A_TASK", 50, raising=False)
+    monkeypatch.setattr(warehouse, "materialize", kept)
+    result = QUERIES[name](spark, path)
+    assert want and sorted(map(str, result.collect())) == want
+    plans.append(plan(result))
+    dealt = set()
+    for key, n in (("l_orderkey", 1200 // 50 + 1), ("event_id", 450 // 50 + 1)):
+        for p in plans:
+            if f"{key}#" in p:
+                assert re.search(rf"hashpartitioning\({key}#\d+L, {n}\)", p), key
+                dealt.add(key)
+    assert dealt == {"l_orderkey", "event_id"}
+
+
 def test_check_suite_computes_each_table_once(spark):
     from qualis.plans import checks
     read = []
