@@ -95,7 +95,7 @@ def _driver_tables(spark, path):
 
 
 @pytest.mark.parametrize("name", ["incr_dim_payment", "reviewer_performance", "star_reviews_by_date", "top_agents",
-                                  "score_by_month"])
+                                  "score_by_month", "score_by_week"])
 def test_queries_keep_their_tables_dealt_by_rows(spark, tmp_dir, monkeypatch, name):
     """Partitions by bytes, or as many as the session names, would take more rows a task with every larger input."""
     from qualis.catalog import QUERIES
