@@ -333,3 +333,40 @@ def test_run_leaves_out_models_of_unchanged_raw_tables(spark, tmp_dir):
     raw.write("manual_reviews", raw_table(spark, SF_SMALL, "manual_reviews"))
     third = warehouse.run({t: raw.read(t) for t in SOURCES}, dw, full_refresh=False, prints=raw.fingerprints(SOURCES), only=names)
     assert third["fact_manual_reviews"] > first["fact_manual_reviews"] and dw.version("fact_conversations") == 1
+
+
+# -- disk -------------------------------------------------------------------
+
+def test_running_query_keeps_only_what_its_result_reads(spark, tmp_dir, monkeypatch):
+    from qualis import catalog, session
+    monkeypatch.setattr(catalog, "scratch_dir", lambda s, name="scratch": f"{tmp_dir}/{name}")
+    monkeypatch.setattr(session, "scratch_dir", lambda s, name="scratch": f"{tmp_dir}/{name}")
+    got = catalog.QUERIES["running_avg_score"](spark, SF_SMALL)
+    want = catalog.QUERIES["avg_score_per_ticket"](spark, SF_SMALL)
+    assert _same(want, got)
+    dw = Warehouse(spark, f"{tmp_dir}/warehouse")
+    for table in ("fact_autoqa_ratings", "fact_autoqa_ratings_by_external_ticket_id"):
+        v = dw.live(table)
+        named = {n for p in v.parts for n in (p.folder, f"{p.folder}.keys")} | {d.folder for d in v.deletes}
+        assert set(os.listdir(f"{tmp_dir}/warehouse/dw/{table}")) == named  # no replaced part stays
+    assert not os.path.exists(f"{tmp_dir}/rows")
+
+
+def test_compaction_by_slices_and_packed_texts_keep_every_row(spark, tmp_dir, monkeypatch):
+    from qualis.operators import lookup
+    monkeypatch.setattr(layers, "COMPACT_SLICE_ROWS", 3)
+    monkeypatch.setattr(lookup, "DIM_BROADCAST_MAX_ROWS", 0)
+    md5 = "0123456789abcdef" * 2
+    texts = [md5, md5.upper(), md5[:-1] + "\n", md5 + "\n", md5[:16], "", "\0" * 17, "é", "a", "b", "c", "d", None]
+    old = [(t, t, float(i)) for i, t in enumerate(texts)] + [(None, "x", -1.0), ("a2", None, None)]
+    new = [(t, t, None) for t in texts[:9]] + [(None, "new", 1.0), ("fresh", md5, 2.0)]
+    kind = "k string, t string, v double"
+    dw = Warehouse(spark, tmp_dir)
+    dw.write("t", spark.createDataFrame(old, kind), key="k")
+    dw.upsert("t", spark.createDataFrame(new, kind), "k", len(new))
+    want = sorted(map(str, [r for r in old if r[0] is None or r[0] not in texts[:9]] + new))
+    assert len(dw.live("t").parts) == 4 and not dw.live("t").deletes and dw.rows("t") == len(want)
+    for back in (dw, Warehouse(spark, tmp_dir)):
+        assert sorted(str(tuple(r)) for r in back.read("t").collect()) == want
+    dw.upsert("t", spark.createDataFrame([("fresh", "again", 3.0)], kind), "k", 1)
+    assert dw.live("t").deletes and sorted(map(str, dw.read("t").where("k = 'fresh'").collect())) == ["Row(k='fresh', t='again', v=3.0)"]
