@@ -148,3 +148,37 @@ def test_check_suite_computes_each_table_once(spark):
     suite = checks.check_suite(marts, {n: 3 for n in marts if n.startswith("dim_")})
     assert all(read.count(t) == 1 for t in marts if t.startswith("fact_"))
     assert sorted(map(tuple, suite.collect())) == want and len(want) == 30
+
+
+@pytest.fixture()
+def shuffled(spark):
+    """Joins by shuffles, in plans that do not change while they run."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    was = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in was.items():
+        spark.conf.set(k, v)
+
+
+def _dealt_by(df) -> list[str]:
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [re.sub(r"#\d+L?", "", x) for x in re.findall(r"Exchange hashpartitioning\((.*), \d+\)", plan)]
+
+
+def test_new_root_causes_are_found_without_shuffling_their_hashes(spark, tmp_dir, monkeypatch, shuffled):
+    from qualis.catalog import QUERIES
+    path, made = _driver_tables(spark, tmp_dir), []
+
+    def kept(df, keep=warehouse.materialize):
+        made.append(df)
+        return keep(df)
+
+    monkeypatch.setattr(warehouse, "materialize", kept)
+    got = QUERIES["incr_fact_autoqa_root_cause"](spark, path)
+    plan = made[-1]._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Exchange"):]
+    assert not re.search(r"Project \[.*md5\(", below), plan  # hashed above the first exchange only
+    monkeypatch.undo()
+    assert sorted(map(str, got.collect())) == sorted(map(str, QUERIES["fact_autoqa_root_cause"](spark, path).collect()))
