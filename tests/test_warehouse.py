@@ -370,3 +370,16 @@ def test_compaction_by_slices_and_packed_texts_keep_every_row(spark, tmp_dir, mo
         assert sorted(str(tuple(r)) for r in back.read("t").collect()) == want
     dw.upsert("t", spark.createDataFrame([("fresh", "again", 3.0)], kind), "k", 1)
     assert dw.live("t").deletes and sorted(map(str, dw.read("t").where("k = 'fresh'").collect())) == ["Row(k='fresh', t='again', v=3.0)"]
+
+
+def test_every_signup_day_has_its_folder_however_many_there_are(spark, tmp_dir):
+    raw = Warehouse(spark, tmp_dir, "raw")
+    rows = spark.range(1200).selectExpr("concat('sub-', id) AS subscription_id", f"date_from_unix_date(CAST(nullif(id, 7) AS INT)) AS {SIGNUP_DAY}").repartition(2)
+    assert load_subscriptions(rows, raw) == 1200
+    assert {p.column for p in raw.live(SUBSCRIPTIONS).parts} == {SIGNUP_DAY} and len(raw.live(SUBSCRIPTIONS).parts) == 1200
+    for back in (raw, Warehouse(spark, tmp_dir, "raw")):
+        assert _same(back.read(SUBSCRIPTIONS), rows)
+    days = {str(dt.date(1970, 1, 2)), None}
+    again = spark.createDataFrame([("sub-1", dt.date(1970, 1, 2)), ("sub-new", None)], rows.schema)
+    assert raw.replace_values(SUBSCRIPTIONS, again, SIGNUP_DAY, days) == 1200
+    assert _same(raw.read(SUBSCRIPTIONS), rows.where("subscription_id NOT IN ('sub-1', 'sub-7')").unionByName(again))
